@@ -22,7 +22,8 @@ class StarConfig:
 
     `categories` is held on the driver and is therefore small; it decides which rows enter
     the star. `regions` maps entity name to region: a mapping when it is small enough to be
-    a literal, else a DataFrame (entity name, region) that is joined.
+    a literal, else a DataFrame (entity name, region) that is joined. The two types are those
+    of the declared star; a source with more entities or larger sums widens them.
     """
 
     year: str
@@ -37,6 +38,7 @@ class StarConfig:
     flagged_years: frozenset[int]
     source_label: str
     detail: tuple[str, ...] = ()
+    entity_key_type: str = "smallint"
     measure_type: str = "int"
 
     @property

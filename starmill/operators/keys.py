@@ -46,7 +46,11 @@ def place_in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def number_placed(placed: DataFrame, out: str) -> DataFrame:
-    """Turn `_slot` into a dense 1..n key. Rows do not move: the offsets have one row per range."""
+    """Turn `_slot` into a dense 1..n key without moving rows.
+
+    The offsets have one row per range, of which there are `spark.sql.shuffle.partitions` at
+    most, so they can be broadcast however many rows are numbered.
+    """
     part = F.shiftright("_slot", _ROW_BITS)
     within = F.col("_slot") - F.shiftleft(part, _ROW_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -57,7 +61,7 @@ def number_placed(placed: DataFrame, out: str) -> DataFrame:
     )
     return (
         placed.withColumn("_part", part)
-        .join(offsets, "_part")
+        .join(F.broadcast(offsets), "_part")
         .withColumn(out, F.col("_offset") + within + 1)
         .drop("_part", "_offset", "_slot")
     )

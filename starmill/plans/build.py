@@ -47,10 +47,8 @@ def rolled_up(wide: DataFrame, config: StarConfig) -> DataFrame:
         *[F.col(f"`{month}`").cast("bigint").alias(month) for month in months],
     )
     grain = rollup_wide(renamed, list(named.values()), months, "nombre_mes", MEASURE, "mes")
-    return grain.select(
-        *[F.col(k).cast("smallint") if k in ("anio", "clave_entidad", "mes") else F.col(k) for k in GRAIN_KEYS],
-        MEASURE,
-    )
+    types = {"anio": "smallint", "clave_entidad": config.entity_key_type, "mes": "smallint"}
+    return grain.select(*[F.col(k).cast(types.get(k, "string")) for k in GRAIN_KEYS], MEASURE)
 
 
 def build_grain(wide: DataFrame, config: StarConfig) -> DataFrame:
@@ -74,13 +72,14 @@ def build_time(grain: DataFrame, config: StarConfig) -> DataFrame:
 def build_entity(grain: DataFrame, config: StarConfig) -> DataFrame:
     """Entities by natural key. A name without a region gets NULL, which a check reports."""
     entities = grain.select("clave_entidad", "nombre_entidad").distinct()
-    numbered = dense_key(entities, ["clave_entidad"], "id_entidad", SMALLINT_VALUES)
+    bound = SMALLINT_VALUES if config.entity_key_type == "smallint" else None
+    numbered = dense_key(entities, ["clave_entidad"], "id_entidad", bound)
     if isinstance(config.regions, DataFrame):
         regions = config.regions.toDF("_name", "region")
         placed = numbered.join(regions, F.col("nombre_entidad") == F.col("_name"), "left")
     else:
         placed = numbered.withColumn("region", lookup(F.col("nombre_entidad"), config.regions))
-    return conform(placed, ENTITY)
+    return conform(placed, ENTITY, clave_entidad=config.entity_key_type)
 
 
 def build_category(grain: DataFrame, config: StarConfig) -> DataFrame:
@@ -123,8 +122,10 @@ def build_fact(
     return conform(filled, FACT, **{MEASURE: config.measure_type})
 
 
-def require_lookup_keys(grain: DataFrame) -> None:
+def require_lookup_keys(grain: DataFrame, config: StarConfig) -> None:
     """The fact resolves entities by key and leaves by name alone, so both must be unique."""
+    if isinstance(config.regions, DataFrame):
+        require_unique(config.regions, config.regions.columns[:1], "regions")
     entities = grain.select("clave_entidad", "nombre_entidad").distinct()
     require_unique(entities, ["clave_entidad"], "entities")
     leaves = grain.select("bien_juridico", "tipo_delito", "subtipo_delito").distinct()
@@ -139,7 +140,7 @@ def build_star(grain: DataFrame, config: StarConfig) -> Star:
     The dimensions are written before the fact is joined to them: they are built once, and
     their sizes are known when Spark chooses how to join.
     """
-    require_lookup_keys(grain)
+    require_lookup_keys(grain, config)
     time, entity, category = (
         materialise(build(grain, config), build.__name__) for build in (build_time, build_entity, build_category)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starmill.functions.scalars import percent
 from starmill.operators.analytics import percentiles, totals
 from starmill.plans.queries import flagged_by_year, monthly_series, yearly_by_category
-from starmill.plans.star import CATEGORY, ENTITY, MEASURE, TIME, Star
+from starmill.plans.star import CATEGORY, ENTITY, IDS, MEASURE, TIME, Star
 
 
 def growth_vs_total(star: Star) -> DataFrame:
@@ -19,10 +19,10 @@ def growth_vs_total(star: Star) -> DataFrame:
     """
     yearly = flagged_by_year(star)
     national = totals(yearly, ["anio"], "total", "total_nacional")
-    # One row per year: bounded by the calendar.
+    # One row per year, and a year is a SMALLINT: few enough for one task and for a broadcast.
     national = national.withColumn("nacional_anterior", F.lag("total_nacional").over(Window.orderBy("anio")))
     by_entity = Window.partitionBy("nombre_entidad").orderBy("anio")
-    both = yearly.withColumn("anio_anterior", F.lag("total").over(by_entity)).join(national, "anio")
+    both = yearly.withColumn("anio_anterior", F.lag("total").over(by_entity)).join(F.broadcast(national), "anio")
 
     now, before = F.col("total"), F.col("anio_anterior")
     all_now, all_before = F.col("total_nacional"), F.col("nacional_anterior")
@@ -41,13 +41,12 @@ def growth_vs_total(star: Star) -> DataFrame:
 
 def outlier_rows(star: Star, p: float = 0.9) -> DataFrame:
     """Fact rows above percentile `p` of their leaf category."""
-    rows = star.joined()
-    limits = percentiles(
-        star.joined(CATEGORY).select("subtipo_delito", MEASURE), ["subtipo_delito"], MEASURE, {"umbral": p}
-    )
-    return rows.join(limits, "subtipo_delito").where(F.col(MEASURE) > F.col("umbral")).select(
-        "id_hecho", "nombre_entidad", "periodo_label", "subtipo_delito", MEASURE, "umbral"
-    )
+    rows = star.joined(CATEGORY)
+    limits = percentiles(rows.select("subtipo_delito", MEASURE), ["subtipo_delito"], MEASURE, {"umbral": p})
+    # One limit per leaf of the driver-side catalogue. Rows are dropped before entities are joined.
+    above = rows.join(F.broadcast(limits), "subtipo_delito").where(F.col(MEASURE) > F.col("umbral"))
+    named = above.join(star.dim_tiempo, IDS[TIME]).join(star.dim_entidad, IDS[ENTITY])
+    return named.select("id_hecho", "nombre_entidad", "periodo_label", "subtipo_delito", MEASURE, "umbral")
 
 
 def sliced_yearly(star: Star, first: str, last: str) -> DataFrame:
@@ -56,7 +55,7 @@ def sliced_yearly(star: Star, first: str, last: str) -> DataFrame:
 
 
 def region_totals(star: Star) -> DataFrame:
-    by_region = totals(star.joined(ENTITY), ["region"], MEASURE, "total_victimas")
+    by_region = totals(star.partial(), ["region"], MEASURE, "total_victimas")
     return by_region.orderBy(F.desc_nulls_first("total_victimas"), "region")
 
 

@@ -1,7 +1,6 @@
 """The named questions over a star, as thin uses of the operators.
 
-Each returns a DataFrame in the order the question asks for. Rows of a group by entity and
-year are few by type: entity keys and years are SMALLINT.
+Each returns a DataFrame in the order the question asks for.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from starmill.operators.analytics import (
     top_n,
     totals,
 )
-from starmill.plans.star import CATEGORY, ENTITY, MEASURE, SMALLINT_VALUES, TIME, Star
+from starmill.plans.star import CATEGORY, MEASURE, TIME, Star
 
 MONTHLY_PERCENTILES = {"mediana_mensual": 0.5, "p90_mensual": 0.9}
 
@@ -36,16 +35,18 @@ def table_counts(star: Star) -> DataFrame:
 
 def rank_by_period(star: Star, leaf: str, total: str = "total_feminicidios") -> DataFrame:
     """Entities ranked by one leaf category, year by year."""
-    yearly = totals(
-        star.joined().where(F.col("subtipo_delito") == leaf), ["nombre_entidad", "anio"], MEASURE, total
-    )
-    ranked = rank_within(yearly, ["anio"], ["nombre_entidad"], total, "ranking_anual", SMALLINT_VALUES)
+    sums = star.partial("anio", where=F.col("subtipo_delito") == leaf)
+    yearly = totals(sums, ["nombre_entidad", "anio"], MEASURE, total)
+    # A year ranks each entity once; the dimension's row count comes from file footers.
+    entities = star.dim_entidad.count()
+    ranked = rank_within(yearly, ["anio"], ["nombre_entidad"], total, "ranking_anual", entities)
     return ranked.orderBy("anio", "ranking_anual", "nombre_entidad")
 
 
 def flagged_by_year(star: Star) -> DataFrame:
     """Total of the flagged categories per entity and year."""
-    return totals(star.joined().where("es_letal"), ["nombre_entidad", "anio"], MEASURE, "total")
+    sums = star.partial("anio", where=F.col("es_letal"))
+    return totals(sums, ["nombre_entidad", "anio"], MEASURE, "total")
 
 
 def yoy_change(star: Star, consecutive: bool = False) -> DataFrame:
@@ -66,7 +67,7 @@ def yoy_change(star: Star, consecutive: bool = False) -> DataFrame:
 def lethal_share(star: Star) -> DataFrame:
     """Share of the flagged categories in each entity's total."""
     shares = share_where(
-        star.joined(ENTITY, CATEGORY),
+        star.partial("es_letal"),
         ["nombre_entidad"],
         MEASURE,
         F.col("es_letal"),
@@ -93,13 +94,13 @@ def percentile_approx_by_group(star: Star, accuracy: int = 10_000) -> DataFrame:
 
 def map_totals(star: Star, total: str = "total_victimas") -> DataFrame:
     """Total per entity with its region."""
-    by_entity = totals(star.joined(ENTITY), ["nombre_entidad", "region"], MEASURE, total)
+    by_entity = totals(star.partial(), ["nombre_entidad", "region"], MEASURE, total)
     return by_entity.orderBy(F.desc_nulls_first(total), "nombre_entidad")
 
 
 def top_n_total(star: Star, n: int = 10) -> DataFrame:
     """The entities with the largest totals."""
-    by_entity = totals(star.joined(ENTITY), ["nombre_entidad", "region"], MEASURE, "total_acumulado")
+    by_entity = totals(star.partial(), ["nombre_entidad", "region"], MEASURE, "total_acumulado")
     return top_n(by_entity, "total_acumulado", n, ["nombre_entidad"])
 
 

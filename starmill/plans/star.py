@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TIME, ENTITY, CATEGORY, FACT = "dim_tiempo", "dim_entidad", "dim_delito", "fact_victimas"
@@ -17,7 +17,7 @@ IDS = {TIME: "id_tiempo", ENTITY: "id_entidad", CATEGORY: "id_delito", FACT: "id
 
 MEASURE = "num_victimas"
 
-# Years and entity keys are SMALLINT, so neither can have more distinct values than this.
+# A SMALLINT column (years, months, declared entity keys) has no more distinct values than this.
 SMALLINT_VALUES = 65_536
 
 # Declared columns per table: name, Spark type, longest text (VARCHAR), may be NULL.
@@ -83,6 +83,20 @@ class Star:
             wide = wide.join(getattr(self, name), IDS[name], "inner")
         return wide
 
+    def partial(self, *columns: str, where: Column | None = None) -> DataFrame:
+        """The measure summed per entity and `columns` of the other dimensions.
+
+        The time and category dimensions are bounded by the calendar and the catalogue and are
+        joined, and filtered by `where`, before the sum. Entities may be many and one of them
+        may hold much of the fact, so the sum is taken per entity id first and the entity's
+        columns are joined to the sums, which a further SUM can group as it likes.
+        """
+        sums = self.joined(TIME, CATEGORY)
+        if where is not None:
+            sums = sums.where(where)
+        sums = sums.groupBy(IDS[ENTITY], *columns).agg(F.sum(MEASURE).alias(MEASURE))
+        return sums.join(self.dim_entidad, IDS[ENTITY])
+
     def sliced(self, first: str, last: str) -> Star:
         """The star limited to the periods `first`..`last` (labels like `2023-03`, inclusive).
 

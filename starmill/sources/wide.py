@@ -11,8 +11,9 @@ from starmill.config import StarConfig
 
 def wide_schema(config: StarConfig) -> T.StructType:
     """Declared schema, in file order: ids, detail columns, one measure column per month."""
-    whole = {config.year, config.entity_key}
-    ids = [T.StructField(c, T.IntegerType() if c in whole else T.StringType()) for c in config.ids]
+    key = T.LongType() if config.entity_key_type == "bigint" else T.IntegerType()
+    whole = {config.year: T.IntegerType(), config.entity_key: key}
+    ids = [T.StructField(c, whole.get(c, T.StringType())) for c in config.ids]
     detail = [T.StructField(c, T.StringType()) for c in config.detail]
     months = [T.StructField(c, T.LongType()) for c in config.months]
     return T.StructType(ids + detail + months)
