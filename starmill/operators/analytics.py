@@ -183,10 +183,11 @@ def _next_buckets(counts: DataFrame, found: DataFrame, by: Sequence[str], shift:
     """Split the found buckets 16 bits finer and keep the parts that hold a wanted rank."""
     found = found.groupBy(*by, F.col("_bucket").alias("_parent")).agg(F.collect_list("w").alias("_wanted"))
     finer = counts.withColumn("_parent", F.shiftright("_value", shift + 16))
-    narrowed = _join_groups(finer, found, [*by, "_parent"])
-    parts = narrowed.groupBy(*by, "_parent", F.shiftright("_value", shift).alias("_bucket")).agg(
-        F.sum("_n").alias("_n"), F.first("_wanted").alias("_wanted")
-    )
+    parts = _join_groups(finer, found, [*by, "_parent"]).withColumn("_bucket", F.shiftright("_value", shift))
+    if shift:
+        parts = parts.groupBy(*by, "_parent", "_bucket").agg(
+            F.sum("_n").alias("_n"), F.first("_wanted").alias("_wanted")
+        )
     return _holding(parts, by, Window.partitionBy(*by, "_parent"))
 
 

@@ -85,11 +85,12 @@ def build_entity(grain: DataFrame, config: StarConfig) -> DataFrame:
 def build_category(grain: DataFrame, config: StarConfig) -> DataFrame:
     """Hierarchy leaves in the order they first appear in the sorted grain.
 
-    The first appearance is the smallest key prefix, a mergeable minimum, so no sort of the
-    grain is needed. Leaves come from the driver-side catalogue, which bounds their number.
+    The grain's slots follow its sort order, so the first appearance is the smallest slot: a
+    minimum that is combined before the shuffle. Leaves come from the driver-side catalogue,
+    which bounds their number.
     """
     levels = ("bien_juridico", "tipo_delito", "subtipo_delito")
-    first = grain.groupBy(*levels).agg(F.min(F.struct(*GRAIN_KEYS[:6])).alias("_first"))
+    first = grain.groupBy(*levels).agg(F.min("_slot").alias("_first"))
     leaf = F.col("subtipo_delito")
     described = dense_key(first, ["_first"], "id_delito", len(config.categories)).select(
         "*",
@@ -122,16 +123,14 @@ def build_fact(
     return conform(filled, FACT, **{MEASURE: config.measure_type})
 
 
-def require_lookup_keys(grain: DataFrame, config: StarConfig) -> None:
-    """The fact resolves entities by key and leaves by name alone, so both must be unique."""
-    if isinstance(config.regions, DataFrame):
-        require_unique(config.regions, config.regions.columns[:1], "regions")
-    entities = grain.select("clave_entidad", "nombre_entidad").distinct()
-    require_unique(entities, ["clave_entidad"], "entities")
-    leaves = grain.select("bien_juridico", "tipo_delito", "subtipo_delito").distinct()
-    require_unique(leaves, ["subtipo_delito"], "categories")
-    periods = grain.select("anio", "mes", "nombre_mes").distinct()
-    require_unique(periods, ["anio", "mes"], "periods")
+def require_lookup_keys(time: DataFrame, entity: DataFrame, category: DataFrame) -> None:
+    """The fact resolves entities by key and leaves by name alone, so both must be unique.
+
+    A key with two names, a leaf under two types or a region listed twice shows up here.
+    """
+    require_unique(time, ["anio", "mes"], TIME)
+    require_unique(entity, ["clave_entidad"], ENTITY)
+    require_unique(category, ["subtipo_delito"], CATEGORY)
 
 
 def build_star(grain: DataFrame, config: StarConfig) -> Star:
@@ -140,8 +139,8 @@ def build_star(grain: DataFrame, config: StarConfig) -> Star:
     The dimensions are written before the fact is joined to them: they are built once, and
     their sizes are known when Spark chooses how to join.
     """
-    require_lookup_keys(grain, config)
     time, entity, category = (
         materialise(build(grain, config), build.__name__) for build in (build_time, build_entity, build_category)
     )
+    require_lookup_keys(time, entity, category)
     return Star(time, entity, category, build_fact(grain, time, entity, category, config))

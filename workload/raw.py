@@ -56,8 +56,12 @@ def lethal_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def percentile_of_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price percentiles per return flag: three groups, each about a third of all lines."""
-    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", cents("l_extendedprice").alias("cents"))
+    """Price percentiles per return flag: three groups, each about a third of all lines.
+
+    One line's price in cents is an INT; a larger one would fail the cast, not wrap.
+    """
+    price = cents("l_extendedprice").cast("int").alias("cents")
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", price)
     return percentiles(rows, ["l_returnflag"], "cents", {"mediana": 0.5, "p90": 0.9}, largest="maximo")
 
 
