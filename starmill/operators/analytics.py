@@ -13,6 +13,13 @@ from starmill.functions.scalars import percent
 from starmill.operators.keys import ONE_TASK_ROWS
 from starmill.session import materialise
 
+# A histogram pass splits a value range into 2^16 buckets.
+_BUCKET_BITS = 16
+BUCKETS = 1 << _BUCKET_BITS
+
+# Most counted rows that a broadcast hint is given for.
+BROADCAST_ROWS = 50_000
+
 
 def totals(df: DataFrame, by: Sequence[str], measure: str, out: str) -> DataFrame:
     """SUM by group; NULL when a group has no value."""
@@ -109,28 +116,29 @@ def percentiles(
     """Exact PERCENTILE_CONT (linear interpolation, NULLs ignored) of a whole-number measure,
     and its maximum where `largest` names a column for it.
 
-    The built-in keeps every distinct value of a group in one task. That is bounded for 8- and
-    16-bit measures, which use it. Wider ones are narrowed 16 bits at a time: counts per
-    bucket tell which bucket holds each wanted rank, and only those buckets are looked into,
-    so a task sees at most 65,536 buckets of a group however many rows the group has.
+    The built-in keeps every distinct value of a group in one task, so it serves where the
+    value range bounds them. A wider range is narrowed by histograms: row counts per bucket
+    tell which bucket holds each wanted rank, and the next pass splits only those buckets.
+    A task holds at most BUCKETS counts of a group, however many rows the group has.
     """
     kind = df.schema[measure].dataType
-    if isinstance(kind, (T.ByteType, T.ShortType)):
-        values = df.groupBy(*by).agg(
-            F.percentile(measure, list(outputs.values())).alias("_p"), F.max(measure).alias("_largest")
-        )
-        picked = [F.col("_p")[i].alias(out) for i, out in enumerate(outputs)]
-        return values.select(*by, *picked, *([F.col("_largest").alias(largest)] if largest else []))
-    widths = {T.IntegerType: 32, T.LongType: 64}
-    if type(kind) not in widths:
+    if not isinstance(kind, T.IntegralType):
         raise TypeError(f"percentiles needs a whole-number measure, {measure} is {kind.simpleString()}")
+    rows = df.select(*by, F.col(measure).alias("_value")).where("_value IS NOT NULL")
+    low, high = rows.agg(F.min("_value"), F.max("_value")).first()
+    span = 0 if low is None else high - low
+    if span < BUCKETS:
+        values = F.percentile("_value", list(outputs.values())).alias("_p")
+        picked = [F.col("_p")[i].alias(out) for i, out in enumerate(outputs)]
+        top = [F.col("_top").alias(largest)] if largest else []
+        return rows.groupBy(*by).agg(values, F.max("_value").alias("_top")).select(*by, *picked, *top)
 
     shares = [*outputs.values(), *([1.0] if largest else [])]
-    counts = df.groupBy(*by, F.col(measure).alias("_value")).agg(F.count("*").alias("_n"))
-    counts = counts.where("_value IS NOT NULL")
-    found = _first_buckets(counts, by, shares, widths[type(kind)] - 16)
-    for shift in range(widths[type(kind)] - 32, -1, -16):
-        found = _next_buckets(counts, found, by, shift)
+    shift = (span.bit_length() - 1) // _BUCKET_BITS * _BUCKET_BITS
+    found = _first_buckets(rows, by, shares, shift)
+    while shift:
+        shift -= _BUCKET_BITS
+        found = _next_buckets(rows, materialise(found, "buckets"), by, shift)
 
     def at(i: int, side: str) -> Column:
         return F.max(F.when((F.col("w.i") == i) & (F.col("w.side") == side), F.col("_bucket")))
@@ -153,8 +161,8 @@ def percentiles_approx(
     return df.groupBy(*by).agg(sketch).select(*by, *picked)
 
 
-def _first_buckets(counts: DataFrame, by: Sequence[str], shares: Sequence[float], shift: int) -> DataFrame:
-    """Buckets of the top 16 bits that hold a wanted rank; `w` says which and how far in."""
+def _first_buckets(rows: DataFrame, by: Sequence[str], shares: Sequence[float], shift: int) -> DataFrame:
+    """Buckets of 2^shift values that hold a wanted rank; `w` says which and how far in."""
     group = Window.partitionBy(*by)
     size = F.col("_size")
     wanted = []
@@ -171,24 +179,31 @@ def _first_buckets(counts: DataFrame, by: Sequence[str], shares: Sequence[float]
                 )
             )
     buckets = (
-        counts.groupBy(*by, F.shiftright("_value", shift).alias("_bucket"))
-        .agg(F.sum("_n").alias("_n"))
+        rows.groupBy(*by, F.shiftright("_value", shift).alias("_bucket"))
+        .agg(F.count("*").alias("_n"))
         .withColumn("_size", F.sum("_n").over(group))
         .withColumn("_wanted", F.array(*wanted))
     )
     return _holding(buckets, by, group)
 
 
-def _next_buckets(counts: DataFrame, found: DataFrame, by: Sequence[str], shift: int) -> DataFrame:
-    """Split the found buckets 16 bits finer and keep the parts that hold a wanted rank."""
+def _next_buckets(rows: DataFrame, found: DataFrame, by: Sequence[str], shift: int) -> DataFrame:
+    """Split the found buckets 2^16-fold and keep the parts that hold a wanted rank.
+
+    Few found buckets are broadcast, so rows outside them are dropped where they are read.
+    Many, as of very many groups, are joined to counts per value, which no hot value skews.
+    """
+    keys = [*by, "_parent"]
+    few = found.count() <= BROADCAST_ROWS
     found = found.groupBy(*by, F.col("_bucket").alias("_parent")).agg(F.collect_list("w").alias("_wanted"))
-    finer = counts.withColumn("_parent", F.shiftright("_value", shift + 16))
-    parts = _join_groups(finer, found, [*by, "_parent"]).withColumn("_bucket", F.shiftright("_value", shift))
-    if shift:
-        parts = parts.groupBy(*by, "_parent", "_bucket").agg(
-            F.sum("_n").alias("_n"), F.first("_wanted").alias("_wanted")
-        )
-    return _holding(parts, by, Window.partitionBy(*by, "_parent"))
+    finer = rows.withColumn("_parent", F.shiftright("_value", shift + _BUCKET_BITS))
+    if few:
+        inside = _join_groups(finer, F.broadcast(found.drop("_wanted")), keys).withColumn("_n", F.lit(1))
+    else:
+        counts = finer.groupBy(*keys, "_value").agg(F.count("*").alias("_n"))
+        inside = _join_groups(counts, found.drop("_wanted"), keys)
+    parts = inside.groupBy(*keys, F.shiftright("_value", shift).alias("_bucket")).agg(F.sum("_n").alias("_n"))
+    return _holding(_join_groups(parts, found, keys), by, Window.partitionBy(*keys))
 
 
 def _holding(buckets: DataFrame, by: Sequence[str], group) -> DataFrame:

@@ -23,7 +23,7 @@ IDS = [SOURCE_COLUMNS[c] for c in ("year", "entity_key", "entity_name", "good",
 
 def cents(column: str) -> Column:
     """A two-decimal amount as whole cents, so sums do not depend on their order."""
-    return (F.col(column).cast("decimal(18,2)") * 100).cast("bigint")
+    return F.rint(F.col(column) * 100).cast("bigint")
 
 
 def quantity() -> Column:

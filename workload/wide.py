@@ -53,43 +53,50 @@ def config(spark: SparkSession, sf_dir: str) -> StarConfig:
     )
 
 
-def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per shipped line under the wide source's id columns, with month and quantity."""
-    lineitem, supplier, part = (table(spark, sf_dir, name) for name in ("lineitem", "supplier", "part"))
-    c = SOURCE_COLUMNS
-    return (
-        lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.year("l_shipdate").alias(c["year"]),
-            F.col("s_suppkey").alias(c["entity_key"]),
-            F.col("s_name").alias(c["entity_name"]),
-            F.substring("p_type", 1, 1).alias(c["good"]),
-            F.substring("p_type", 1, 3).alias(c["kind"]),
-            F.col("p_type").alias(c["leaf"]),
-            F.col("l_returnflag").alias(c["detail"][0]),
-            F.month("l_shipdate").alias("month"),
-            F.col("l_quantity").cast("bigint").alias("quantity"),
-        )
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipped lines with their category, and their quantity in the column of their month."""
+    lineitem, part = (table(spark, sf_dir, name) for name in ("lineitem", "part"))
+    lines = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "l_suppkey",
+        F.year("l_shipdate").alias("year"),
+        "p_type",
+        "l_returnflag",
+        F.month("l_shipdate").alias("month"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
     )
+    cells = [F.when(F.col("month") == i, F.col("quantity")).alias(m) for i, m in enumerate(MONTHS, 1)]
+    return lines.select("l_suppkey", "year", "p_type", "l_returnflag", *cells)
 
 
-def _cells() -> list:
-    return [F.when(F.col("month") == i, F.col("quantity")).alias(m) for i, m in enumerate(MONTHS, 1)]
+def _named(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Under the wide source's column names, with the supplier as entity."""
+    c = SOURCE_COLUMNS
+    return lines.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(
+        F.col("year").alias(c["year"]),
+        F.col("s_suppkey").alias(c["entity_key"]),
+        F.col("s_name").alias(c["entity_name"]),
+        F.substring("p_type", 1, 1).alias(c["good"]),
+        F.substring("p_type", 1, 3).alias(c["kind"]),
+        F.col("p_type").alias(c["leaf"]),
+        F.col("l_returnflag").alias(c["detail"][0]),
+        *MONTHS,
+    )
 
 
 def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every shipped line as its own wide row, one month filled: the source at full size."""
-    lines = shipped(spark, sf_dir)
-    ids = [c for c in lines.columns if c not in ("month", "quantity")]
-    return lines.select(*[F.col(f"`{c}`") for c in ids], *_cells())
+    return _named(_lines(spark, sf_dir), spark, sf_dir)
 
 
 def wide_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide table: one row per id and detail combination, NULL in months without a line."""
-    lines = wide_lines(spark, sf_dir)
-    ids = [F.col(f"`{c}`") for c in lines.columns if c not in MONTHS]
-    return lines.groupBy(*ids).agg(*[F.sum(m).alias(m) for m in MONTHS])
+    """The wide table: one row per id and detail combination, NULL in months without a line.
+
+    Lines are summed before suppliers are joined, so a supplier with very many lines is a few
+    rows by then.
+    """
+    keys = ("l_suppkey", "year", "p_type", "l_returnflag")
+    summed = _lines(spark, sf_dir).groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MONTHS])
+    return _named(summed, spark, sf_dir)
 
 
 @dataclass(frozen=True)
