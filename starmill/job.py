@@ -15,12 +15,10 @@ from starmill.plans import queries, validate
 from starmill.plans.build import build_grain, build_star
 from starmill.plans.load import export_csv, load_star
 from starmill.plans.star import Star
-from starmill.presets import STATE_INCIDENCE
+from starmill.presets import HEADLINE_LEAF, STATE_INCIDENCE
 from starmill.session import get_session
 from starmill.sources.wide import read_wide_csv
 
-HEADLINE_LEAF = "Feminicidio"
-
 
 def refresh(spark: SparkSession, source: str, warehouse: str, config: StarConfig) -> Star:
     """Rebuild the star from `source` and publish it under `warehouse` if the written tables

@@ -56,16 +56,22 @@ def append_jdbc(
 
 def read_star(spark: SparkSession, base: str) -> Star:
     """The current star under `base`."""
-    current = _current(spark, base)
-    if current is None:
-        raise FileNotFoundError(f"no star has been published under {base}")
-    return read_tables(spark, current[1])
+    return read_tables(spark, _published(spark, base))
 
 
 def read_tables(spark: SparkSession, path: str) -> Star:
     return Star(**{name: spark.read.parquet(f"{path}/{name}") for name in TABLES})
 
 
+def register_tables(spark: SparkSession, base: str, database: str) -> None:
+    """Make the current star under `base` addressable as `database`.table in SQL text."""
+    current = _published(spark, base)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.catalog.createTable(f"{database}.{name}", f"{current}/{name}", "parquet")
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a result as CSV: header, CRLF line ends, NULL as an empty field.
 
@@ -75,6 +81,13 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, nullValue="", lineSep="\r\n")
 
 
+def _published(spark: SparkSession, base: str) -> str:
+    current = _current(spark, base)
+    if current is None:
+        raise FileNotFoundError(f"no star has been published under {base}")
+    return current[1]
+
+
 def _current(spark: SparkSession, base: str) -> tuple[int, str] | None:
     try:
         log = spark.read.schema("version int, path string").parquet(f"{base}/{_LOG}")
@@ -82,5 +95,5 @@ def _current(spark: SparkSession, base: str) -> tuple[int, str] | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    newest = log.orderBy(F.desc("version")).limit(1).collect()
+    newest = log.orderBy(F.desc("version"), F.desc("path")).limit(1).collect()
     return tuple(newest[0]) if newest else None

@@ -11,13 +11,14 @@ SF_DIR = Path("/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
         "tests",
         **{
             "spark.master": "local[4]",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.ui.showConsoleProgress": "false",
         },
     )

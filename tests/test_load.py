@@ -10,7 +10,7 @@ from starmill import job
 from starmill.operators import quality
 from starmill.plans import queries, validate
 from starmill.plans.build import build_grain, build_star
-from starmill.plans.load import append_star, export_csv, load_star, read_star, read_tables
+from starmill.plans.load import append_star, export_csv, load_star, read_star, read_tables, register_tables
 from starmill.presets import CATEGORIES, REGIONS, STATE_INCIDENCE
 from starmill.session import materialise, shared_dir
 from starmill.sources.wide import profile, read_wide_csv, wide_schema, write_wide_csv
@@ -123,6 +123,21 @@ def test_views_answer_plain_sql(spark, star):
     assert [tuple(r) for r in found.collect()] == [("North", 2019, 24, 1), ("South", 2020, 48, 1), ("North", 2020, 36, 2)]
 
 
+def test_registered_tables_answer_schema_qualified_sql(spark, star, tmp_path):
+    base = str(tmp_path / "w")
+    load_star(star_of(spark, ROWS[:1]), base)
+    register_tables(spark, base, "monthly")
+    load_star(star, base)
+    register_tables(spark, base, "monthly")
+    found = spark.sql(
+        """SELECT subtipo_delito, PERCENTILE_CONT(0.90) WITHIN GROUP (ORDER BY num_victimas) AS p90,
+                  SUM(num_victimas) FILTER (WHERE es_letal = TRUE) AS lethal
+           FROM monthly.fact_victimas JOIN monthly.dim_delito USING (id_delito)
+           GROUP BY subtipo_delito ORDER BY p90 DESC NULLS FIRST"""
+    )
+    assert [tuple(r) for r in found.collect()] == [("harm", 4.0, None), ("lethal", 3.0, 60)]
+
+
 @pytest.fixture(scope="module")
 def incidence_csv(spark, tmp_path_factory):
     """Every entity and category of the preset over two years, plus a leaf it does not list."""
