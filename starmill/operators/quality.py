@@ -6,7 +6,7 @@ Checks are lazy and each reads its input once, so a report is one union of them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -58,25 +58,14 @@ def sum_reconcile(
 
 def orphans(fact: DataFrame, lookups: Sequence[Lookup], name: str = "orphans") -> DataFrame:
     """Fact rows that miss at least one dimension, each counted once."""
-    missing = []
-    for number, lookup in enumerate(lookups):
-        (mine, theirs) = next(iter(lookup.on.items()))
-        found = f"_found{number}"
-        fact = fact.join(lookup.table.select(F.col(theirs).alias(found)), F.col(mine) == F.col(found), "left")
-        missing.append(F.col(found).isNull())
-    lost = reduce(lambda a, b: a | b, missing)
-    return _one(name, fact.where(lost).agg(F.count("*").alias("violations")))
+    matched, missing = _matched(fact, lookups)
+    lost = reduce(lambda a, b: a | b, missing.values())
+    return _one(name, matched.agg(F.count_if(lost).alias("violations")))
 
 
 def orphans_by_key(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Fact rows without a match, one row per dimension."""
-    checks = []
-    for lookup in lookups:
-        (mine, theirs) = next(iter(lookup.on.items()))
-        keys = lookup.table.select(F.col(theirs).alias("_key"))
-        lost = fact.select(mine).join(keys, F.col(mine) == F.col("_key"), "left_anti")
-        checks.append(_one(mine, lost.agg(F.count("*").alias("violations"))))
-    return union(checks)
+    """Fact rows without a match, one row per dimension, all dimensions in one pass."""
+    return _per_column(*_matched(fact, lookups))
 
 
 def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -87,30 +76,48 @@ def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 
 def not_null(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
     """NULLs per column, all columns in one pass."""
-    return _per_column(df, {c: F.col(f"`{c}`").isNull() for c in columns}, table)
+    return _per_column(df, {f"{table}.{c}": F.col(f"`{c}`").isNull() for c in columns})
 
 
 def max_length(df: DataFrame, limits: Mapping[str, int], table: str) -> DataFrame:
     """Texts longer than the column allows, all columns in one pass."""
-    return _per_column(df, {c: F.char_length(F.col(f"`{c}`")) > n for c, n in limits.items()}, table)
+    return _per_column(df, {f"{table}.{c}": F.char_length(F.col(f"`{c}`")) > n for c, n in limits.items()})
 
 
-def coverage(df: DataFrame, column: str, catalogue: DataFrame, name: str) -> DataFrame:
-    """Distinct values of `column` that the catalogue's first column does not list."""
-    key = catalogue.columns[0]
-    values = df.select(F.col(f"`{column}`").alias("_value")).distinct()
-    unknown = values.join(catalogue.select(F.col(f"`{key}`").alias("_key")), F.col("_value") == F.col("_key"), "left_anti")
+def coverage(df: DataFrame, column: str, catalogue: Iterable[str] | DataFrame, name: str) -> DataFrame:
+    """Distinct values of `column` that a list, or a DataFrame's first column, does not hold."""
+    values = df.select(F.col(f"`{column}`").alias("_value")).where("_value IS NOT NULL").distinct()
+    if isinstance(catalogue, DataFrame):
+        known = catalogue.select(F.col(f"`{catalogue.columns[0]}`").alias("_key"))
+        unknown = values.join(known, F.col("_value") == F.col("_key"), "left_anti")
+    else:
+        unknown = values.where(~F.col("_value").isin(*catalogue))
     return _one(name, unknown.agg(F.count("*").alias("violations")))
 
 
+def _matched(fact: DataFrame, lookups: Sequence[Lookup]) -> tuple[DataFrame, dict[str, Column]]:
+    """The fact's keys beside the dimension keys they match, and a test per key for none.
+
+    Dimension keys are made distinct, so a repeated one does not multiply fact rows.
+    """
+    missing = {}
+    for number, lookup in enumerate(lookups):
+        (mine, theirs) = next(iter(lookup.on.items()))
+        found = f"_found{number}"
+        keys = lookup.table.select(F.col(theirs).alias(found)).distinct()
+        fact = fact.join(keys, F.col(mine) == F.col(found), "left")
+        missing[mine] = F.col(found).isNull()
+    return fact, missing
+
+
 def _one(name: str, count: DataFrame) -> DataFrame:
     status = F.when(F.col("violations") == 0, OK).otherwise(MISMATCH)
     return count.select(F.lit(name).alias("check"), "violations", status.alias("status"))
 
 
-def _per_column(df: DataFrame, tests: Mapping[str, Column], table: str) -> DataFrame:
-    counted = df.agg(*[F.count_if(test).alias(c) for c, test in tests.items()])
-    rows = [F.struct(F.lit(f"{table}.{c}").alias("check"), F.col(f"`{c}`").alias("violations")) for c in tests]
+def _per_column(df: DataFrame, tests: Mapping[str, Column]) -> DataFrame:
+    counted = df.agg(*[F.count_if(test).alias(f"_{i}") for i, test in enumerate(tests.values())])
+    rows = [F.struct(F.lit(name).alias("check"), F.col(f"_{i}").alias("violations")) for i, name in enumerate(tests)]
     long = counted.select(F.explode(F.array(*rows)).alias("r")).select("r.check", "r.violations")
     return long.withColumn("status", F.when(F.col("violations") == 0, OK).otherwise(MISMATCH))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starmill.functions.scalars import percent
 from starmill.operators.analytics import percentiles, totals
-from starmill.plans.queries import flagged_by_year, monthly_series, yearly_by_category
+from starmill.plans.queries import by_month, by_year_and_category, flagged_by_year, yearly_by_category
 from starmill.plans.star import CATEGORY, ENTITY, IDS, MEASURE, TIME, Star
 
 
@@ -75,16 +75,14 @@ def flagged_split(star: Star) -> DataFrame:
 
 def seasonality(star: Star, leaf: str) -> DataFrame:
     """Mean monthly total of one leaf category for each month of the year."""
-    monthly = monthly_series(star, leaf)
-    return (
-        monthly.groupBy("mes", "nombre_mes").agg(F.avg("total_mensual").alias("promedio_mensual")).orderBy("mes")
-    )
+    mean = F.avg("total_mensual").alias("promedio_mensual")
+    return by_month(star, leaf).groupBy("mes", "nombre_mes").agg(mean).orderBy("mes")
 
 
 def category_growth(star: Star) -> DataFrame:
     """Leaf categories ranked by growth from their first to their last year."""
     ends = (
-        yearly_by_category(star)
+        by_year_and_category(star)
         .groupBy("subtipo_delito")
         .agg(
             F.min("anio").alias("primer_anio"),

@@ -104,13 +104,20 @@ def top_n_total(star: Star, n: int = 10) -> DataFrame:
     return top_n(by_entity, "total_acumulado", n, ["nombre_entidad"])
 
 
+def by_month(star: Star, leaf: str) -> DataFrame:
+    rows = star.joined(TIME, CATEGORY).where(F.col("subtipo_delito") == leaf)
+    return totals(rows, ["anio", "mes", "nombre_mes"], MEASURE, "total_mensual")
+
+
+def by_year_and_category(star: Star) -> DataFrame:
+    return totals(star.joined(TIME, CATEGORY), ["anio", "subtipo_delito"], MEASURE, "total_victimas")
+
+
 def monthly_series(star: Star, leaf: str) -> DataFrame:
     """Month by month total of one leaf category."""
-    rows = star.joined(TIME, CATEGORY).where(F.col("subtipo_delito") == leaf)
-    return totals(rows, ["anio", "mes", "nombre_mes"], MEASURE, "total_mensual").orderBy("anio", "mes")
+    return by_month(star, leaf).orderBy("anio", "mes")
 
 
 def yearly_by_category(star: Star) -> DataFrame:
     """Total per year and leaf category."""
-    by_year = totals(star.joined(TIME, CATEGORY), ["anio", "subtipo_delito"], MEASURE, "total_victimas")
-    return by_year.orderBy("anio", "subtipo_delito")
+    return by_year_and_category(star).orderBy("anio", "subtipo_delito")

@@ -84,7 +84,8 @@ def test_flagged_categories_add_up_to_the_yearly_change_totals(golden):
 
 def test_lethal_share_by_entity(golden):
     lethal = totals(golden["change"], ["nombre_entidad"], "total", "lethal")
-    shares = golden["map"].join(lethal, "nombre_entidad").select("nombre_entidad", percent(F.col("lethal"), F.col("total_victimas")).alias("p"))
+    share = percent(F.col("lethal"), F.col("total_victimas")).alias("p")
+    shares = golden["map"].join(lethal, "nombre_entidad").select("nombre_entidad", share)
     top = [(r.nombre_entidad, float(r.p)) for r in shares.orderBy(F.desc("p")).limit(3).collect()]
     assert top == [("Tlaxcala", 31.6), ("Guerrero", 22.8), ("Michoacán de Ocampo", 21.7)]
 

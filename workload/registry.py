@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.operators.reshape import keep_listed, unpivot_periods
+from starmill.operators.reshape import unpivot_periods
 from starmill.plans import build, derived, queries
 from starmill.plans.load import export_csv, load_star, read_star
 from starmill.plans.star import FACT, Star
@@ -88,8 +88,8 @@ def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = queries.yoy_change(built(spark, sf_dir).star)
     path = scratch_path(spark, "export")
     export_csv(result, path)
-    schema = "nombre_entidad string, anio int, total bigint, anio_anterior bigint, variacion_absoluta bigint, pct_cambio double"
-    return spark.read.schema(schema).csv(path, header=True, lineSep="\r\n")
+    schema = "nombre_entidad string, anio smallint, total bigint, anio_anterior bigint, variacion_absoluta bigint"
+    return spark.read.schema(f"{schema}, pct_cambio double").csv(path, header=True, lineSep="\r\n")
 
 
 REGISTRY: dict[str, Query] = {
