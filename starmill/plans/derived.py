@@ -55,7 +55,7 @@ def sliced_yearly(star: Star, first: str, last: str) -> DataFrame:
 
 
 def region_totals(star: Star) -> DataFrame:
-    by_region = totals(star.partial(), ["region"], MEASURE, "total_victimas")
+    by_region = totals(star.per_entity(), ["region"], MEASURE, "total_victimas")
     return by_region.orderBy(F.desc_nulls_first("total_victimas"), "region")
 
 

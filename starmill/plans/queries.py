@@ -35,7 +35,7 @@ def table_counts(star: Star) -> DataFrame:
 
 def rank_by_period(star: Star, leaf: str, total: str = "total_feminicidios") -> DataFrame:
     """Entities ranked by one leaf category, year by year."""
-    sums = star.partial("anio", where=F.col("subtipo_delito") == leaf)
+    sums = star.per_entity(TIME, CATEGORY, by=["anio"], where=F.col("subtipo_delito") == leaf)
     yearly = totals(sums, ["nombre_entidad", "anio"], MEASURE, total)
     # A year ranks each entity once; the dimension's row count comes from file footers.
     entities = star.dim_entidad.count()
@@ -45,7 +45,7 @@ def rank_by_period(star: Star, leaf: str, total: str = "total_feminicidios") ->
 
 def flagged_by_year(star: Star) -> DataFrame:
     """Total of the flagged categories per entity and year."""
-    sums = star.partial("anio", where=F.col("es_letal"))
+    sums = star.per_entity(TIME, CATEGORY, by=["anio"], where=F.col("es_letal"))
     return totals(sums, ["nombre_entidad", "anio"], MEASURE, "total")
 
 
@@ -67,7 +67,7 @@ def yoy_change(star: Star, consecutive: bool = False) -> DataFrame:
 def lethal_share(star: Star) -> DataFrame:
     """Share of the flagged categories in each entity's total."""
     shares = share_where(
-        star.partial("es_letal"),
+        star.per_entity(CATEGORY, by=["es_letal"]),
         ["nombre_entidad"],
         MEASURE,
         F.col("es_letal"),
@@ -94,13 +94,13 @@ def percentile_approx_by_group(star: Star, accuracy: int = 10_000) -> DataFrame:
 
 def map_totals(star: Star, total: str = "total_victimas") -> DataFrame:
     """Total per entity with its region."""
-    by_entity = totals(star.partial(), ["nombre_entidad", "region"], MEASURE, total)
+    by_entity = totals(star.per_entity(), ["nombre_entidad", "region"], MEASURE, total)
     return by_entity.orderBy(F.desc_nulls_first(total), "nombre_entidad")
 
 
 def top_n_total(star: Star, n: int = 10) -> DataFrame:
     """The entities with the largest totals."""
-    by_entity = totals(star.partial(), ["nombre_entidad", "region"], MEASURE, "total_acumulado")
+    by_entity = totals(star.per_entity(), ["nombre_entidad", "region"], MEASURE, "total_acumulado")
     return top_n(by_entity, "total_acumulado", n, ["nombre_entidad"])
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 TIME, ENTITY, CATEGORY, FACT = "dim_tiempo", "dim_entidad", "dim_delito", "fact_victimas"
 
 # Load order: dimensions before the fact.
-TABLES = (TIME, ENTITY, CATEGORY, FACT)
+DIMENSIONS = (TIME, ENTITY, CATEGORY)
+TABLES = (*DIMENSIONS, FACT)
 
 IDS = {TIME: "id_tiempo", ENTITY: "id_entidad", CATEGORY: "id_delito", FACT: "id_hecho"}
 
@@ -77,24 +78,24 @@ class Star:
         return {name: getattr(self, name) for name in TABLES}
 
     def joined(self, *dimensions: str) -> DataFrame:
-        """The fact inner-joined with the named dimensions (all when none is named)."""
+        """The fact inner-joined with the named dimensions."""
         wide = self.fact_victimas
-        for name in dimensions or (TIME, ENTITY, CATEGORY):
+        for name in dimensions:
             wide = wide.join(getattr(self, name), IDS[name], "inner")
         return wide
 
-    def partial(self, *columns: str, where: Column | None = None) -> DataFrame:
-        """The measure summed per entity and `columns` of the other dimensions.
+    def per_entity(self, *dimensions: str, by: Sequence[str] = (), where: Column | None = None) -> DataFrame:
+        """The measure summed per entity and `by`, beside the entity's columns.
 
-        The time and category dimensions are bounded by the calendar and the catalogue and are
+        The other named dimensions are bounded by the calendar and the catalogue and are
         joined, and filtered by `where`, before the sum. Entities may be many and one of them
         may hold much of the fact, so the sum is taken per entity id first and the entity's
         columns are joined to the sums, which a further SUM can group as it likes.
         """
-        sums = self.joined(TIME, CATEGORY)
+        rows = self.joined(*dimensions)
         if where is not None:
-            sums = sums.where(where)
-        sums = sums.groupBy(IDS[ENTITY], *columns).agg(F.sum(MEASURE).alias(MEASURE))
+            rows = rows.where(where)
+        sums = rows.groupBy(IDS[ENTITY], *by).agg(F.sum(MEASURE).alias(MEASURE))
         return sums.join(self.dim_entidad, IDS[ENTITY])
 
     def sliced(self, first: str, last: str) -> Star:

@@ -8,13 +8,13 @@ from starmill.config import StarConfig
 from starmill.operators import quality
 from starmill.operators.keys import Lookup
 from starmill.plans.build import keep_categories
-from starmill.plans.star import ENTITY, FACT, IDS, MEASURE, TABLES, Star, declared
+from starmill.plans.star import DIMENSIONS, ENTITY, FACT, IDS, MEASURE, TABLES, Star, declared
 
 GRAIN = ("id_tiempo", "id_entidad", "id_delito")
 
 
 def foreign_keys(star: Star) -> list[Lookup]:
-    return [Lookup(star.tables()[name], IDS[name], {IDS[name]: IDS[name]}) for name in TABLES[:-1]]
+    return [Lookup(star.tables()[name], IDS[name], {IDS[name]: IDS[name]}) for name in DIMENSIONS]
 
 
 def orphans(star: Star) -> DataFrame:

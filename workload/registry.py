@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starmill.operators.reshape import unpivot_periods
 from starmill.plans import build, derived, queries
 from starmill.plans.load import export_csv, load_star, read_star
-from starmill.plans.star import FACT, Star
+from starmill.plans.star import DIMENSIONS, FACT, Star
 from starmill.presets import MONTHS
 from starmill.session import scratch_path
 from starmill.sources.wide import profile, read_wide_csv, write_wide_csv
@@ -71,7 +71,7 @@ def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_join(star: Star) -> DataFrame:
-    return star.joined().drop("fecha_carga")
+    return star.joined(*DIMENSIONS).drop("fecha_carga")
 
 
 def load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
