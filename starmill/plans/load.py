@@ -90,7 +90,7 @@ def _published(spark: SparkSession, base: str) -> str:
 
 def _current(spark: SparkSession, base: str) -> tuple[int, str] | None:
     try:
-        log = spark.read.schema("version int, path string").parquet(f"{base}/{_LOG}")
+        log = spark.read.schema("version int, path string").parquet(f"{base}/{_LOG}/*.parquet")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -10,7 +10,7 @@ from starmill.config import StarConfig
 
 
 def wide_schema(config: StarConfig) -> T.StructType:
-    """Declared schema, in file order: ids, detail columns, one measure column per month."""
+    """Declared schema: ids, detail columns, one measure column per month."""
     key = T.LongType() if config.entity_key_type == "bigint" else T.IntegerType()
     whole = {config.year: T.IntegerType(), config.entity_key: key}
     ids = [T.StructField(c, whole.get(c, T.StringType())) for c in config.ids]
@@ -20,18 +20,26 @@ def wide_schema(config: StarConfig) -> T.StructType:
 
 
 def read_wide_csv(spark: SparkSession, path: str, config: StarConfig, encoding: str = "ISO-8859-1") -> DataFrame:
-    """Scan the source with a declared schema, so there is no inference pass and files split.
+    """Scan the source, finding columns by the names in its header.
 
-    The header is checked against the schema, and a malformed cell fails the scan.
+    Types are declared, so there is no inference pass and files split. Further columns stay
+    as text and are not parsed unless used. All files must have the same header, and a
+    malformed row or cell fails the scan.
     """
-    return (
-        spark.read.schema(wide_schema(config))
-        .option("header", True)
+    text = (
+        spark.read.option("header", True)
         .option("encoding", encoding)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    types = {field.name: field.dataType for field in wide_schema(config)}
+    missing = [c for c in (*config.ids, *config.months) if c not in text.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return text.select(
+        *[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in text.columns]
+    )
 
 
 def write_wide_csv(df: DataFrame, path: str, config: StarConfig, encoding: str = "ISO-8859-1") -> None:
