@@ -30,7 +30,7 @@ def timed(run) -> float:
 def main() -> None:
     spark = get_session(
         "bench",
-        **{
+        {
             "spark.master": f"local[{CPUS}]",
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": "16g",

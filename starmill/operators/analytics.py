@@ -145,8 +145,9 @@ def percentiles(
 
     picked = []
     for i, out in enumerate(outputs):
+        below, above = at(i, "low").cast("double"), at(i, "high").cast("double")
         weight = F.max(F.when(F.col("w.i") == i, F.col("w.weight")))
-        picked.append((at(i, "low") + weight * (at(i, "high") - at(i, "low"))).cast("double").alias(out))
+        picked.append((below + weight * (above - below)).alias(out))
     if largest:
         picked.append(at(len(outputs), "high").alias(largest))
     return found.groupBy(*by).agg(*picked)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_session(app: str = "starmill", **conf: str) -> SparkSession:
-    """A session with the settings the operators expect; `conf` keys use `_` for `.`-free
-    names only, so pass a dict with `**{"spark.x.y": "z"}`."""
+def get_session(app: str = "starmill", conf: Mapping[str, str] | None = None) -> SparkSession:
+    """A session with the settings the operators expect, which `conf` can add to or override.
+
+    ANSI mode matters: with it a value that does not fit its declared type fails the job.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
@@ -19,7 +22,7 @@ def get_session(app: str = "starmill", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
     )
-    for key, value in conf.items():
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

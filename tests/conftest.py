@@ -14,7 +14,7 @@ SF_DIR = Path("/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     session = get_session(
         "tests",
-        **{
+        {
             "spark.master": "local[4]",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",

@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starmill.functions.scalars import percent
+from starmill.operators import analytics
 from starmill.operators.analytics import percentiles, percentiles_approx, rank_within, share_where, top_n
 from starmill.operators.keys import Lookup, dense_key, resolve_keys
 from starmill.operators.reshape import keep_listed, rollup_long, rollup_wide, unpivot_periods
@@ -28,8 +29,10 @@ def hot_rows(n, span, seed=7):
     return rows
 
 
-@pytest.mark.parametrize("kind, span", [("smallint", 300), ("int", 2_000_000_000), ("bigint", 2**61)])
-def test_percentiles_are_exact(spark, kind, span):
+@pytest.mark.parametrize("broadcast_rows", [analytics.BROADCAST_ROWS, 0], ids=["broadcast", "joined"])
+@pytest.mark.parametrize("kind, span", [("smallint", 300), ("int", 2_000_000_000), ("bigint", 2**63)])
+def test_percentiles_are_exact(spark, monkeypatch, kind, span, broadcast_rows):
+    monkeypatch.setattr(analytics, "BROADCAST_ROWS", broadcast_rows)
     rows = hot_rows(3000, span) + [("g1", -1, None), ("empty", -2, None)]
     df = spark.createDataFrame(rows, f"g string, i int, v {kind}")
     wanted = {"low": 0.0, "mid": 0.5, "p90": 0.9, "high": 1.0}
@@ -81,6 +84,14 @@ def test_ranks_of_a_spread_group_equal_a_window(spark):
     assert as_rows(spread) == as_rows(window)
 
 
+def test_operators_work_without_groups(spark):
+    df = spark.createDataFrame([(i, i * 100_000 % 7_000_000) for i in range(200)], "i int, v int")
+    values = sorted(r.v for r in df.collect())
+    assert percentiles(df, [], "v", {"mid": 0.5}, largest="top").collect() == [((values[99] + values[100]) / 2, values[-1])]
+    ranks = {r.v: r.r for r in rank_within(df, [], ["i"], "v", "r").collect()}
+    assert ranks[values[-1]] == 1 and ranks[values[0]] == 1 + sum(v > values[0] for v in values)
+
+
 def test_spread_ranks_use_no_window_over_a_whole_group(spark):
     df = spark.createDataFrame(hot_rows(90, 50), "g string, i int, v bigint")
     plan = rank_within(df, ["g"], ["i"], "v", "r")._jdf.queryExecution().optimizedPlan().toString()
