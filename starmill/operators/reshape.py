@@ -56,6 +56,16 @@ def rollup_long(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     )
 
 
+def sum_periods(df: DataFrame, ids: Sequence[str], periods: Sequence[str]) -> DataFrame:
+    """Sum each period column per id group, under the rules of `rollup_long`.
+
+    Each source row is hashed once, not once per period, and each shuffled row carries its
+    keys once for all periods. Partial sums absorb a hot id group before the shuffle.
+    """
+    sums = [F.coalesce(F.sum(F.col(f"`{c}`")), F.lit(0)).alias(c) for c in periods]
+    return df.where(all_not_null(ids)).groupBy(*[F.col(f"`{c}`") for c in ids]).agg(*sums)
+
+
 def rollup_wide(
     df: DataFrame,
     ids: Sequence[str],
@@ -64,12 +74,5 @@ def rollup_wide(
     measure: str,
     number: str,
 ) -> DataFrame:
-    """`unpivot_periods` then `rollup_long`, in the cheaper order.
-
-    Summing the period columns first means each source row is hashed once, not once per
-    period, and each shuffled row carries its keys once for all periods. Only grain rows are
-    unpivoted. Partial sums absorb a hot id group before the shuffle.
-    """
-    sums = [F.coalesce(F.sum(F.col(f"`{c}`")), F.lit(0)).alias(c) for c in periods]
-    per_id = df.where(all_not_null(ids)).groupBy(*[F.col(f"`{c}`") for c in ids]).agg(*sums)
-    return unpivot_periods(per_id, ids, periods, name, measure, number)
+    """`unpivot_periods` then `rollup_long`, in the cheaper order: only grain rows are unpivoted."""
+    return unpivot_periods(sum_periods(df, ids, periods), ids, periods, name, measure, number)

@@ -15,21 +15,13 @@ from starmill.operators.keys import (
     require_unique,
     resolve_keys,
 )
-from starmill.operators.reshape import keep_listed, rollup_wide
+from starmill.operators.reshape import keep_listed, sum_periods, unpivot_periods
 from starmill.plans.star import CATEGORY, ENTITY, FACT, MEASURE, SMALLINT_VALUES, TIME, Star, conform
 from starmill.session import materialise
 
-# Sort order of the grain, which is also the order fact ids are given in.
-GRAIN_KEYS = (
-    "anio",
-    "clave_entidad",
-    "nombre_entidad",
-    "bien_juridico",
-    "tipo_delito",
-    "subtipo_delito",
-    "mes",
-    "nombre_mes",
-)
+# The grain's keys. Ids are given in this order, months within their id group.
+ID_KEYS = ("anio", "clave_entidad", "nombre_entidad", "bien_juridico", "tipo_delito", "subtipo_delito")
+GRAIN_KEYS = (*ID_KEYS, "mes", "nombre_mes")
 
 
 def keep_categories(wide: DataFrame, config: StarConfig) -> DataFrame:
@@ -37,27 +29,42 @@ def keep_categories(wide: DataFrame, config: StarConfig) -> DataFrame:
     return keep_listed(wide, config.leaf, config.categories)
 
 
-def rolled_up(wide: DataFrame, config: StarConfig) -> DataFrame:
-    """Measure at the grain entity x leaf x month, under the star's column names."""
-    sources = (config.year, config.entity_key, config.entity_name, config.good, config.kind, config.leaf)
-    named = dict(zip(sources, GRAIN_KEYS[:6], strict=True))
-    months = list(config.months)
+def summed(wide: DataFrame, config: StarConfig) -> DataFrame:
+    """Month columns summed per entity, leaf and year, under the star's column names."""
+    named = dict(zip(config.ids, ID_KEYS, strict=True))
     renamed = keep_categories(wide, config).select(
         *[F.col(f"`{source}`").alias(name) for source, name in named.items()],
-        *[F.col(f"`{month}`").cast("bigint").alias(month) for month in months],
+        *[F.col(f"`{month}`").cast("bigint").alias(month) for month in config.months],
+    )
+    types = {"anio": "smallint", "clave_entidad": config.entity_key_type}
+    return sum_periods(renamed, ID_KEYS, config.months).select(
+        *[F.col(k).cast(types.get(k, "string")) for k in ID_KEYS], *config.months
     )
-    grain = rollup_wide(renamed, list(named.values()), months, "nombre_mes", MEASURE, "mes")
-    types = {"anio": "smallint", "clave_entidad": config.entity_key_type, "mes": "smallint"}
-    return grain.select(*[F.col(k).cast(types.get(k, "string")) for k in GRAIN_KEYS], MEASURE)
+
+
+def by_month(sums: DataFrame, config: StarConfig, *kept: str) -> DataFrame:
+    """One row per id group and month. `kept` are the id columns to carry along."""
+    long = unpivot_periods(sums, kept, config.months, "nombre_mes", MEASURE, "mes")
+    return long.withColumn("mes", F.col("mes").cast("smallint"))
+
+
+def rolled_up(wide: DataFrame, config: StarConfig) -> DataFrame:
+    """Measure at the grain entity x leaf x month."""
+    return by_month(summed(wide, config), config, *ID_KEYS)
 
 
 def build_grain(wide: DataFrame, config: StarConfig) -> DataFrame:
-    """The grain in key order, written once: three dimensions and the fact read it."""
-    return place_in_order(rolled_up(wide, config), GRAIN_KEYS)
+    """The grain in key order with its months side by side, written once.
+
+    The dimensions and the fact read it. Every id group has every month, so the order and
+    number of its months are known without sorting or storing one row for each.
+    """
+    return place_in_order(summed(wide, config), ID_KEYS)
 
 
 def build_time(grain: DataFrame, config: StarConfig) -> DataFrame:
-    periods = grain.select("anio", "mes", "nombre_mes").distinct()
+    months = F.array(*[F.struct(F.lit(i), F.lit(m)) for i, m in enumerate(config.months, 1)])
+    periods = grain.select("anio").distinct().select("anio", F.inline(months).alias("mes", "nombre_mes"))
     year, month = F.col("anio"), F.col("mes")
     described = dense_key(periods, ["anio", "mes"], "id_tiempo", SMALLINT_VALUES * len(config.months)).select(
         "*",
@@ -85,7 +92,7 @@ def build_entity(grain: DataFrame, config: StarConfig) -> DataFrame:
 def build_category(grain: DataFrame, config: StarConfig) -> DataFrame:
     """Hierarchy leaves in the order they first appear in the sorted grain.
 
-    The grain's slots follow its sort order, so the first appearance is the smallest slot: a
+    The grain's slots follow its key order, so the first appearance is the smallest slot: a
     minimum that is combined before the shuffle. Leaves come from the driver-side catalogue,
     which bounds their number.
     """
@@ -104,15 +111,20 @@ def build_category(grain: DataFrame, config: StarConfig) -> DataFrame:
 def build_fact(
     grain: DataFrame, time: DataFrame, entity: DataFrame, category: DataFrame, config: StarConfig
 ) -> DataFrame:
-    """Number the grain in key order and replace natural keys by dimension ids."""
-    keyed = resolve_keys(
-        number_placed(grain, "id_hecho"),
+    """Number the grain in key order and replace natural keys by dimension ids.
+
+    Entities and categories are resolved per id group, before it becomes twelve rows.
+    """
+    groups = resolve_keys(
+        number_placed(grain, "_group"),
         [
-            Lookup(time, "id_tiempo", {"anio": "anio", "mes": "mes"}),
             Lookup(entity, "id_entidad", {"clave_entidad": "clave_entidad"}),
             Lookup(category, "id_delito", {"subtipo_delito": "subtipo_delito"}),
         ],
     )
+    rows = by_month(groups, config, "_group", "anio", "id_entidad", "id_delito")
+    numbered = rows.withColumn("id_hecho", (F.col("_group") - 1) * len(config.months) + F.col("mes"))
+    keyed = resolve_keys(numbered, [Lookup(time, "id_tiempo", {"anio": "anio", "mes": "mes"})])
     filled = keyed.withColumns(
         {
             MEASURE: F.coalesce(MEASURE, F.lit(0)),
@@ -123,12 +135,11 @@ def build_fact(
     return conform(filled, FACT, **{MEASURE: config.measure_type})
 
 
-def require_lookup_keys(time: DataFrame, entity: DataFrame, category: DataFrame) -> None:
+def require_lookup_keys(entity: DataFrame, category: DataFrame) -> None:
     """The fact resolves entities by key and leaves by name alone, so both must be unique.
 
     A key with two names, a leaf under two types or a region listed twice shows up here.
     """
-    require_unique(time, ["anio", "mes"], TIME)
     require_unique(entity, ["clave_entidad"], ENTITY)
     require_unique(category, ["subtipo_delito"], CATEGORY)
 
@@ -142,5 +153,5 @@ def build_star(grain: DataFrame, config: StarConfig) -> Star:
     time, entity, category = (
         materialise(build(grain, config), build.__name__) for build in (build_time, build_entity, build_category)
     )
-    require_lookup_keys(time, entity, category)
+    require_lookup_keys(entity, category)
     return Star(time, entity, category, build_fact(grain, time, entity, category, config))
