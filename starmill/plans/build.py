@@ -20,7 +20,8 @@ from starmill.plans.star import CATEGORY, ENTITY, FACT, MEASURE, SMALLINT_VALUES
 from starmill.session import materialise
 
 # The grain's keys. Ids are given in this order, months within their id group.
-ID_KEYS = ("anio", "clave_entidad", "nombre_entidad", "bien_juridico", "tipo_delito", "subtipo_delito")
+LEVELS = ("bien_juridico", "tipo_delito", "subtipo_delito")
+ID_KEYS = ("anio", "clave_entidad", "nombre_entidad", *LEVELS)
 GRAIN_KEYS = (*ID_KEYS, "mes", "nombre_mes")
 
 
@@ -96,8 +97,7 @@ def build_category(grain: DataFrame, config: StarConfig) -> DataFrame:
     minimum that is combined before the shuffle. Leaves come from the driver-side catalogue,
     which bounds their number.
     """
-    levels = ("bien_juridico", "tipo_delito", "subtipo_delito")
-    first = grain.groupBy(*levels).agg(F.min("_slot").alias("_first"))
+    first = grain.groupBy(*LEVELS).agg(F.min("_slot").alias("_first"))
     leaf = F.col("subtipo_delito")
     described = dense_key(first, ["_first"], "id_delito", len(config.categories)).select(
         "*",
@@ -135,13 +135,15 @@ def build_fact(
     return conform(filled, FACT, **{MEASURE: config.measure_type})
 
 
-def require_lookup_keys(entity: DataFrame, category: DataFrame) -> None:
+def require_lookup_keys(grain: DataFrame, config: StarConfig) -> None:
     """The fact resolves entities by key and leaves by name alone, so both must be unique.
 
-    A key with two names, a leaf under two types or a region listed twice shows up here.
+    Checked before the dimensions are built: their bounds on rows hold only for unique keys.
     """
-    require_unique(entity, ["clave_entidad"], ENTITY)
-    require_unique(category, ["subtipo_delito"], CATEGORY)
+    if isinstance(config.regions, DataFrame):
+        require_unique(config.regions, config.regions.columns[:1], "regions")
+    require_unique(grain.select("clave_entidad", "nombre_entidad").distinct(), ["clave_entidad"], ENTITY)
+    require_unique(grain.select(*LEVELS).distinct(), ["subtipo_delito"], CATEGORY)
 
 
 def build_star(grain: DataFrame, config: StarConfig) -> Star:
@@ -150,8 +152,8 @@ def build_star(grain: DataFrame, config: StarConfig) -> Star:
     The dimensions are written before the fact is joined to them: they are built once, and
     their sizes are known when Spark chooses how to join.
     """
+    require_lookup_keys(grain, config)
     time, entity, category = (
         materialise(build(grain, config), build.__name__) for build in (build_time, build_entity, build_category)
     )
-    require_lookup_keys(entity, category)
     return Star(time, entity, category, build_fact(grain, time, entity, category, config))

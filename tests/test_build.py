@@ -1,5 +1,7 @@
 """Source to star on hand-made rows."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 from wide_rows import CONFIG, frame, full, row
@@ -99,6 +101,20 @@ def test_ambiguous_lookup_keys_are_refused(spark, rows):
         star_of(spark, rows)
 
 
+def test_a_region_listed_twice_is_refused(spark):
+    regions = spark.createDataFrame([("North", "Norte"), ("North", "Sur")], "name string, region string")
+    with pytest.raises(DuplicateKeyError, match="regions"):
+        star_of(spark, [row(2019, 1, "North", "lethal", Enero=1)], replace(CONFIG, regions=regions))
+
+
+def test_wider_types_take_larger_keys_and_sums(spark):
+    config = replace(CONFIG, entity_key_type="bigint", measure_type="bigint")
+    rows = [row(2019, 5_000_000_000, "North", "lethal", d, Enero=2_000_000_000) for d in ("a", "b")]
+    star = star_of(spark, rows, config)
+    assert star.dim_entidad.first().clave_entidad == 5_000_000_000
+    assert star.fact_victimas.agg(F.max("num_victimas")).first()[0] == 4_000_000_000
+
+
 def test_change_uses_the_previous_existing_year(spark):
     rows = [
         row(2017, 1, "North", "lethal", Enero=208),
