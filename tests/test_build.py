@@ -78,6 +78,26 @@ def test_fact_ids_are_dense_in_grain_order(spark):
     assert all(r.fuente == "hand-made" and r.fecha_carga for r in fact)
 
 
+def test_the_star_does_not_depend_on_row_order_or_partitions(spark):
+    rows = [
+        row(y, k, n, leaf, d, **full(y + k + len(d)))
+        for y in (2018, 2019, 2020)
+        for k, n in ((1, "North"), (2, "South"), (3, "Bare"))
+        for leaf in ("harm", "lethal", "late")
+        for d in ("a", "bb")
+        if (y, leaf) != (2018, "lethal")
+    ]
+    # A third of all rows in one id group.
+    rows += [row(2019, 2, "South", "harm", "c", Enero=1)] * (len(rows) // 2)
+    one = build_star(build_grain(frame(spark, rows).coalesce(1), CONFIG), CONFIG)
+    other = build_star(build_grain(frame(spark, rows[::-1]).repartition(7), CONFIG), CONFIG)
+    for name, table in one.tables().items():
+        columns = [c for c in table.columns if c != "fecha_carga"]
+        assert sorted(table.select(columns).collect()) == sorted(other.tables()[name].select(columns).collect())
+    ids = sorted(r.id_hecho for r in one.fact_victimas.collect())
+    assert ids == list(range(1, 12 * 24 + 1))
+
+
 def test_entity_without_region_is_reported(spark):
     rows = [row(2019, 3, "Nowhere", "lethal", Enero=1)]
     grain = build_grain(frame(spark, rows), CONFIG)

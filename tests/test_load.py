@@ -120,6 +120,22 @@ def test_append_adds_rows(spark, star, tmp_path):
     assert validate.unique_grain(doubled).first().violations == 36
 
 
+def test_the_stored_fact_is_in_period_order(spark, star, tmp_path):
+    path = str(tmp_path / "o")
+    append_star(star, path)
+    for file in read_tables(spark, path).fact_victimas.inputFiles():
+        periods = [r.id_tiempo for r in spark.read.parquet(file).collect()]
+        assert periods == sorted(periods)
+
+
+def test_a_slice_is_pushed_to_the_stored_fact(spark, star, tmp_path):
+    path = str(tmp_path / "p")
+    append_star(star, path)
+    sliced = read_tables(spark, path).sliced("2019-03", "2019-05").fact_victimas
+    assert sliced.count() == 3
+    assert "DataFilters: [isnotnull(id_tiempo" in sliced._jdf.queryExecution().executedPlan().toString()
+
+
 def test_export_writes_one_file_in_order(spark, star, tmp_path):
     path = tmp_path / "x"
     export_csv(queries.yoy_change(star), str(path))
