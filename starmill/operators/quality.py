@@ -58,14 +58,14 @@ def sum_reconcile(
 
 def orphans(fact: DataFrame, lookups: Sequence[Lookup], name: str = "orphans") -> DataFrame:
     """Fact rows that miss at least one dimension, each counted once."""
-    matched, missing = _matched(fact, lookups)
+    rows, missing = matched(fact, lookups)
     lost = reduce(lambda a, b: a | b, missing.values())
-    return _one(name, matched.agg(F.count_if(lost).alias("violations")))
+    return _one(name, rows.agg(F.count_if(lost).alias("violations")))
 
 
 def orphans_by_key(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Fact rows without a match, one row per dimension, all dimensions in one pass."""
-    return _per_column(*_matched(fact, lookups))
+    return failing_rows(*matched(fact, lookups))
 
 
 def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -74,14 +74,30 @@ def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return _one(name, repeated.agg(F.count("*").alias("violations")))
 
 
+def null_tests(columns: Sequence[str], table: str) -> dict[str, Column]:
+    return {f"{table}.{c}": F.col(f"`{c}`").isNull() for c in columns}
+
+
+def length_tests(limits: Mapping[str, int], table: str) -> dict[str, Column]:
+    return {f"{table}.{c} length": F.char_length(F.col(f"`{c}`")) > n for c, n in limits.items()}
+
+
 def not_null(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
-    """NULLs per column, all columns in one pass."""
-    return _per_column(df, {f"{table}.{c}": F.col(f"`{c}`").isNull() for c in columns})
+    """NULLs per column."""
+    return failing_rows(df, null_tests(columns, table))
 
 
 def max_length(df: DataFrame, limits: Mapping[str, int], table: str) -> DataFrame:
-    """Texts longer than the column allows, all columns in one pass."""
-    return _per_column(df, {f"{table}.{c}": F.char_length(F.col(f"`{c}`")) > n for c, n in limits.items()})
+    """Texts longer than the column allows."""
+    return failing_rows(df, length_tests(limits, table))
+
+
+def failing_rows(df: DataFrame, tests: Mapping[str, Column]) -> DataFrame:
+    """Rows for which each test is true, all tests in one pass."""
+    counted = df.agg(*[F.count_if(test).alias(f"_{i}") for i, test in enumerate(tests.values())])
+    rows = [F.struct(F.lit(name).alias("check"), F.col(f"_{i}").alias("violations")) for i, name in enumerate(tests)]
+    long = counted.select(F.explode(F.array(*rows)).alias("r")).select("r.check", "r.violations")
+    return long.withColumn("status", F.when(F.col("violations") == 0, OK).otherwise(MISMATCH))
 
 
 def coverage(df: DataFrame, column: str, catalogue: Iterable[str] | DataFrame, name: str) -> DataFrame:
@@ -95,8 +111,8 @@ def coverage(df: DataFrame, column: str, catalogue: Iterable[str] | DataFrame, n
     return _one(name, unknown.agg(F.count("*").alias("violations")))
 
 
-def _matched(fact: DataFrame, lookups: Sequence[Lookup]) -> tuple[DataFrame, dict[str, Column]]:
-    """The fact's keys beside the dimension keys they match, and a test per key for none.
+def matched(fact: DataFrame, lookups: Sequence[Lookup]) -> tuple[DataFrame, dict[str, Column]]:
+    """The fact beside the dimension keys it matches, and a test per key for no match.
 
     Dimension keys are made distinct, so a repeated one does not multiply fact rows.
     """
@@ -115,13 +131,6 @@ def _one(name: str, count: DataFrame) -> DataFrame:
     return count.select(F.lit(name).alias("check"), "violations", status.alias("status"))
 
 
-def _per_column(df: DataFrame, tests: Mapping[str, Column]) -> DataFrame:
-    counted = df.agg(*[F.count_if(test).alias(f"_{i}") for i, test in enumerate(tests.values())])
-    rows = [F.struct(F.lit(name).alias("check"), F.col(f"_{i}").alias("violations")) for i, name in enumerate(tests)]
-    long = counted.select(F.explode(F.array(*rows)).alias("r")).select("r.check", "r.violations")
-    return long.withColumn("status", F.when(F.col("violations") == 0, OK).otherwise(MISMATCH))
-
-
 def _reconciled(name: str, expected: DataFrame, loaded: DataFrame) -> DataFrame:
     status = F.when(F.col("expected") == F.col("loaded"), OK).otherwise(MISMATCH)
     return expected.withColumn("loaded", loaded.scalar()).select(

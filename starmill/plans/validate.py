@@ -36,20 +36,20 @@ def unique_grain(star: Star) -> DataFrame:
     return quality.unique(star.fact_victimas, GRAIN, f"{FACT}.grain")
 
 
+def required(table: str) -> list[str]:
+    return [c for c, _, _, nullable in declared(table) if not nullable]
+
+
+def limits(table: str) -> dict[str, int]:
+    return {c: n for c, _, n, _ in declared(table) if n}
+
+
 def not_null(star: Star) -> DataFrame:
-    return quality.union(
-        [
-            quality.not_null(table, [c for c, _, _, nullable in declared(name) if not nullable], name)
-            for name, table in star.tables().items()
-        ]
-    )
+    return quality.union([quality.not_null(table, required(name), name) for name, table in star.tables().items()])
 
 
 def max_length(star: Star) -> DataFrame:
-    limits = {name: {c: n for c, _, n, _ in declared(name) if n} for name in TABLES}
-    return quality.union(
-        [quality.max_length(table, limits[name], name) for name, table in star.tables().items()]
-    )
+    return quality.union([quality.max_length(table, limits(name), name) for name, table in star.tables().items()])
 
 
 def source_total(wide: DataFrame, star: Star, config: StarConfig) -> DataFrame:
@@ -60,7 +60,15 @@ def source_total(wide: DataFrame, star: Star, config: StarConfig) -> DataFrame:
 
 
 def constraints(star: Star) -> DataFrame:
-    """Every constraint of the declared tables as one report."""
-    return quality.union(
-        [unique_keys(star), unique_grain(star), not_null(star), max_length(star), orphans_by_key(star)]
-    )
+    """Every constraint of the declared tables as one report.
+
+    A table's row-wise checks (NULLs, text lengths and, for the fact, foreign keys) share one pass.
+    """
+    checks = [unique_keys(star), unique_grain(star)]
+    for name, table in star.tables().items():
+        tests = quality.null_tests(required(name), name) | quality.length_tests(limits(name), name)
+        if name == FACT:
+            table, missing = quality.matched(table, foreign_keys(star))
+            tests |= missing
+        checks.append(quality.failing_rows(table, tests))
+    return quality.union(checks)

@@ -58,7 +58,7 @@ def test_repeated_grain(star):
 
 def test_long_texts(star):
     broken = changed(star, CATEGORY, subtipo_delito=F.repeat(F.lit("ñ"), 81), categoria=F.repeat(F.lit("ñ"), 50))
-    assert failed(validate.max_length(broken)) == {"dim_delito.subtipo_delito": 1}
+    assert failed(validate.max_length(broken)) == {"dim_delito.subtipo_delito length": 1}
 
 
 def test_counts(star):
