@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import digest_index, pieces
+from starmill.llm import digest_index, pieces, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,9 +35,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex16().alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_simhash": op6_simhash,
 }
 
 ORACLE: dict[str, str] = {

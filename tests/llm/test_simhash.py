@@ -1,0 +1,106 @@
+"""Fingerprints and components against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from starmill.llm import queries, simhash
+from starmill.llm.components import components
+
+
+def brute_fingerprint(text, words=3):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    parts = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not parts:
+        return 0
+    runs = [" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))]
+    hashes = [xxhash.xxh64(r.encode(), seed=42).intdigest() for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(links):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in list(root)}
+
+
+def brute_groups(rows, radius=3):
+    """doc_id to component_id from all pairs of fingerprints."""
+    prints = sorted({fp for _, fp in rows})
+    linked = [(a, b) for i, a in enumerate(prints) for b in prints[i:] if (a ^ b).bit_count() <= radius]
+    root = brute_components(linked)
+    least = {}
+    for doc_id, fp in rows:
+        if doc_id is not None:
+            least[root[fp]] = min(doc_id, least.get(root[fp], doc_id))
+    return sorted(((d is None, d or 0), f"{fp:016x}", least.get(root[fp])) for d, fp in rows)
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3, 4])
+def test_masks_cover_every_set_of_positions_within_the_radius(radius):
+    rng = random.Random(1)
+    masks = simhash.masks(radius)
+    for _ in range(3000):
+        positions = sum(1 << i for i in rng.sample(range(64), radius))
+        assert any(not m & positions for m in masks)
+
+
+@pytest.mark.parametrize("radius", [1, 3])
+def test_further_splits_are_partitions(radius):
+    for split in simhash.classes(radius):
+        assert sum(split) == (1 << 64) - 1 and len(split) == radius + 1
+
+
+def test_query_equals_brute_force(spark, sf_dir, documents):
+    rows = [(r.doc_id, brute_fingerprint(r.text)) for r in documents.select("doc_id", "text").collect()]
+    got = queries.op6_simhash(spark, sf_dir).collect()
+    assert sorted(((r.doc_id is None, r.doc_id or 0), r.fingerprint, r.component_id) for r in got) == brute_groups(rows)
+
+
+def test_odd_rows(odd_documents):
+    rows = [(r.doc_id, brute_fingerprint(r.text)) for r in odd_documents.select("doc_id", "text").collect()]
+    got = simhash.near_duplicates(odd_documents).withColumn("fingerprint", simhash.hex16()).collect()
+    assert sorted(((r.doc_id is None, r.doc_id or 0), r.fingerprint, r.component_id) for r in got) == brute_groups(rows)
+    kept = simhash.keep(odd_documents)
+    assert kept.columns == odd_documents.columns
+    assert sorted(str(r.doc_id) for r in kept.select("doc_id").collect()) == sorted(map(str, [1, 2, 3, 6, 7, 8, None]))
+
+
+def test_no_rows(no_documents):
+    assert simhash.near_duplicates(no_documents).count() == 0
+    assert simhash.keep(no_documents).count() == 0
+
+
+def test_split_buckets_lose_no_link(spark):
+    rng = np.random.default_rng(5)
+    centre = int(rng.integers(0, 1 << 63))
+    prints = {centre}
+    while len(prints) < 600:
+        flips = rng.choice(64, size=int(rng.integers(1, 6)), replace=False)
+        prints.add(centre ^ sum(1 << int(i) for i in flips))
+    signed = sorted(np.array(sorted(prints), "uint64").view("int64").tolist())
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    whole = brute_components((a, b) for a in signed for b in signed if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3)
+    for bucket in (8, 1024):
+        roots = {r.node: r.root for r in components(simhash.links(df, 3, bucket)).collect()}
+        assert {x: roots.get(x, x) for x in signed} == whole
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    links = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(200, 400)] + [(7, 7), (9, 8), (8, 9)]
+    df = spark.createDataFrame(links, "a long, b long")
+    got = {r.node: r.root for r in components(df).collect()}
+    want = brute_components(links)
+    want.pop(7)
+    assert got == want
