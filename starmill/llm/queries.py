@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import digest_index, pieces, simhash
+from starmill.llm import digest_index, mixing, pieces, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,10 +40,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16().alias("fingerprint"), "component_id")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.taken(mixing.plan(documents(spark, sf_dir)))
+    words = (F.col("size") * F.col("copies")).alias("taken")
+    return rows.select("doc_id", "size", "source_size", "target", words)
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash": op6_simhash,
+    "op8_mixing": op8_mixing,
 }
 
 ORACLE: dict[str, str] = {
