@@ -8,7 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import digest_index, mixing, pieces, simhash
+from starmill.llm import digest_index, mixing, pieces, quality, simhash
+from starmill.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def _predicted(scored: DataFrame, modulus: int, remainder: int, cut: float) -> DataFrame:
+    """doc_id, whether its label was held out, score, and the label at the cut."""
+    out = held_out("doc_id", modulus, remainder).alias("held_out")
+    return scored.select("doc_id", out, "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
 def piece_model(path: str | None = None) -> bytes:
     """Content of a model file; by default that of the installed public tokenizers."""
     if path is None:
@@ -40,6 +51,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16().alias("fingerprint"), "component_id")
 
 
+def quality_ranker(docs: DataFrame, labelled: DataFrame) -> quality.Ranker | None:
+    """Learned from labels whose crc32 of the doc_id does not divide by 5."""
+    return quality.learn(docs, labelled, ~held_out("doc_id", 5, 0))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return _predicted(quality.scores(docs, quality_ranker(docs, labels(spark, sf_dir))), 5, 0, quality.CUT)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.taken(mixing.plan(documents(spark, sf_dir)))
     words = (F.col("size") * F.col("copies")).alias("taken")
@@ -50,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
 }
 

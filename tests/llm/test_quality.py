@@ -1,0 +1,56 @@
+"""Held-out accuracy of the ranker, its loss, and odd rows."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starmill.llm import quality, queries
+
+
+def test_held_out_labels_are_predicted(spark, sf_dir, documents):
+    truth = {r.doc_id: r.quality for r in queries.labels(spark, sf_dir).collect()}
+    got = queries.op7_quality(spark, sf_dir).collect()
+    assert len(got) == documents.count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert np.mean([r.predicted == truth[r.doc_id] for r in held]) >= 0.95
+    again = queries.op7_quality(spark, sf_dir).collect()
+    assert sorted(got) == sorted(again)
+
+
+def test_pairs_are_ranked_and_the_threshold_is_a_quantile():
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(4000, 5))
+    good = x @ [2.0, -1, 0, 0, 0.5] + draw.normal(size=4000) * 0.1 > -1
+    ranker = quality.fit(x, good, pairs=5000)
+    raw = ranker.raw(x)
+    assert abs((raw < ranker.threshold).mean() - (~good).mean()) < 0.01
+    assert ((ranker.score(x) >= quality.CUT) == good).mean() > 0.97
+
+
+def test_kept_rows_are_those_at_the_cut(spark, sf_dir, documents, odd_documents):
+    ranker = queries.quality_ranker(documents, queries.labels(spark, sf_dir))
+    for docs in (documents, odd_documents):
+        kept = quality.keep_good(docs, ranker)
+        assert kept.columns == docs.columns
+        want = quality.scores(docs, ranker).where(F.col("score") >= quality.CUT).select("doc_id")
+        assert sorted(map(str, kept.select("doc_id").collect())) == sorted(map(str, want.collect()))
+
+
+def test_odd_rows_and_no_rows(odd_documents, no_documents):
+    labels = odd_documents.selectExpr("doc_id", "if(doc_id = 3, null, cast(doc_id % 2 as int)) as quality")
+    ranker = quality.learn(odd_documents, labels, F.lit(True), pairs=100)
+    assert quality.scores(odd_documents, ranker).where("score between 0 and 1").count() == odd_documents.count()
+    assert quality.scores(no_documents, ranker).count() == 0
+    assert quality.learn(odd_documents, labels.limit(0), F.lit(True)) is None
+    assert [r.score for r in quality.scores(odd_documents, None).distinct().collect() if r.score != 0.5] == []
+    assert quality.keep_good(odd_documents, None).count() == odd_documents.count()
+
+
+@pytest.mark.parametrize("text", ["", " ", "a", "!!!", "x" * 100_000, "\x00\n\n", "é 日本"])
+def test_features_are_finite(text):
+    x = quality.features([text])
+    assert np.isfinite(x).all() and x.shape == (1, quality.features([""]).shape[1])
