@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows that a Python task takes apart at once; bounds its memory whatever the Arrow batch holds.
-SLICE_ROWS = 512
+SLICE_ROWS, SLICE_BYTES = 512, 4 << 20
 
 
 def text_of(name: str = "text") -> Column:
@@ -36,7 +36,14 @@ def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus == remainder
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of at most `rows` rows and, unless it is one row, about `size` bytes."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        open_ = [batch.slice(start, rows) for start in range(0, batch.num_rows, rows)][::-1]
+        while open_:
+            part = open_.pop()
+            if part.nbytes > size and part.num_rows > 1:
+                half = part.num_rows // 2
+                open_ += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part

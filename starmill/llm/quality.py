@@ -124,14 +124,14 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = 7, ridg
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, rows: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`text` and `label` of at most `rows` labelled documents for which `train` (of doc_id) holds.
+    """`doc_id`, `text` and `label` of at most `rows` labelled documents for which `train` (of doc_id) holds.
 
     The ids with the smallest hashes are taken, at most `rows`, so they may be broadcast.
     """
     wanted = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
     wanted = wanted.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & train)
     wanted = wanted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return pick(docs, doc_id, text).join(F.broadcast(wanted), "doc_id").select("text", "label")
+    return pick(docs, doc_id, text).join(F.broadcast(wanted), "doc_id")
 
 
 def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality", train_rows: int = TRAIN_ROWS, pairs: int = PAIRS, **names: str) -> Ranker | None:
@@ -144,7 +144,7 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quali
             listed = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel().astype("float32")), width)
             yield pa.RecordBatch.from_arrays([listed.cast(pa.list_(pa.float32())), batch.column(1)], ["x", "label"])
 
-    rows = sample(docs, labels, label, train, train_rows, **names).mapInArrow(run, "x array<float>, label int").toArrow()
+    rows = sample(docs, labels, label, train, train_rows, **names).select("text", "label").mapInArrow(run, "x array<float>, label int").toArrow()
     good = rows.column("label").to_numpy() > 0
     if good.all() or not good.any():
         return None

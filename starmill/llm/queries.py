@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import digest_index, mixing, pieces, quality, simhash
+from starmill.llm import digest_index, language, mixing, pieces, quality, simhash, toxicity
 from starmill.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +22,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def _predicted(scored: DataFrame, modulus: int, remainder: int, cut: float) -> DataFrame:
+def _predicted(scored: DataFrame, modulus: int, remainder: int, cut: float, *more: str) -> DataFrame:
     """doc_id, whether its label was held out, score, and the label at the cut."""
     out = held_out("doc_id", modulus, remainder).alias("held_out")
-    return scored.select("doc_id", out, "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+    return scored.select("doc_id", out, "score", (F.col("score") >= cut).cast("int").alias("predicted"), *more)
 
 
 def piece_model(path: str | None = None) -> bytes:
@@ -46,6 +46,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from labels whose crc32 of the doc_id does not leave 2 when divided by 4."""
+    docs = documents(spark, sf_dir)
+    field = toxicity.learn(docs, labels(spark, sf_dir), ~held_out("doc_id", 4, 2))
+    tagged = toxicity.tag(docs, field)
+    offsets = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return _predicted(tagged.withColumn("offsets", offsets), 4, 2, toxicity.CUT, "offsets")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", simhash.hex16().alias("fingerprint"), "component_id")
@@ -67,12 +76,21 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", words)
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from documents whose crc32 of the doc_id does not leave 1 when divided by 3."""
+    docs = documents(spark, sf_dir)
+    model = language.learn(docs, ~held_out("doc_id", 3, 1))
+    return language.predict(docs, model).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
+    "op10_language": op10_language,
 }
 
 ORACLE: dict[str, str] = {
