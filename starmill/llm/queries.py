@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import digest_index, fingerprints, language, mixing, pieces, quality, simhash, toxicity
+from starmill.llm import digest_index, fingerprints, language, licenses, mixing, pieces, quality, simhash, toxicity
 from starmill.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,20 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", words)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its confirmed families, the paragraphs with them, and how many windows stayed unconfirmed."""
+    docs = documents(spark, sf_dir)
+    found = licenses.scan(docs, licenses.learn(docs))
+    sure = F.filter("matches", lambda m: m["confirmed"])
+    return found.select(
+        "doc_id",
+        F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda m: m["family"]))), ",").alias("families"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda m: m["paragraph"]))).cast("array<string>"), ",").alias("paragraphs"),
+        F.size(F.filter("matches", lambda m: ~m["confirmed"])).cast("long").alias("n_unconfirmed"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["probability"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from documents whose crc32 of the doc_id does not leave 1 when divided by 3."""
     docs = documents(spark, sf_dir)
@@ -95,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
+    "op9_licenses": op9_licenses,
     "op10_language": op10_language,
 }
 
