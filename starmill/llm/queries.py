@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import digest_index, fingerprints, language, licenses, mixing, pieces, quality, simhash, toxicity
+from starmill.llm import digest_index, fingerprints, language, licenses, mixing, pieces, pii, quality, simhash, toxicity
 from starmill.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,12 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_neighbours(documents(spark, sf_dir))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir))
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = digest_index.decide(documents(spark, sf_dir), digest_index.new_index(spark))
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -104,6 +110,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_fingerprints": op2_fingerprints,
+    "op3_pii": op3_pii,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
