@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,9 @@ from starmill.session import materialise
 _BUCKET_BITS = 16
 BUCKETS = 1 << _BUCKET_BITS
 
+_WANTED = "struct<i:int,side:string,weight:double,rank:bigint>"
+_EARLIER = (Window.unboundedPreceding, -1)
+
 # Most counted rows that a broadcast hint is given for.
 BROADCAST_ROWS = 50_000
 
@@ -34,36 +38,42 @@ def rank_within(
     out: str,
     max_group: int | None = None,
 ) -> DataFrame:
-    """RANK() of `measure`, largest first, inside each `by` group; ties share a rank, then a gap.
+    """RANK() of `measure` as BIGINT, largest first, inside each `by` group; ties share a rank, then a gap.
 
     `df` has one row per (by, keys). With a proven bound on the rows of a group this is one
-    window. Otherwise a group, however large, is spread over range partitions: ranks are
-    counted per distinct (by, measure), from sums over whole ranges plus a running sum inside
-    one range, and joined back. A value held by very many rows is one row while it is ranked.
+    window. Otherwise a group, however large, is spread over range partitions and ranked inside
+    each; a carry per range adds the rows ahead of it, less those in earlier ranges that tie with
+    its first value. Carries are one row per range and group, so a value held by very many rows
+    costs no more than others.
     """
     largest = F.col(measure).desc_nulls_first()
     if max_group is not None and max_group <= ONE_TASK_ROWS:
-        return df.withColumn(out, F.rank().over(Window.partitionBy(*by).orderBy(largest)))
+        return df.withColumn(out, F.rank().over(Window.partitionBy(*by).orderBy(largest)).cast("bigint"))
 
     ordered = df.repartitionByRange(*by, largest, *keys)
     rows = materialise(ordered.withColumn("_range", F.spark_partition_id()), "ranked")
-    values = rows.groupBy(*by, measure).agg(F.count("*").alias("_n"), F.min("_range").alias("_range"))
-
-    earlier = (Window.unboundedPreceding, -1)
-    ranges = Window.partitionBy(*by).orderBy("_range").rowsBetween(*earlier)
-    inside = Window.partitionBy(*by, "_range").orderBy(largest).rowsBetween(*earlier)
-    offsets = (
-        values.groupBy(*by, "_range")
-        .agg(F.sum("_n").alias("_n"))
-        .select(*by, "_range", F.coalesce(F.sum("_n").over(ranges), F.lit(0)).alias("_offset"))
+    here = [*by, "_range"]
+    values = rows.groupBy(*here, measure).agg(F.count("*").alias("_n"))
+    some = F.col(measure).isNotNull()
+    ranges = values.groupBy(*here).agg(
+        F.sum("_n").alias("_rows"),
+        F.when(F.bool_and(some), F.max(measure)).alias("_first"),
+        F.min(measure).alias("_last"),
+        F.coalesce(F.min_by("_n", measure), F.sum("_n")).alias("_last_rows"),
     )
-    ahead = F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    ranks = (
-        _join_groups(values.withColumn("_ahead", ahead), offsets, [*by, "_range"])
-        .withColumn(out, F.col("_offset") + F.col("_ahead") + 1)
-        .select(*by, measure, out)
+    in_order = Window.partitionBy(*by).orderBy("_range")
+    tied = Window.partitionBy(*by, "_last").orderBy("_range")
+    carries = (
+        ranges.withColumn("_ahead", F.coalesce(F.sum("_rows").over(in_order.rowsBetween(*_EARLIER)), F.lit(0)))
+        .withColumn("_held", F.sum("_last_rows").over(tied.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_same", F.lag("_last").over(in_order).eqNullSafe(F.col("_first")))
+        .withColumn("_before", F.coalesce(F.lag("_held").over(in_order), F.lit(0)))
+        .select(*here, "_ahead", F.when(F.col("_same"), F.col("_before")).otherwise(0).alias("_tied"))
     )
-    return _join_groups(rows.drop("_range"), ranks, [*by, measure]).select(*df.columns, out)
+    inside = F.rank().over(Window.partitionBy(*here).orderBy(largest))
+    ranked = _join_groups(rows.withColumn("_inside", inside), carries, here)
+    tie = F.when(F.col("_inside") == 1, F.col("_tied")).otherwise(0)
+    return ranked.withColumn(out, (F.col("_ahead") + F.col("_inside") - tie).cast("bigint")).select(*df.columns, out)
 
 
 def change_from_previous(
@@ -113,28 +123,23 @@ def top_n(df: DataFrame, measure: str, n: int, tie_break: Sequence[str]) -> Data
 def percentiles(
     df: DataFrame, by: Sequence[str], measure: str, outputs: Mapping[str, float], largest: str | None = None
 ) -> DataFrame:
-    """Exact PERCENTILE_CONT (linear interpolation, NULLs ignored) of a whole-number measure,
-    and its maximum where `largest` names a column for it.
+    """Exact PERCENTILE_CONT (linear interpolation, NULLs ignored) of a whole-number or decimal
+    measure, and its maximum where `largest` names a column for it. A group of NULLs alone gets NULLs.
 
-    The built-in keeps every distinct value of a group in one task, so it serves where the
-    value range bounds them. A wider range is narrowed by histograms: row counts per bucket
-    tell which bucket holds each wanted rank, and the next pass splits only those buckets.
-    A task holds at most BUCKETS counts of a group, however many rows the group has.
+    Values are narrowed by histograms: row counts per bucket tell which bucket holds each wanted
+    rank, and the next pass splits only those buckets. A task holds at most BUCKETS counts of a
+    group, however many rows the group has. The number of passes follows from the measure's type:
+    one per 16 bits. A group's result depends on its own values only.
     """
     kind = df.schema[measure].dataType
-    if not isinstance(kind, T.IntegralType):
-        raise TypeError(f"percentiles needs a whole-number measure, {measure} is {kind.simpleString()}")
-    rows = df.select(*by, F.col(measure).alias("_value")).where("_value IS NOT NULL")
-    low, high = rows.agg(F.min("_value"), F.max("_value")).first()
-    span = 0 if low is None else high - low
-    if span < BUCKETS:
-        values = F.percentile("_value", list(outputs.values())).alias("_p")
-        picked = [F.col("_p")[i].alias(out) for i, out in enumerate(outputs)]
-        top = [F.col("_top").alias(largest)] if largest else []
-        return rows.groupBy(*by).agg(values, F.max("_value").alias("_top")).select(*by, *picked, *top)
+    bits, scale = _whole_bits(kind, measure)
+    value = F.col(measure)
+    if scale:
+        value = (value * F.lit(Decimal(10) ** scale)).cast("decimal(38,0)")
+    rows = df.select(*by, (value.cast("bigint") if bits == 64 else value).alias("_value"))
 
     shares = [*outputs.values(), *([1.0] if largest else [])]
-    shift = (span.bit_length() - 1) // _BUCKET_BITS * _BUCKET_BITS
+    shift = (bits - 1) // _BUCKET_BITS * _BUCKET_BITS
     found = _first_buckets(rows, by, shares, shift)
     while shift:
         shift -= _BUCKET_BITS
@@ -143,16 +148,30 @@ def percentiles(
     def at(i: int, side: str) -> Column:
         return F.max(F.when((F.col("w.i") == i) & (F.col("w.side") == side), F.col("_bucket")))
 
+    unit = F.lit(float(10**scale))
     picked = []
     for i, out in enumerate(outputs):
         below, above = at(i, "low").cast("double"), at(i, "high").cast("double")
         weight = F.max(F.when(F.col("w.i") == i, F.col("w.weight")))
-        picked.append((below + weight * (above - below)).alias(out))
+        between = below + weight * (above - below)
+        picked.append((between / unit if scale else between).alias(out))
     if largest:
-        picked.append(at(len(outputs), "high").alias(largest))
+        top = at(len(outputs), "high")
+        exact = top.cast("decimal(38,0)") / F.lit(Decimal(10) ** scale) if scale else top
+        picked.append(exact.cast(kind).alias(largest))
     return found.groupBy(*by).agg(*picked)
 
 
+def _whole_bits(kind: T.DataType, measure: str) -> tuple[int, int]:
+    """Bits that hold every value of the type as a whole number, and the digits behind its point."""
+    sizes = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+    if type(kind) in sizes:
+        return sizes[type(kind)], 0
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return 64, kind.scale
+    raise TypeError(f"percentiles needs a whole-number measure or a decimal of up to 18 digits, {measure} is {kind.simpleString()}")
+
+
 def percentiles_approx(
     df: DataFrame, by: Sequence[str], measure: str, outputs: Mapping[str, float], accuracy: int = 10_000
 ) -> DataFrame:
@@ -179,13 +198,15 @@ def _first_buckets(rows: DataFrame, by: Sequence[str], shares: Sequence[float],
                     rank.cast("bigint").alias("rank"),
                 )
             )
+    # NULLs are a bucket that counts for nothing; through it a group of NULLs alone is kept
     buckets = (
         rows.groupBy(*by, F.shiftright("_value", shift).alias("_bucket"))
-        .agg(F.count("*").alias("_n"))
+        .agg(F.count("_value").alias("_n"))
         .withColumn("_size", F.sum("_n").over(group))
-        .withColumn("_wanted", F.array(*wanted))
+        .withColumn("_wanted", F.when(size > 0, F.array(*wanted)))
     )
-    return _holding(buckets, by, group)
+    empty = buckets.where(size == 0).select(*by, "_bucket", F.lit(None).cast(_WANTED).alias("w"))
+    return _holding(buckets.where(size > 0), by, group).unionByName(empty)
 
 
 def _next_buckets(rows: DataFrame, found: DataFrame, by: Sequence[str], shift: int) -> DataFrame:
@@ -196,6 +217,8 @@ def _next_buckets(rows: DataFrame, found: DataFrame, by: Sequence[str], shift: i
     """
     keys = [*by, "_parent"]
     few = found.count() <= BROADCAST_ROWS
+    empty = found.where("w IS NULL")
+    found = found.where("w IS NOT NULL")
     found = found.groupBy(*by, F.col("_bucket").alias("_parent")).agg(F.collect_list("w").alias("_wanted"))
     finer = rows.withColumn("_parent", F.shiftright("_value", shift + _BUCKET_BITS))
     if few:
@@ -204,7 +227,7 @@ def _next_buckets(rows: DataFrame, found: DataFrame, by: Sequence[str], shift: i
         counts = finer.groupBy(*keys, "_value").agg(F.count("*").alias("_n"))
         inside = _join_groups(counts, found.drop("_wanted"), keys)
     parts = inside.groupBy(*keys, F.shiftright("_value", shift).alias("_bucket")).agg(F.sum("_n").alias("_n"))
-    return _holding(_join_groups(parts, found, keys), by, Window.partitionBy(*keys))
+    return _holding(_join_groups(parts, found, keys), by, Window.partitionBy(*keys)).unionByName(empty)
 
 
 def _holding(buckets: DataFrame, by: Sequence[str], group) -> DataFrame:

@@ -1,6 +1,7 @@
 """The operators' distributed forms against plain ones, with ties, NULLs and hot groups."""
 
 import random
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -48,6 +49,28 @@ def test_percentiles_are_exact(spark, monkeypatch, kind, span, broadcast_rows):
             low, high = values[int(np.floor(place))], values[int(np.ceil(place))]
             assert found[g][out] == pytest.approx(low + (place - np.floor(place)) * (high - low), rel=1e-12, abs=1e-9)
         assert found[g].top == values[-1]
+    assert set(found) == {*groups, "empty"}
+    assert found["empty"].asDict() == {"g": "empty", **dict.fromkeys(wanted), "top": None}
+
+
+@pytest.mark.parametrize("kind", ["smallint", "int", "bigint"])
+def test_percentiles_of_a_group_do_not_depend_on_others(spark, kind):
+    rows = [(f"g{i % 300}", i * 7919 % 1000) for i in range(3000)]
+    far = {"smallint": 30_000, "int": 2_000_000_000, "bigint": 2**62}[kind]
+    wanted = {"a": 0.37, "p90": 0.9}
+    alone, beside = (
+        {r.g: r for r in percentiles(spark.createDataFrame(x, f"g string, v {kind}"), ["g"], "v", wanted).collect()}
+        for x in (rows, [*rows, ("far", far)])
+    )
+    assert all(beside[g] == r for g, r in alone.items())
+
+
+def test_percentiles_of_decimals_are_exact(spark):
+    values = [Decimal(v) for v in ("-3.75", "0.01", "2.50", "99999999.99", "7.00")]
+    df = spark.createDataFrame([("a", v) for v in values] + [("none", None)], "g string, v decimal(12,2)")
+    rows = {r.g: r for r in percentiles(df, ["g"], "v", {"low": 0.25, "mid": 0.5}, largest="top").collect()}
+    assert (rows["a"].low, rows["a"].mid, rows["a"].top) == (0.01, 2.5, Decimal("99999999.99"))
+    assert (rows["none"].low, rows["none"].top) == (None, None)
 
 
 def test_percentile_of_five_with_null(spark):
@@ -75,11 +98,13 @@ def test_approximate_percentiles_stay_in_their_bound(spark):
     assert abs(row.p90 - 0.9 * n) <= n / accuracy + 1
 
 
-def test_ranks_of_a_spread_group_equal_a_window(spark):
-    rows = hot_rows(3000, 50) + [("hot", -1, None)]
+@pytest.mark.parametrize("span", [1, 2, 50, 10**6])
+def test_ranks_of_a_spread_group_equal_a_window(spark, span):
+    rows = hot_rows(3000, span) + [("hot", -n, None) for n in range(1, 400)] + [("none", -n, None) for n in range(5)]
     df = spark.createDataFrame(rows, "g string, i int, v bigint")
     spread = rank_within(df, ["g"], ["i"], "v", "r")
     window = rank_within(df, ["g"], ["i"], "v", "r", max_group=4000)
+    assert spread.schema == window.schema
     as_rows = lambda d: sorted(map(tuple, d.select("g", "i", "v", "r").collect()), key=str)
     assert as_rows(spread) == as_rows(window)
 
@@ -95,7 +120,8 @@ def test_operators_work_without_groups(spark):
 def test_spread_ranks_use_no_window_over_a_whole_group(spark):
     df = spark.createDataFrame(hot_rows(90, 50), "g string, i int, v bigint")
     plan = rank_within(df, ["g"], ["i"], "v", "r")._jdf.queryExecution().optimizedPlan().toString()
-    assert "rank(" not in plan
+    ranks = [line for line in plan.splitlines() if "[rank(" in line]
+    assert ranks and all("_range" in line.split("[rank(")[1] for line in ranks)
 
 
 def test_dense_keys_have_no_gaps_in_either_form(spark):

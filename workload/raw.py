@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,14 @@ from workload.wide import CATEGORIES, table, wide_lines
 IDS = [SOURCE_COLUMNS[c] for c in ("year", "entity_key", "entity_name", "good", "kind", "leaf")]
 
 
+MEDIAN_P90 = {"mediana": 0.5, "p90": 0.9}
+
+
+def rounded(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Interpolated values to six decimals: engines differ in the last binary digit."""
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
 def cents(column: str) -> Column:
     """A two-decimal amount as whole cents, so sums do not depend on their order."""
     return F.rint(F.col(column) * 100).cast("bigint")
@@ -62,13 +72,21 @@ def percentile_of_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     price = cents("l_extendedprice").cast("int").alias("cents")
     rows = table(spark, sf_dir, "lineitem").select("l_returnflag", price)
-    return percentiles(rows, ["l_returnflag"], "cents", {"mediana": 0.5, "p90": 0.9}, largest="maximo")
+    return rounded(percentiles(rows, ["l_returnflag"], "cents", MEDIAN_P90, largest="maximo"), MEDIAN_P90)
 
 
 def percentile_of_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantity percentiles per return flag, on a measure whose type bounds its values."""
     rows = table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_quantity").cast("smallint").alias("units"))
-    return percentiles(rows, ["l_returnflag"], "units", {"mediana": 0.5, "p90": 0.9}, largest="maximo")
+    return rounded(percentiles(rows, ["l_returnflag"], "units", MEDIAN_P90, largest="maximo"), MEDIAN_P90)
+
+
+def percentile_of_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price percentiles of a decimal measure; one return flag has no prices at all."""
+    price = F.when(F.col("l_returnflag") != "A", F.col("l_extendedprice").cast("decimal(15,2)"))
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", price.alias("precio"))
+    found = percentiles(rows, ["l_returnflag", "l_linestatus"], "precio", MEDIAN_P90, largest="maximo")
+    return rounded(found, MEDIAN_P90)
 
 
 def monthly_series(spark: SparkSession, sf_dir: str) -> DataFrame:

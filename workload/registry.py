@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starmill.operators.reshape import unpivot_periods
 from starmill.plans import build, derived, queries
 from starmill.plans.load import export_csv, load_star, read_star
-from starmill.plans.star import DIMENSIONS, FACT, Star
+from starmill.plans.star import CATEGORY, DIMENSIONS, FACT, MEASURE, Star
 from starmill.presets import MONTHS
 from starmill.session import scratch_path
 from starmill.sources.wide import profile, read_wide_csv, write_wide_csv
@@ -92,6 +92,32 @@ def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(f"{schema}, pct_cambio double").csv(path, header=True, lineSep="\r\n")
 
 
+def percentile_by_group(star: Star) -> DataFrame:
+    return raw.rounded(queries.percentile_by_group(star), queries.MONTHLY_PERCENTILES)
+
+
+def percentile_approx_by_group(star: Star, accuracy: int = 10_000) -> DataFrame:
+    """Per category whether each sketched value lies within the promised rank error of its rank.
+
+    Which value a sketch returns depends on how its parts were merged; that it keeps its bound does not.
+    """
+    by, measures = "subtipo_delito", queries.MONTHLY_PERCENTILES
+    # one row per leaf of the driver-side catalogue
+    found = F.broadcast(queries.percentile_approx_by_group(star, accuracy))
+    rows = star.joined(CATEGORY).select(by, MEASURE).join(found, by)
+    counts = [F.count(F.lit(1)).alias("filas")]
+    for name in measures:
+        counts.append(F.count_if(F.col(MEASURE) < F.col(name)).alias(f"_{name}_less"))
+        counts.append(F.count_if(F.col(MEASURE) <= F.col(name)).alias(f"_{name}_upto"))
+    placed = rows.groupBy(by).agg(*counts)
+    flags = []
+    for name, share in measures.items():
+        rank, slack = F.ceil(F.lit(share) * F.col("filas")), F.col("filas") / accuracy + 1
+        near = (rank <= F.col(f"_{name}_upto") + slack) & (rank >= F.col(f"_{name}_less") + 1 - slack)
+        flags.append(near.alias(f"{name}_en_cota"))
+    return placed.select(by, "filas", *flags)
+
+
 REGISTRY: dict[str, Query] = {
     "src_wide_scan": scanned,
     "src_profile": lambda spark, sf_dir: profile(scanned(spark, sf_dir)),
@@ -110,8 +136,8 @@ REGISTRY: dict[str, Query] = {
     "yoy_change": on_star(queries.yoy_change),
     "yoy_change_consecutive": on_star(queries.yoy_change, True),
     "lethal_share": on_star(queries.lethal_share),
-    "percentile_by_group": on_star(queries.percentile_by_group),
-    "percentile_approx_by_group": on_star(queries.percentile_approx_by_group),
+    "percentile_by_group": on_star(percentile_by_group),
+    "percentile_approx_by_group": on_star(percentile_approx_by_group),
     "top_n_total": on_star(queries.top_n_total),
     "monthly_series": on_star(queries.monthly_series, LEAF),
     "map_totals": on_star(queries.map_totals),
@@ -140,6 +166,7 @@ REGISTRY: dict[str, Query] = {
     "lethal_share_raw": on_tables(raw.lethal_share),
     "percentile_raw": raw.percentile_of_price,
     "percentile_small_values_raw": raw.percentile_of_quantity,
+    "percentile_decimal_raw": on_tables(raw.percentile_of_decimal),
     "monthly_series_raw": raw.monthly_series,
     "grain_rollup_raw": raw.grain_rollup,
     "grain_rollup_unpivot_first_raw": raw.grain_rollup_unpivot_first,
