@@ -69,19 +69,26 @@ def number_placed(placed: DataFrame, out: str) -> DataFrame:
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str, shown: int = 20) -> None:
     """Raise when a lookup key repeats: joining on it would multiply rows."""
-    repeated = df.groupBy(*keys).count().where("count > 1").limit(shown).collect()
+    counts = df.groupBy(*keys).count().where("count > 1")
+    repeated = counts.withColumn("_all", F.lit(counts.agg(F.count("*")).scalar())).limit(shown).collect()
     if repeated:
         found = ", ".join(str(tuple(row[k] for k in keys)) for row in repeated)
-        raise DuplicateKeyError(f"{what}: key {tuple(keys)} repeats for {found}")
+        total = repeated[0]["_all"]
+        some = f"{len(repeated)} of {total} values: " if total > len(repeated) else ""
+        raise DuplicateKeyError(f"{what}: key {tuple(keys)} repeats for {some}{found}")
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """A dimension to resolve: its table, its id column, and fact column -> dimension column."""
+    """A dimension to resolve: its table, its id column, and fact column -> dimension column.
+
+    `bounded`: the table's rows are bounded by the calendar or a driver-side catalogue.
+    """
 
     table: DataFrame
     id: str
     on: dict[str, str]
+    bounded: bool = False
 
 
 def resolve_keys(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.operators.keys import Lookup
+from starmill.operators.skew import join_hot
 
 OK, MISMATCH = "OK", "MISMATCH"
 
@@ -56,16 +57,41 @@ def sum_reconcile(
     return _reconciled(name, source.agg(total), loaded.agg(F.coalesce(F.sum(measure), F.lit(0)).alias("loaded")))
 
 
+def missing_keys(fact: DataFrame, lookup: Lookup) -> DataFrame:
+    """`key` and `rows`: the fact's key values that the dimension lacks, NULL among them, with their rows.
+
+    The fact is counted per key before anything is joined, so a key with very many rows is one.
+    """
+    (mine, theirs) = next(iter(lookup.on.items()))
+    counts = fact.groupBy(F.col(mine).alias("key")).agg(F.count("*").alias("rows"))
+    known = lookup.table.select(F.col(theirs).alias("_known")).distinct()
+    return counts.join(known, F.col("key") == F.col("_known"), "left_anti")
+
+
 def orphans(fact: DataFrame, lookups: Sequence[Lookup], name: str = "orphans") -> DataFrame:
-    """Fact rows that miss at least one dimension, each counted once."""
-    rows, missing = matched(fact, lookups)
-    lost = reduce(lambda a, b: a | b, missing.values())
-    return _one(name, rows.agg(F.count_if(lost).alias("violations")))
+    """Fact rows that miss at least one dimension, each counted once: all rows less those that match
+    everywhere. Hot keys are split off, see `join_hot`."""
+    rows = fact.select(*(next(iter(lookup.on)) for lookup in lookups))
+    kept = rows
+    for lookup in sorted(lookups, key=lambda x: x.bounded):
+        (mine, theirs) = next(iter(lookup.on.items()))
+        known = lookup.table.select(F.col(theirs).alias("_known")).distinct()
+        if lookup.bounded:
+            kept = kept.join(F.broadcast(known), F.col(mine) == F.col("_known"), "left_semi")
+        else:
+            kept = join_hot(kept, known, {mine: "_known"}, "left_semi")
+    matching = kept.agg(F.count("*").alias("_kept")).scalar()
+    return _one(name, rows.agg((F.count("*") - F.first(matching)).alias("violations")))
 
 
 def orphans_by_key(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Fact rows without a match, one row per dimension, all dimensions in one pass."""
-    return failing_rows(*matched(fact, lookups))
+    """Fact rows without a match, one row per dimension."""
+    return union(
+        [
+            _one(next(iter(lookup.on)), missing_keys(fact, lookup).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")))
+            for lookup in lookups
+        ]
+    )
 
 
 def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -74,6 +100,19 @@ def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return _one(name, repeated.agg(F.count("*").alias("violations")))
 
 
+def unique_number(df: DataFrame, number: Column, name: str) -> DataFrame:
+    """Rows beyond the first of each value of a whole number that is dense; NULLs do not count.
+
+    Values are counted in bitmaps, one bit each, so what is shuffled is a few bytes per hundred rows.
+    """
+    numbers = df.select(number.cast("bigint").alias("_v")).where("_v IS NOT NULL")
+    bits = numbers.groupBy(F.bitmap_bucket_number("_v").alias("_b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_v")).alias("_bits"), F.count("*").alias("_n")
+    )
+    surplus = F.sum(F.col("_n") - F.bitmap_count("_bits"))
+    return _one(name, bits.agg(F.coalesce(surplus, F.lit(0)).cast("bigint").alias("violations")))
+
+
 def null_tests(columns: Sequence[str], table: str) -> dict[str, Column]:
     return {f"{table}.{c}": F.col(f"`{c}`").isNull() for c in columns}
 
@@ -111,21 +150,6 @@ def coverage(df: DataFrame, column: str, catalogue: Iterable[str] | DataFrame, n
     return _one(name, unknown.agg(F.count("*").alias("violations")))
 
 
-def matched(fact: DataFrame, lookups: Sequence[Lookup]) -> tuple[DataFrame, dict[str, Column]]:
-    """The fact beside the dimension keys it matches, and a test per key for no match.
-
-    Dimension keys are made distinct, so a repeated one does not multiply fact rows.
-    """
-    missing = {}
-    for number, lookup in enumerate(lookups):
-        (mine, theirs) = next(iter(lookup.on.items()))
-        found = f"_found{number}"
-        keys = lookup.table.select(F.col(theirs).alias(found)).distinct()
-        fact = fact.join(keys, F.col(mine) == F.col(found), "left")
-        missing[mine] = F.col(found).isNull()
-    return fact, missing
-
-
 def _one(name: str, count: DataFrame) -> DataFrame:
     status = F.when(F.col("violations") == 0, OK).otherwise(MISMATCH)
     return count.select(F.lit(name).alias("check"), "violations", status.alias("status"))

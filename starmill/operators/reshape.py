@@ -8,18 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.scalars import all_not_null, lookup
+from starmill.operators.skew import join_hot
 
 
 def keep_listed(df: DataFrame, column: str, catalogue: Iterable[str] | DataFrame) -> DataFrame:
     """Rows whose `column` is in the catalogue.
 
     A driver-side list becomes an IN predicate that reaches the file scan. A DataFrame whose
-    first column holds the keys becomes a semi join, broadcast or not by its measured size.
+    first column holds the keys, each once or more, becomes a semi join in which hot keys are
+    split off, see `join_hot`.
     """
     if not isinstance(catalogue, DataFrame):
         return df.where(F.col(f"`{column}`").isin(*catalogue))
     key = catalogue.columns[0]
-    return df.join(catalogue, df[f"`{column}`"] == catalogue[f"`{key}`"], "left_semi")
+    return join_hot(df, catalogue.select(F.col(f"`{key}`").alias("_listed")), {column: "_listed"}, "left_semi")
 
 
 def unpivot_periods(

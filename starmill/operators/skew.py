@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,3 +32,26 @@ def join_counted(rows: DataFrame, lookup: DataFrame, on: list[str], size: str, s
     near = rows.join(F.broadcast(hot), on)
     far = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(rest.hint("merge"), on)
     return near.unionByName(far)
+
+
+def join_hot(rows: DataFrame, lookup: DataFrame, on: Mapping[str, str], how: str = "inner", share: int = HOT_SHARE) -> DataFrame:
+    """Inner or left semi join of `rows` with a `lookup` that has one row per key, hot keys apart.
+
+    `on` maps columns of `rows` to those of `lookup`. Hot keys are found by counting, in the same
+    query, from the key columns alone; there are fewer than `share`, so their lookup rows are
+    broadcast and their rows stay where they are. The rest is an ordinary join. `rows` is read
+    three times: give it as a scan or a written table. Null keys match nothing.
+    """
+    mine, theirs = list(on), list(on.values())
+    counts = rows.groupBy(*(F.col(f"`{c}`").alias(f"_hot_{n}") for n, c in enumerate(mine))).agg(F.count(F.lit(1)).alias("_n"))
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    hot = counts.where(F.col("_n") * share > total).drop("_n")
+
+    def same(frame: DataFrame, columns: list[str]) -> list:
+        return [frame[f"`{c}`"] == hot[f"_hot_{n}"] for n, c in enumerate(columns)]
+
+    few = lookup.join(F.broadcast(hot), same(lookup, theirs), "left_semi")
+    near = rows.join(F.broadcast(few), [rows[f"`{a}`"] == few[f"`{b}`"] for a, b in on.items()], how)
+    others = rows.join(F.broadcast(hot), same(rows, mine), "left_anti")
+    far = others.join(lookup, [others[f"`{a}`"] == lookup[f"`{b}`"] for a, b in on.items()], how)
+    return near.unionByName(far)

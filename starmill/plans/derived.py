@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from starmill.functions.scalars import percent
 from starmill.operators.analytics import percentiles, totals
 from starmill.plans.queries import by_month, by_year_and_category, flagged_by_year, yearly_by_category
-from starmill.plans.star import CATEGORY, ENTITY, IDS, MEASURE, TIME, Star
+from starmill.plans.star import CATEGORY, ENTITY, IDS, MEASURE, TIME, Star, named_entities
+from starmill.session import materialise
 
 
 def growth_vs_total(star: Star) -> DataFrame:
@@ -27,14 +28,16 @@ def growth_vs_total(star: Star) -> DataFrame:
     now, before = F.col("total"), F.col("anio_anterior")
     all_now, all_before = F.col("total_nacional"), F.col("nacional_anterior")
     change, all_change = percent(now - before, before), percent(all_now - all_before, all_before)
-    exact = "decimal(38,0)"
-    faster = now.cast(exact) * all_before > all_now.cast(exact) * before
+    a, b, c, d = (x.cast("decimal(18,0)") for x in (now, before, all_now, all_before))
+    faster = a * d > c * b
+    # the difference of both ratios over one denominator, rounded last
+    apart, product = (a - b) * d - (c - d) * b, b * d
     return both.select(
         "nombre_entidad",
         "anio",
         change.alias("pct_cambio"),
         all_change.alias("pct_nacional"),
-        (change - all_change).alias("diferencia"),
+        percent(apart, product).alias("diferencia"),
         F.when((before > 0) & (all_before > 0), faster).alias("por_encima"),
     ).orderBy(F.desc_nulls_last("diferencia"), "nombre_entidad", "anio")
 
@@ -45,7 +48,8 @@ def outlier_rows(star: Star, p: float = 0.9) -> DataFrame:
     limits = percentiles(rows.select("subtipo_delito", MEASURE), ["subtipo_delito"], MEASURE, {"umbral": p})
     # One limit per leaf of the driver-side catalogue. Rows are dropped before entities are joined.
     above = rows.join(F.broadcast(limits), "subtipo_delito").where(F.col(MEASURE) > F.col("umbral"))
-    named = above.join(star.dim_tiempo, IDS[TIME]).join(star.dim_entidad, IDS[ENTITY])
+    above = materialise(above.select("id_hecho", IDS[TIME], IDS[ENTITY], "subtipo_delito", MEASURE, "umbral"), "outliers")
+    named = named_entities(above, star.dim_entidad).join(star.dim_tiempo, IDS[TIME])
     return named.select("id_hecho", "nombre_entidad", "periodo_label", "subtipo_delito", MEASURE, "umbral")
 
 

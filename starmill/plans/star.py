@@ -8,6 +8,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmill.operators.skew import join_hot
+
 TIME, ENTITY, CATEGORY, FACT = "dim_tiempo", "dim_entidad", "dim_delito", "fact_victimas"
 
 # Load order: dimensions before the fact.
@@ -21,7 +23,7 @@ MEASURE = "num_victimas"
 # A SMALLINT column (years, months, declared entity keys) has no more distinct values than this.
 SMALLINT_VALUES = 65_536
 
-# Declared columns per table: name, Spark type, longest text (VARCHAR), may be NULL.
+# Declared columns per table: name, Spark type, longest text (VARCHAR), may be NULL.
 COLUMNS = {
     TIME: (
         ("id_tiempo", "int", None, False),
@@ -78,10 +80,17 @@ class Star:
         return {name: getattr(self, name) for name in TABLES}
 
     def joined(self, *dimensions: str) -> DataFrame:
-        """The fact inner-joined with the named dimensions."""
+        """The fact inner-joined with the named dimensions.
+
+        Entities may be many and one of them may hold much of the fact, so hot entity ids are split
+        off. The other dimensions are bounded by the calendar and the catalogue.
+        """
         wide = self.fact_victimas
+        if ENTITY in dimensions:
+            wide = named_entities(wide, self.dim_entidad)
         for name in dimensions:
-            wide = wide.join(getattr(self, name), IDS[name], "inner")
+            if name != ENTITY:
+                wide = wide.join(getattr(self, name), IDS[name], "inner")
         return wide
 
     def per_entity(self, *dimensions: str, by: Sequence[str] = (), where: Column | None = None) -> DataFrame:
@@ -116,6 +125,13 @@ class Star:
             table.createOrReplaceTempView(prefix + name)
 
 
+def named_entities(rows: DataFrame, dim_entidad: DataFrame) -> DataFrame:
+    """Fact rows beside their entity's columns."""
+    key = IDS[ENTITY]
+    slim = dim_entidad.withColumnRenamed(key, "_entity")
+    return join_hot(rows, slim, {key: "_entity"}).drop("_entity")
+
+
 def without(star: Star, table: str, condition: str) -> Star:
     """A star whose `table` lacks the rows matching `condition`."""
     return replace(star, **{table: star.tables()[table].where(f"NOT ({condition})")})

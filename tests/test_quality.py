@@ -53,7 +53,15 @@ def test_repeated_keys(star):
 
 def test_repeated_grain(star):
     broken = changed(star, FACT, id_tiempo=F.lit(1))
-    assert failed(validate.unique_grain(broken)) == {"fact_victimas.grain": 2}
+    assert failed(validate.unique_grain(broken)) == {"fact_victimas.grain": 46}
+    twice = replace(star, fact_victimas=star.fact_victimas.unionByName(star.fact_victimas.where("id_hecho < 4")))
+    assert failed(validate.unique_keys(twice)) == {"fact_victimas.id_hecho": 3}
+    assert failed(validate.unique_grain(twice)) == {"fact_victimas.grain": 3}
+
+
+def test_no_check_shuffles_the_fact_rows(star):
+    plan = validate.constraints(star)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan and "Aggregate [id_hecho" not in plan
 
 
 def test_long_texts(star):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.config import Category, StarConfig
+from starmill.operators.skew import join_hot
 from starmill.plans.build import build_grain, build_star
 from starmill.plans.load import load_star
 from starmill.plans.star import Star
@@ -56,7 +57,7 @@ def config(spark: SparkSession, sf_dir: str) -> StarConfig:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipped lines with their category, and their quantity in the column of their month."""
     lineitem, part = (table(spark, sf_dir, name) for name in ("lineitem", "part"))
-    lines = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    lines = join_hot(lineitem, part.select("p_partkey", "p_type"), {"l_partkey": "p_partkey"}).select(
         "l_suppkey",
         F.year("l_shipdate").alias("year"),
         "p_type",
@@ -68,10 +69,10 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("l_suppkey", "year", "p_type", "l_returnflag", *cells)
 
 
-def _named(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Under the wide source's column names, with the supplier as entity."""
+def _named(lines: DataFrame) -> DataFrame:
+    """Lines with their supplier under the wide source's column names, the supplier as entity."""
     c = SOURCE_COLUMNS
-    return lines.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(
+    return lines.select(
         F.col("year").alias(c["year"]),
         F.col("s_suppkey").alias(c["entity_key"]),
         F.col("s_name").alias(c["entity_name"]),
@@ -85,7 +86,8 @@ def _named(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every shipped line as its own wide row, one month filled: the source at full size."""
-    return _named(_lines(spark, sf_dir), spark, sf_dir)
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return _named(join_hot(_lines(spark, sf_dir), supplier, {"l_suppkey": "s_suppkey"}))
 
 
 def wide_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +98,7 @@ def wide_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     keys = ("l_suppkey", "year", "p_type", "l_returnflag")
     summed = _lines(spark, sf_dir).groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MONTHS])
-    return _named(summed, spark, sf_dir)
+    return _named(summed.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")))
 
 
 @dataclass(frozen=True)
