@@ -1,41 +1,81 @@
 """Full refresh from a wide CSV: extract, transform, load, validate, export.
 
-    python -m starmill.job --source FILE_OR_DIR --warehouse DIR [--export DIR]
+    python -m starmill.job --source FILE_OR_DIR --warehouse DIR [--export DIR] [--first PERIOD] [--last PERIOD]
 """
 
 from __future__ import annotations
 
 import argparse
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from starmill.config import StarConfig
 from starmill.operators import quality
 from starmill.plans import queries, validate
 from starmill.plans.build import build_grain, build_star
 from starmill.plans.load import export_csv, load_star
-from starmill.plans.star import Star
+from starmill.plans.star import FACT, MEASURE, Star
 from starmill.presets import HEADLINE_LEAF, STATE_INCIDENCE
 from starmill.session import get_session
 from starmill.sources.wide import read_wide_csv
 
+REPORTS = "_reports"
+#: Labels before and after every period.
+FIRST_PERIOD, LAST_PERIOD = "0000-00", "9999-99"
+
 
 def refresh(spark: SparkSession, source: str, warehouse: str, config: StarConfig) -> Star:
     """Rebuild the star from `source` and publish it under `warehouse` if the written tables
     pass every check; otherwise raise and leave the published star as it was."""
+    return refresh_reported(spark, source, warehouse, config)[0]
+
+
+def refresh_reported(spark: SparkSession, source: str, warehouse: str, config: StarConfig) -> tuple[Star, DataFrame]:
+    """`refresh`, and its report: rows per stage, every check with what it compared, and totals.
+
+    The source is scanned once: what is counted and summed of it is observed in the pass that
+    writes the grain. The fact's expected rows follow from the written grain, so nothing is built
+    twice. The report is written under `warehouse` too, whether the load is published or refused.
+    """
     wide = read_wide_csv(spark, source, config)
-    built = build_star(build_grain(wide, config), config)
+    seen = Observation("source")
+    listed = F.col(f"`{config.leaf}`").isin(*config.categories)
+    total = F.coalesce(F.sum(F.when(listed, quality.row_total(config.months))), F.lit(0))
+    observed = wide.observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(listed).alias("listed"), total.alias("total")
+    )
+    grain = build_grain(observed, config)
+    groups, found = grain.count(), seen.get
+    built = build_star(grain, config)
+    path = f"{warehouse}/{REPORTS}/{uuid.uuid4().hex}"
 
     def check(loaded: Star) -> None:
-        quality.fail_on_violation(quality.count_reconcile(built.tables(), loaded.tables()))
-        quality.fail_on_violation(validate.constraints(loaded))
-        quality.fail_on_violation(validate.source_total(wide, loaded, config))
+        expected = {name: table.count() for name, table in built.tables().items() if name != FACT}
+        expected[FACT] = groups * len(config.months)
+        stages = {"source read": found["read"], "source listed": found["listed"], "grain groups": groups, "fact": expected[FACT]}
+        counted = [(f"rows: {name}", n, n, quality.OK) for name, n in stages.items()]
+        shape = "check string, expected bigint, loaded bigint, status string"
+        parts = [
+            spark.createDataFrame(counted, shape),
+            quality.counts_against(expected, loaded.tables()),
+            quality.total_against(MEASURE, int(found["total"]), loaded.fact_victimas, MEASURE),
+            validate.constraints(loaded).select(
+                "check", F.lit(0).cast("bigint").alias("expected"), F.col("violations").alias("loaded"), "status"
+            ),
+        ]
+        quality.union(parts).coalesce(1).write.parquet(path)
+        quality.fail_on_violation(spark.read.schema(shape).parquet(path))
 
-    return load_star(built, warehouse, check)
+    star = load_star(built, warehouse, check)
+    return star, spark.read.parquet(path)
 
 
-def reports(star: Star, leaf: str) -> dict[str, DataFrame]:
-    """The results that feed the dashboard pages and the map."""
+def reports(star: Star, leaf: str, first: str | None = None, last: str | None = None) -> dict[str, DataFrame]:
+    """The results that feed the dashboard pages and the map, within the periods `first`..`last` if given."""
+    if first or last:
+        star = star.sliced(first or FIRST_PERIOD, last or LAST_PERIOD)
     return {
         "monthly_series": queries.monthly_series(star, leaf),
         "top_n_total": queries.top_n_total(star),
@@ -51,10 +91,14 @@ def main() -> None:
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--export")
     parser.add_argument("--leaf", default=HEADLINE_LEAF)
+    parser.add_argument("--first", help="first period of the exported results, such as 2018-01")
+    parser.add_argument("--last", help="last period")
     args = parser.parse_args()
-    star = refresh(get_session(), args.source, args.warehouse, STATE_INCIDENCE)
+    star, report = refresh_reported(get_session(), args.source, args.warehouse, STATE_INCIDENCE)
+    for row in report.collect():
+        print(f"{row['status']:8} {row['check']}: expected {row['expected']}, found {row['loaded']}")
     if args.export:
-        for name, result in reports(star, args.leaf).items():
+        for name, result in reports(star, args.leaf, args.first, args.last).items():
             export_csv(result, f"{args.export}/{name}")
 
 

@@ -44,6 +44,23 @@ def count_reconcile(expected: Mapping[str, DataFrame], loaded: Mapping[str, Data
     )
 
 
+def row_total(measures: Sequence[str]) -> Column:
+    """Sum over the measure columns of a row, empty ones as 0."""
+    return reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{m}`"), F.lit(0)).cast("bigint") for m in measures])
+
+
+def counts_against(expected: Mapping[str, int], loaded: Mapping[str, DataFrame]) -> DataFrame:
+    """Known row counts against the loaded tables'."""
+    return union(
+        [_against(name, n, loaded[name].agg(F.count("*").alias("loaded"))) for name, n in expected.items()]
+    )
+
+
+def total_against(name: str, expected: int, loaded: DataFrame, measure: str) -> DataFrame:
+    """A known total against that of the loaded column."""
+    return _against(name, expected, loaded.agg(F.coalesce(F.sum(measure), F.lit(0)).alias("loaded")))
+
+
 def sum_reconcile(
     name: str, source: DataFrame, measures: Sequence[str], loaded: DataFrame, measure: str
 ) -> DataFrame:
@@ -52,8 +69,7 @@ def sum_reconcile(
     It compares with the source before any reshaping, so rows lost or multiplied on the way
     show up.
     """
-    per_row = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{m}`"), F.lit(0)).cast("bigint") for m in measures])
-    total = F.coalesce(F.sum(per_row), F.lit(0)).alias("expected")
+    total = F.coalesce(F.sum(row_total(measures)), F.lit(0)).alias("expected")
     return _reconciled(name, source.agg(total), loaded.agg(F.coalesce(F.sum(measure), F.lit(0)).alias("loaded")))
 
 
@@ -155,6 +171,13 @@ def _one(name: str, count: DataFrame) -> DataFrame:
     return count.select(F.lit(name).alias("check"), "violations", status.alias("status"))
 
 
+def _against(name: str, expected: int, loaded: DataFrame) -> DataFrame:
+    status = F.when(F.col("loaded") == expected, OK).otherwise(MISMATCH)
+    return loaded.select(
+        F.lit(name).alias("check"), F.lit(expected).cast("bigint").alias("expected"), "loaded", status.alias("status")
+    )
+
+
 def _reconciled(name: str, expected: DataFrame, loaded: DataFrame) -> DataFrame:
     status = F.when(F.col("expected") == F.col("loaded"), OK).otherwise(MISMATCH)
     return expected.withColumn("loaded", loaded.scalar()).select(

@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.plans.star import FACT, TABLES, Star
+from starmill.session import materialise
 
 _LOG = "_published"
+#: Of two refreshes that take the same number, the one published later is current.
+_LOG_SCHEMA = "version int, path string, published timestamp"
 
 
 def load_star(star: Star, base: str, check: Callable[[Star], object] | None = None) -> Star:
@@ -30,7 +33,9 @@ def load_star(star: Star, base: str, check: Callable[[Star], object] | None = No
     loaded = read_tables(spark, target)
     if check:
         check(loaded)
-    entry = spark.range(1).select(F.lit(number).alias("version"), F.lit(target).alias("path"))
+    entry = spark.range(1).select(
+        F.lit(number).alias("version"), F.lit(target).alias("path"), F.current_timestamp().alias("published")
+    )
     entry.write.mode("append").parquet(log)
     return loaded
 
@@ -39,25 +44,40 @@ def append_star(star: Star, path: str) -> None:
     """Append every table under `path`, dimensions first.
 
     The fact goes in period order, so each file and row group covers few periods and a time
-    slice skips the others. The row id beside the period lets a month of any size be split.
+    slice skips the others. Time ids are dense, so a row's place follows from its id: nothing is
+    sampled and the fact is evaluated once.
     """
-    in_time = ("id_tiempo", "id_hecho")
-    fact = star.fact_victimas.repartitionByRange(*in_time).sortWithinPartitions(*in_time)
+    parts = int(star.fact_victimas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fact = in_period_order(star.fact_victimas, max(1, star.dim_tiempo.count()), parts)
     for name, table in replace(star, fact_victimas=fact).tables().items():
         table.write.mode("append").parquet(f"{path}/{name}")
 
 
+def in_period_order(fact: DataFrame, periods: int, parts: int) -> DataFrame:
+    """About `parts` partitions of neighbouring periods; a period larger than one is several, by hash."""
+    slices = max(1, parts // periods)
+    period = F.col("id_tiempo").cast("bigint") - 1
+    if slices > 1:
+        place, parts = period * slices + F.pmod(F.xxhash64("id_hecho"), F.lit(slices)), periods * slices
+    else:
+        place, parts = F.floor(period * F.lit(min(parts, periods)) / F.lit(periods)), min(parts, periods)
+    dealt = fact.repartitionById(parts, F.pmod(F.coalesce(place, F.lit(0)), F.lit(parts)).cast("int"))
+    return dealt.sortWithinPartitions("id_tiempo", "id_hecho")
+
+
 def append_jdbc(
     star: Star, url: str, schema: str, batch_rows: int = 1000, connections: int = 8, **properties: str
 ) -> None:
     """Append every table to a database, dimensions first, in batches of `batch_rows`.
 
-    The database fills the fact's id and load time from its own defaults. At most
-    `connections` tasks write at once.
+    The database fills the fact's id and load time from its own defaults. At most `connections`
+    tasks write at once; tables are written to the shared folder first, so that bounds the
+    connections and not the work before them.
     """
     for name, table in star.tables().items():
         sent = table.drop("id_hecho", "fecha_carga") if name == FACT else table
-        writer = sent.write.mode("append").option("batchsize", batch_rows).option("numPartitions", connections)
+        writer = materialise(sent, name).write.mode("append")
+        writer = writer.option("batchsize", batch_rows).option("numPartitions", connections)
         writer.jdbc(url, f"{schema}.{name}", properties=properties)
 
 
@@ -80,12 +100,47 @@ def register_tables(spark: SparkSession, base: str, database: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Write a result as CSV: header, CRLF line ends, NULL as an empty field.
+    """Write a result as CSV in its order: quoted header, CRLF line ends, NULL as an empty field.
 
-    Rows keep the order of `df` across the part files. Adaptive execution merges small
-    partitions, so a report-sized result is one file without forcing a single task.
+    For results a dashboard reads: a report-sized one is one file. The file is complete before it
+    takes the place of an earlier one, which a failed export leaves as it was.
     """
-    df.write.mode("overwrite").csv(path, header=True, nullValue="", lineSep="\r\n")
+    spark = df.sparkSession
+    line = F.to_csv(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"nullValue": ""})
+    lines = materialise(df.select(F.monotonically_increasing_id().alias("at"), line.alias("value")), "export")
+    header = F.lit(",".join('"' + c.replace('"', '""') + '"' for c in df.columns))
+    first = lines.agg(F.min("at")).first()[0]
+    if first is None:
+        text = spark.range(1).select(header.alias("value"))
+    else:
+        headed = F.when(F.col("at") == first, F.array(header, "value")).otherwise(F.array("value"))
+        text = lines.orderBy("at").select(F.explode(headed).alias("value"))
+    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    text.write.text(fresh, lineSep="\r\n")
+    _replace(spark, fresh, path)
+
+
+def _replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder `fresh` in the place of `path`."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    new, old = hadoop.Path(fresh), hadoop.Path(path)
+    system = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(old, True)
+    system.mkdirs(old.getParent())
+    if not system.rename(new, old):
+        raise OSError(f"cannot move {fresh} to {path}")
+
+
+def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Remove all but the newest `keep` published versions under `base`, once no reader needs them."""
+    log = spark.read.schema(_LOG_SCHEMA).parquet(f"{base}/{_LOG}")
+    entries = log.orderBy(F.desc("version"), F.desc("published")).collect()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    dropped = [row["path"] for row in entries[max(1, keep) :]]
+    for path in dropped:
+        old = hadoop.Path(path)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return dropped
 
 
 def _published(spark: SparkSession, base: str) -> str:
@@ -97,10 +152,10 @@ def _published(spark: SparkSession, base: str) -> str:
 
 def _current(spark: SparkSession, base: str) -> tuple[int, str] | None:
     try:
-        log = spark.read.schema("version int, path string").parquet(f"{base}/{_LOG}")
+        log = spark.read.schema(_LOG_SCHEMA).parquet(f"{base}/{_LOG}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    newest = log.orderBy(F.desc("version"), F.desc("path")).limit(1).collect()
-    return tuple(newest[0]) if newest else None
+    newest = log.orderBy(F.desc("version"), F.desc("published")).limit(1).collect()
+    return (newest[0]["version"], newest[0]["path"]) if newest else None

@@ -10,7 +10,16 @@ from starmill import job
 from starmill.operators import quality
 from starmill.plans import queries, validate
 from starmill.plans.build import build_grain, build_star, rolled_up
-from starmill.plans.load import append_star, export_csv, load_star, read_star, read_tables, register_tables
+from starmill.plans.load import (
+    append_star,
+    drop_old_versions,
+    export_csv,
+    in_period_order,
+    load_star,
+    read_star,
+    read_tables,
+    register_tables,
+)
 from starmill.presets import CATEGORIES, REGIONS, STATE_INCIDENCE
 from starmill.session import materialise, shared_dir
 from starmill.sources.wide import profile, read_wide_csv, wide_schema, write_wide_csv
@@ -139,16 +148,39 @@ def test_a_slice_is_pushed_to_the_stored_fact(spark, star, tmp_path):
 def test_export_writes_one_file_in_order(spark, star, tmp_path):
     path = tmp_path / "x"
     export_csv(queries.yoy_change(star), str(path))
-    (file,) = path.glob("*.csv")
+    (file,) = path.glob("part-*")
     lines = file.read_bytes().decode().split("\r\n")
     assert lines == [
-        "nombre_entidad,anio,total,anio_anterior,variacion_absoluta,pct_cambio",
+        '"nombre_entidad","anio","total","anio_anterior","variacion_absoluta","pct_cambio"',
         "North,2020,36,24,12,50.0",
         "North,2019,24,,,",
         "",
     ]
 
 
+def test_a_failed_export_leaves_the_earlier_one(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    export_csv(spark.createDataFrame([("a,b", None)], "x string, y int"), path)
+    with pytest.raises(Exception, match="broken"):
+        export_csv(spark.range(1).select(F.raise_error(F.lit("broken")).alias("x")), path)
+    assert next((tmp_path / "kept").glob("part-*")).read_bytes() == b'"x","y"\r\n"a,b",\r\n'
+
+
+def test_old_versions_are_dropped_on_request(spark, star, tmp_path):
+    base = str(tmp_path / "v")
+    for _ in range(3):
+        load_star(star, base)
+    assert len(drop_old_versions(spark, base, keep=1)) == 2
+    assert total(read_star(spark, base)) == 108
+
+
+def test_periods_are_dealt_to_all_partitions(spark):
+    fact = spark.range(2400).selectExpr("cast(id % 24 + 1 as int) as id_tiempo", "id as id_hecho")
+    for parts in (5, 24, 100):
+        sizes = [r["n"] for r in in_period_order(fact, 24, parts).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 2400 and len(sizes) == min(parts, 24) * max(1, parts // 24)
+
+
 def test_views_answer_plain_sql(spark, star):
     star.create_views("t_")
     found = spark.sql(
@@ -199,6 +231,17 @@ def test_the_job_refreshes_and_answers(spark, incidence_csv, tmp_path):
     assert [d.dataType.simpleString() for d in star.dim_entidad.schema] == ["int", "smallint", "string", "string"]
 
 
+def test_the_report_holds_stages_checks_and_totals(spark, incidence_csv, tmp_path):
+    star, report = job.refresh_reported(spark, incidence_csv, str(tmp_path / "w"), STATE_INCIDENCE)
+    rows = {r.check: r for r in report.collect()}
+    assert all(r.status == "OK" for r in rows.values())
+    assert rows["rows: source read"].loaded == 2 * 32 * 14 and rows["rows: source listed"].loaded == 2 * 32 * 13
+    assert rows["rows: grain groups"].loaded * 12 == rows["fact_victimas"].loaded == star.fact_victimas.count()
+    assert rows["num_victimas"].expected == total(star)
+    sliced = job.reports(star, job.HEADLINE_LEAF, first="2022-01")["yearly_by_category"]
+    assert {r.anio for r in sliced.collect()} == {2022}
+
+
 def test_the_job_refuses_a_source_that_loses_rows(spark, tmp_path):
     source = str(tmp_path / "s")
     write_wide_csv(frame(spark, [*ROWS, row(2019, None, "North", "lethal", Enero=5)]), source, CONFIG)
