@@ -119,7 +119,7 @@ def _range_of(bounds: list[int]):
         found = np.searchsorted(np.array(bounds, "int64"), ids.to_numpy(zero_copy_only=False), side="right")
         return pa.array(found.astype("int32"))
 
-    return F.arrow_udf(search, "int", F.ArrowUDFType.SCALAR)
+    return F.arrow_udf(search, "int")
 
 
 def _dealt(docs: DataFrame) -> DataFrame:
@@ -181,6 +181,7 @@ def with_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             yield out([compare(None, t, fingerprint(t), "", nothing) for t in batch.column(0).to_pylist()])
 
     dealt = _dealt(rows.where("doc_id is not null"))
-    dealt = dealt.repartition("range").sortWithinPartitions("range", "border", "doc_id", "text")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartitionById(parts, "range").sortWithinPartitions("range", "border", "doc_id", "text")
     placed = dealt.select("range", "border", "doc_id", "text").mapInArrow(walk, schema)
     return placed.unionByName(rows.where("doc_id is null").select("text").mapInArrow(alone, schema))

@@ -277,5 +277,5 @@ def mixed(docs: DataFrame, mix: Plan, doc_id: str = "doc_id", source: str = "sou
     found = rows.join(_draws_of_blocks(mix), ["place", "block"]).select("row", "key", F.explode(_taking(F.col("key"))).alias("d"))
     order = F.xxhash64(F.lit(mix.seed), F.col("d.epoch"), F.col("key"))
     dealt = found.select("row", F.col("d.shard").alias("shard"), order.alias("order"))
-    dealt = dealt.repartition(mix.shards, "shard").sortWithinPartitions("shard", "order")
+    dealt = dealt.repartitionById(mix.shards, "shard").sortWithinPartitions("shard", "order")
     return dealt.select("row.*", *([] if "shard" in docs.columns else ["shard"]))

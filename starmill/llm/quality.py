@@ -179,7 +179,7 @@ def keep_good(docs: DataFrame, ranker: Ranker | None, text: str = "text") -> Dat
             ]
             yield pa.array(np.concatenate(made) if made else np.zeros(0))
 
-    score = F.arrow_udf(score_of, "double", F.ArrowUDFType.SCALAR_ITER)
+    score = F.arrow_udf(score_of, "double")
     rows = boxed(docs)
     whole = F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))
     return rows.where(score(whole) >= CUT).select("row.*")
