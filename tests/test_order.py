@@ -1,0 +1,72 @@
+"""The order each question asks for, with ties and NULLs."""
+
+import pytest
+
+from starmill.plans import queries
+from starmill.plans.star import Star
+
+ENTITIES = ["Bare", "East", "North", "South", "West"]
+#: entity, leaf, year, month, measure; East has NULLs alone, North and South tie, Bare has no flagged rows.
+FACTS = [
+    ("North", "lethal", 2019, 1, 10),
+    ("North", "lethal", 2020, 2, 30),
+    ("North", "harm", 2020, 1, 10),
+    ("South", "lethal", 2019, 1, 10),
+    ("South", "lethal", 2020, 1, 30),
+    ("South", "harm", 2019, 2, 10),
+    ("West", "lethal", 2020, 1, 4),
+    ("Bare", "harm", 2019, 1, 7),
+    ("East", "late", 2019, 2, None),
+]
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    periods = [(y, m) for y in (2019, 2020) for m in (1, 2)]
+    leaves = ["lethal", "late", "harm"]
+    time = [(i, y, m, f"m{m}", f"{y}-0{m}") for i, (y, m) in enumerate(periods, 1)]
+    fact = [
+        (n, periods.index((y, m)) + 1, ENTITIES.index(e) + 1, leaves.index(leaf) + 1, v)
+        for n, (e, leaf, y, m, v) in enumerate(FACTS, 1)
+    ]
+    return Star(
+        spark.createDataFrame(time, "id_tiempo int, anio smallint, mes smallint, nombre_mes string, periodo_label string"),
+        spark.createDataFrame([(i, e, f"r{e[0]}") for i, e in enumerate(ENTITIES, 1)], "id_entidad int, nombre_entidad string, region string"),
+        spark.createDataFrame([(i, c, c != "harm") for i, c in enumerate(leaves, 1)], "id_delito int, subtipo_delito string, es_letal boolean"),
+        spark.createDataFrame(fact, "id_hecho bigint, id_tiempo int, id_entidad int, id_delito int, num_victimas int"),
+    )
+
+
+def column(df, *names):
+    return [tuple(r[n] for n in names) for r in df.collect()]
+
+
+def test_ranks_by_year_rank_and_name(star):
+    found = column(queries.rank_by_period(star, "lethal"), "anio", "ranking_anual", "nombre_entidad")
+    assert found == [(2019, 1, "North"), (2019, 1, "South"), (2020, 1, "North"), (2020, 1, "South"), (2020, 3, "West")]
+
+
+def test_changes_put_nulls_last(star):
+    found = column(queries.yoy_change(star), "nombre_entidad", "anio")
+    assert found == [("North", 2020), ("South", 2020), ("East", 2019), ("North", 2019), ("South", 2019), ("West", 2020)]
+
+
+def test_shares_put_nulls_first(star):
+    found = column(queries.lethal_share(star), "nombre_entidad")
+    assert [n for (n,) in found] == ["Bare", "East", "West", "North", "South"]
+
+
+def test_percentiles_put_a_group_of_nulls_first(star):
+    found = column(queries.percentile_by_group(star), "subtipo_delito", "maximo_mensual")
+    assert found == [("late", None), ("lethal", 30), ("harm", 10)]
+
+
+def test_top_and_map_put_nulls_first_and_break_ties_by_name(star):
+    assert [n for (n,) in column(queries.top_n_total(star, 4), "nombre_entidad")] == ["East", "North", "South", "Bare"]
+    assert [n for (n,) in column(queries.map_totals(star), "nombre_entidad")] == ["East", "North", "South", "Bare", "West"]
+
+
+def test_series_run_through_time(star):
+    assert column(queries.monthly_series(star, "lethal"), "anio", "mes") == [(2019, 1), (2020, 1), (2020, 2)]
+    found = column(queries.yearly_by_category(star), "anio", "subtipo_delito")
+    assert found == [(2019, "harm"), (2019, "late"), (2019, "lethal"), (2020, "harm"), (2020, "lethal")]
