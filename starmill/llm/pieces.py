@@ -34,10 +34,10 @@ from starmill.llm.common import slices, text_of
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
-#: Segments up to this length keep their agenda as a list, longer ones as a heap.
-SHORT = 48
-#: Words, and segments of words, that a worker keeps; a table starts anew when it is full.
-TABLE_ENTRIES = 500_000
+#: Segments up to this length are merged side by side, so many at once; longer ones keep a heap each.
+SHORT, ROWS_AT_ONCE = 48, 4096
+#: Segments in each generation of a worker's table.
+TABLE_ENTRIES = 120_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -63,6 +63,59 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield key >> 3, value
 
 
+class Pairs:
+    """Every pair of symbols that makes a piece, in a hash table that is searched for many at once."""
+
+    BITS = 20
+
+    def __init__(self, codec: Codec):
+        found = {}
+        for piece in codec.ids:
+            for i in range(1, len(piece)):
+                left, right = codec.numbers.get(piece[:i]), codec.numbers.get(piece[i:])
+                if left is not None and right is not None:
+                    found[left << 32 | right] = (codec.place[piece], codec.numbers[piece])
+        self.bits = max(self.BITS, (4 * len(found)).bit_length())
+        keys = np.array(list(found), "int64")
+        values = np.array(list(found.values()), "int64").reshape(-1, 2)
+        self.keys = np.full(1 << self.bits, -1, "int64")
+        self.slots = np.zeros((2, 1 << self.bits), "int64")
+        self.slots[0] = len(codec.place)
+        left, at = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[left[free]]  # of those that want one slot, the last gets it
+            got = self.keys[at] == keys[left]
+            self.slots[:, at[got]] = values[left[got]].T
+            left, at = left[~got], at[~got] + 1 & (1 << self.bits) - 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype("int64")
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The slot of each pair, or an empty one."""
+        keys = left << 32 | right
+        at = self._slot(keys)
+        off = np.flatnonzero((self.keys[at] != keys) & (self.keys[at] >= 0))
+        while len(off):
+            at[off] = at[off] + 1 & (1 << self.bits) - 1
+            held = self.keys[at[off]]
+            off = off[(held != keys[off]) & (held >= 0)]
+        return at
+
+    def place(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Places in the agenda; the last one for pairs that make no piece."""
+        return self.slots[0, self._find(left, right)]
+
+    def made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return self.slots[1, self._find(left, right)]
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
 class Codec:
     """Encoder and decoder of one model file.
 
@@ -96,6 +149,11 @@ class Codec:
         #: Place in the agenda's order; equal scores share a place.
         places = {s: n for n, s in enumerate(sorted({scores[i] for i in self.ids.values()}, reverse=True))}
         self.place = {p: places[scores[i]] for p, i in self.ids.items()}
+        #: Symbols by number: the pieces, then characters that occur in pieces only.
+        self.names = [*self.ids, *sorted({c for p in self.ids for c in p} - set(self.ids))]
+        self.numbers = {name: n for n, name in enumerate(self.names)}
+        self.piece_ids = np.array(list(self.ids.values()), "int64")
+        self.pairs = Pairs(self)
         self.byte_ids = [i for i, k in enumerate(self.kinds) if k == BYTE]
         self.shown = [self._shown(i) for i in range(len(self.pieces))]
         self.cut = self._cutter()
@@ -139,22 +197,75 @@ class Codec:
 
     def merge(self, segment: str) -> list[int]:
         """Ids of one segment by the agenda of adjacent pairs."""
-        return self._ids(self._merged_short(segment) if len(segment) <= SHORT else self._merged_long(segment))
-
-    def _merged_short(self, segment: str) -> list[str]:
-        """The agenda as a list beside the symbols: its least entry, leftmost first, is merged next."""
-        get, none = self.place.get, len(self.place)
-        symbols = list(segment)
-        agenda = [get(segment[i : i + 2], none) for i in range(len(segment) - 1)]
-        while agenda and (best := min(agenda)) != none:
-            i = agenda.index(best)
-            both = symbols[i] = symbols[i] + symbols.pop(i + 1)
-            del agenda[i]
-            if i:
-                agenda[i - 1] = get(symbols[i - 1] + both, none)
-            if i < len(agenda):
-                agenda[i] = get(both + symbols[i + 1], none)
-        return symbols
+        return np.frombuffer(self.merge_many([segment])[0], "<i4").tolist()
+
+    def merge_many(self, segments: list[str]) -> list[bytes]:
+        """Ids of segments, each as 4-byte numbers: short ones side by side, long ones by a heap each."""
+        out = [b""] * len(segments)
+        short = sorted((n for n, s in enumerate(segments) if len(s) <= SHORT), key=lambda n: len(segments[n]))
+        for start in range(0, len(short), ROWS_AT_ONCE):
+            part = short[start : start + ROWS_AT_ONCE]
+            for n, packed in zip(part, self._merged_rows([segments[n] for n in part])):
+                out[n] = packed
+        for n, segment in enumerate(segments):
+            if len(segment) > SHORT:
+                out[n] = _pack(self._ids(self._merged_long(segment)))
+        return out
+
+    def _merged_rows(self, segments: list[str]) -> list[bytes]:
+        """A row of symbols per segment, and beside it its agenda: the places of its adjacent pairs.
+
+        In each round the least entry of every row, the leftmost of equal ones, is merged; what
+        stands behind it moves up, and the two pairs beside it are looked up anew.
+        """
+        none, out = len(self.place), [b""] * len(segments)
+        length = np.fromiter(map(len, segments), "int64", len(segments))
+        width = int(length.max(initial=1))
+        row = np.repeat(np.arange(len(segments)), length)
+        column = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+        points, inverse = np.unique(np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "uint32"), return_inverse=True)
+        strange = len(self.names)
+        numbers = np.array([self.numbers.get(chr(c), strange + c) for c in points.tolist()], "int64")
+        symbols = np.full((len(segments), width + 1), -1, "int64")
+        symbols[row, column] = numbers[inverse]
+        agenda = np.full(symbols.shape, none, "int64")
+        pairs = symbols[:, 1:] >= 0
+        agenda[:, :-1][pairs] = self.pairs.place(symbols[:, :-1][pairs], symbols[:, 1:][pairs])
+        place, columns = np.arange(len(segments)), np.arange(width + 1)
+        while len(place):
+            lines = np.arange(len(place))
+            best = agenda.argmin(1)
+            going = agenda[lines, best] < none
+            if not going.all():
+                self._finish(place[~going], symbols[~going], out)
+                place, symbols, agenda, best = place[going], symbols[going], agenda[going], best[going]
+                lines = np.arange(len(place))
+                if not len(place):
+                    break
+            made = self.pairs.made(symbols[lines, best], symbols[lines, best + 1])
+            behind = columns > best[:, None]
+            symbols = np.take_along_axis(symbols, np.minimum(columns + behind, width), 1)
+            agenda = np.take_along_axis(agenda, np.minimum(columns + (columns >= best[:, None]), width), 1)
+            symbols[lines, best] = made
+            symbols[:, width], agenda[:, width] = -1, none
+            for left in (best - 1, best):
+                has = np.flatnonzero((left >= 0) & (symbols[lines, left + 1] >= 0))
+                agenda[has, left[has]] = self.pairs.place(symbols[has, left[has]], symbols[has, left[has] + 1])
+                end = np.flatnonzero((left >= 0) & (symbols[lines, left + 1] < 0))
+                agenda[end, left[end]] = none
+        return out
+
+    def _finish(self, place: np.ndarray, symbols: np.ndarray, out: list[bytes]) -> None:
+        used = symbols >= 0
+        plain = ~(symbols >= len(self.ids)).any(1)
+        ids = self.piece_ids[symbols[plain][used[plain]]].astype("<i4").tobytes()
+        at = 0
+        for n, many in zip(place[plain].tolist(), used[plain].sum(1).tolist()):
+            out[n] = ids[at : at + 4 * many]
+            at += 4 * many
+        for n, row in zip(place[~plain].tolist(), symbols[~plain].tolist()):
+            strange = len(self.names)
+            out[n] = _pack(self._ids([self.names[x] if x < strange else chr(x - strange) for x in row if x >= 0]))
 
     def _ids(self, symbols: list[str]) -> list[int]:
         out = list(map(self.ids.get, symbols))
@@ -194,7 +305,7 @@ class Codec:
         return [symbol for symbol in symbols if symbol]
 
     def encode(self, text: str) -> list[int]:
-        return [i for segment in self.segments(text) for i in self.merge(segment)]
+        return np.frombuffer(b"".join(self.merge_many(self.segments(text))), "<i4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The text of `ids`; the prefix space goes, bytes that form no character become U+FFFD."""
@@ -249,18 +360,40 @@ def _library(model: bytes):
     return sentencepiece.SentencePieceProcessor(model_proto=model)
 
 
-_TABLES: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+class Table:
+    """Packed ids of checked segments, as a worker keeps them over its tasks.
+
+    Two generations of at most TABLE_ENTRIES each (and what one slice adds): what is looked up moves
+    to the younger one; when that is full it becomes the older, whose entries are forgotten.
+    """
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def known(self, segments: set[str]) -> dict[str, bytes]:
+        found = {s: self.young[s] for s in segments & self.young.keys()}
+        found |= {s: self.old[s] for s in (segments - found.keys()) & self.old.keys()}
+        return found
+
+    def keep(self, found: dict[str, bytes], most: int) -> None:
+        self.young |= found
+        if len(self.young) > most:
+            self.old, self.young = self.young, {}
+
+
+_TABLES: dict[str, Table] = {}
 
 
 class Encoder:
-    """Encodes slices of texts with the worker's tables: ids of words, and of checked segments."""
+    """Encodes slices of texts; every segment comes from the worker's table or is checked anew."""
 
     def __init__(self, model: bytes, most: int = TABLE_ENTRIES):
         self.codec, self.library, self.most = _codec(model), _library(model), most
-        self.words, self.parts = _TABLES.setdefault(hashlib.sha256(model).hexdigest(), ({}, {}))
-        self.lead = self.codec._ids([SPACE, "\n"])
+        self.table = _TABLES.setdefault(hashlib.sha256(model).hexdigest(), Table())
+        self.lead = _pack(self.codec._ids([SPACE, "\n"]))
 
-    def _learn(self, new: list[str]) -> None:
+    def _learned(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
         """Merge segments and hold them against the library, all in one call.
 
         The library puts a space mark before a text. A segment that starts with one is handed over
@@ -268,42 +401,43 @@ class Encoder:
         of the segment are what follows that line feed's.
         """
         plain = [s[1:] if s[0] == SPACE and len(s) > 1 else "\n" + s for s in new]
-        for segment, text, ids in zip(new, plain, self.library.encode(plain, num_threads=1)):
-            own = self.codec.merge(segment)
-            expected = own if text[0] != "\n" or len(text) < len(segment) else self.lead + own
-            if expected != ids:
-                raise ValueError(f"ids differ from the library's for {segment!r}: {expected} and {ids}")
-            self.parts[segment] = struct.pack(f"<{len(own)}i", *own)
-
-    def _packed(self, cuts: list[list[str]]) -> list[bytes]:
-        """The ids of texts given as segments."""
-        parts = self.parts
-        missing = {s for segments in cuts for s in segments if s not in parts}
-        if len(parts) + len(missing) > self.most:
-            parts.clear()
-            missing = {s for segments in cuts for s in segments}
-        if missing:
-            self._learn(list(missing))
-        return [b"".join(map(parts.__getitem__, segments)) for segments in cuts]
+        merged = self.codec.merge_many(new)
+        for segment, text, own, ids in zip(new, plain, merged, self.library.encode(plain, num_threads=1)):
+            led = text[0] == "\n" and len(text) > len(segment)
+            if _pack(ids) != (self.lead + own if led else own):
+                raise ValueError(f"ids differ from the library's for {segment!r}: {np.frombuffer(own, '<i4').tolist()} and {ids}")
+            yield segment, own
+
+    def _packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of distinct texts."""
+        cuts = [self.codec.segments(t) for t in texts]
+        wanted = {s for segments in cuts for s in segments}
+        found = self.table.known(wanted)
+        if len(found) < len(wanted):
+            found |= self._learned(list(wanted - found.keys()))
+        self.table.keep(found, self.most)
+        return [b"".join(map(found.__getitem__, segments)) for segments in cuts]
 
     def slice(self, texts: list[str], end: bool) -> pa.ListArray:
-        """A word that single spaces set off is encoded apart; any other text as a whole."""
-        cut, words = self.codec.segments, self.words
-        if len(words) > self.most:
-            words.clear()
-        apart = [w if self.codec.prefix and self.codec.spaced and "" not in (w := t.split(" ")) else None for t in texts]
-        new = list({w for ws in apart if ws for w in ws if w not in words})
-        whole = [t for t, ws in zip(texts, apart) if ws is None]
-        packed = self._packed([cut(t) for t in [*new, *whole]])
-        words.update(zip(new, packed))
-        rest = iter(packed[len(new) :])
+        """A word that single spaces set off is encoded apart, once per slice; any other text as a whole."""
+        plain = self.codec.prefix and self.codec.spaced
+        apart = [w if plain and SPACE not in t and "" not in (w := t.split(" ")) else None for t in texts]
+        words = {w for ws in apart if ws for w in ws}
+        words |= {t for t, ws in zip(texts, apart) if ws is None}
+        packed = dict(zip(words, self._packed(list(words))))
         tail = struct.pack("<i", self.codec.end_id) if end else b""
-        out = [(next(rest) if ws is None else b"".join(map(words.__getitem__, ws))) + tail for ws in apart]
+        out = [(packed[t] if ws is None else b"".join(map(packed.__getitem__, ws))) + tail for t, ws in zip(texts, apart)]
         offsets = np.zeros(len(texts) + 1, "int32")
         np.cumsum([len(p) // 4 for p in out], out=offsets[1:])
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(out), "<i4")))
 
 
+def _decoded(codec: Codec, lists: pa.ListArray) -> pa.Array:
+    flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+    ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+    return pa.array([codec.decode(flat[a:b]) for a, b in zip([0, *ends], ends)], pa.string())
+
+
 def encode(docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str, ...] = ("doc_id",), end: bool = True) -> DataFrame:
     """The columns `keep`, and `ids`: the whole text's ids, with the end id if `end`.
 
@@ -328,22 +462,32 @@ def decode(encoded: DataFrame, model: bytes, ids: str = "ids", keep: tuple[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
         for batch in slices(batches):
-            lists = batch.column(batch.num_columns - 1)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
-            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
-            texts = [codec.decode(flat[a:b]) for a, b in zip([0, *ends], ends)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*keep, "text"])
+            texts = _decoded(codec, batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], [*keep, "text"])
 
     rows = encoded.select(*(F.col(f"`{k}`") for k in keep), F.col(f"`{ids}`").alias("_ids"))
     kept = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keep]
     return rows.mapInArrow(run, ", ".join([*kept, "text string"]))
 
 
+def round_trip(docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keep`, `ids` with the end id, and `text` decoded from them, in one Python pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(model)
+        for batch in slices(batches):
+            ids = encoder.slice(batch.column(batch.num_columns - 1).to_pylist(), True)
+            texts = _decoded(encoder.codec, ids)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, texts], [*keep, "ids", "text"])
+
+    rows = docs.select(*(F.col(f"`{k}`") for k in keep), text_of(text).alias("_text"))
+    kept = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keep]
+    return rows.mapInArrow(run, ", ".join([*kept, "ids array<int>", "text string"]))
+
+
 def digests(docs: DataFrame, model: bytes) -> DataFrame:
     """Per document: number of ids, digest of the ids, digest of the decoded text."""
-    encoded = encode(docs, model)
-    decoded = decode(encoded, model, keep=("doc_id", "ids"))
-    return decoded.select(
+    return round_trip(docs, model).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
