@@ -31,6 +31,11 @@ def unboxed(rows: DataFrame) -> DataFrame:
     return rows.select("row.*")
 
 
+def named_id(doc_id: Column) -> list[Column]:
+    """An id as two columns without nulls, so that joins and grouping on them share one shuffle."""
+    return [F.coalesce(doc_id.cast("long"), F.lit(0)).alias("id"), doc_id.isNull().alias("no_id")]
+
+
 def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus == remainder

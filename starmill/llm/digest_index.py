@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm.common import boxed, pick, text_of, unboxed
+from starmill.llm.common import boxed, named_id, pick, text_of, unboxed
 from starmill.session import materialise, scratch_path
 
 #: A digest with more than one in so many rows is joined by broadcast; there are fewer than so many of these.
@@ -108,13 +108,12 @@ def keep(docs: DataFrame, index: DigestIndex, batch: int = 0, doc_id: str = "doc
     What is dropped is far less than what stays in most corpora, but neither is bounded, so rows
     meet their decision in a shuffle by doc_id and digest; copies under other ids have other keys.
     """
-    stay = decide(docs, index, batch, doc_id, text).where("kept").select("doc_id", "digest").distinct()
-    rows = boxed(docs).select(
-        "row", F.col("row").getField(doc_id).alias("doc_id"), F.unhex(F.sha2(F.coalesce(F.col("row").getField(text).cast("string"), F.lit("")), 256)).alias("digest")
-    )
-    same = rows["doc_id"].eqNullSafe(stay["doc_id"]) & (rows["digest"] == stay["digest"])
-    kept = rows.join(stay, same, "left_semi")
-    return unboxed(kept.dropDuplicates(["doc_id", "digest"]))
+    named, keys = named_id(F.col("doc_id")), ["id", "no_id", "digest"]
+    stay = decide(docs, index, batch, doc_id, text).where("kept").select(*named, "digest").distinct()
+    row = F.col("row")
+    digest = F.unhex(F.sha2(F.coalesce(row.getField(text).cast("string"), F.lit("")), 256)).alias("digest")
+    rows = boxed(docs).select("row", *named_id(row.getField(doc_id)), digest)
+    return unboxed(rows.join(stay, keys, "left_semi").dropDuplicates(keys))
 
 
 def new_index(spark: SparkSession) -> DigestIndex:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import boxed, pick, slices, unboxed
+from starmill.llm.common import boxed, named_id, pick, slices, unboxed
 from starmill.llm.components import components
 from starmill.operators.skew import join_counted
 from starmill.session import materialise
@@ -181,14 +181,12 @@ def keep(docs: DataFrame, words: int = 3, radius: int = 3, doc_id: str = "doc_id
     """
     found = near_duplicates(docs, words, radius, doc_id, text)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))
-    stay = found.groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash")
-    rows = boxed(docs).select(
-        "row",
-        F.col("row").getField(doc_id).cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))).alias("text_hash"),
-    )
-    same = rows["doc_id"].eqNullSafe(stay["doc_id"]) & (rows["text_hash"] == stay["text_hash"])
-    return unboxed(rows.join(stay, same, "left_semi").dropDuplicates(["doc_id", "text_hash"]))
+    stay = found.groupBy("root").agg(F.min(order).alias("k"))
+    row, keys = F.col("row"), ["id", "no_id", "text_hash"]
+    stay = stay.select(*named_id(F.col("k.doc_id")), "k.text_hash").distinct()
+    text_hash = F.xxhash64(F.coalesce(row.getField(text).cast("string"), F.lit(""))).alias("text_hash")
+    rows = boxed(docs).select("row", *named_id(row.getField(doc_id)), text_hash)
+    return unboxed(rows.join(stay, keys, "left_semi").dropDuplicates(keys))
 
 
 def hex16(fp: str = "fp"):
