@@ -39,7 +39,7 @@ MOST_BLOCKS = 131_072
 #: A block has at least about so many documents, where the source has.
 DOCS_PER_BLOCK = 16
 #: Where the caller names no number of shards: words per shard, and the fewest and most shards.
-SHARD_WORDS, SHARDS = 1 << 24, (8, 16_384)
+SHARD_WORDS, SHARDS = 1 << 21, (8, 65_536)
 WORD = r"[^\x20\x09-\x0D]+"
 
 
