@@ -47,6 +47,8 @@ CHAIN = 256
 #: Chains of a labelled document that are learned from: with a toxic token, and without.
 TOXIC_CHAINS, OTHER_CHAINS = 8, 4
 FEATURE_BITS = 18
+#: Characters of a core that are hashed one by one; a longer core's checksum stands for the rest.
+SPELLED = 48
 #: Words whose weights a worker keeps; the table starts anew when it is full.
 TABLE_WORDS = 400_000
 EDGE = ".,;:!?\"'()[]{}<>*&%$#|-_=+/\\~`^"
@@ -77,22 +79,40 @@ def chains(text: str) -> tuple[list[str], list[int]]:
     return words, ends
 
 
-def _hash(kind: str, value: str) -> int:
-    return zlib.crc32(f"{kind}={value}".encode("utf-8", "surrogatepass")) & ((1 << FEATURE_BITS) - 1)
-
-
-def own_features(word: str) -> list[int]:
-    """Features of a token by itself: its core, the core's fronts and end, its form."""
-    c = core(word)
-    form = f"{word.isupper()}{word[:1].isupper()}{word.isalpha()}{min(len(c), 12)}"
-    fronts = (_hash("p", c[:k]) for k in FRONTS)
-    return [_hash("w", c), *fronts, _hash("s", c[-3:]), _hash("f", form), _hash("bias", "")]
-
-
-def context_features(word: str) -> tuple[int, int]:
-    """Features that a token gives its right and its left neighbour."""
-    c = core(word)
-    return _hash("-1", c), _hash("+1", c)
+def _bucket(key: np.ndarray, kind: int) -> np.ndarray:
+    mixed = (key ^ np.uint64(kind * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return (mixed >> np.uint64(64 - FEATURE_BITS)).astype("int64")
+
+
+def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Per word the buckets of its own features (core, the core's fronts and end, form, and one that
+    all words have), and of those that it gives its right and its left neighbour."""
+    cores = [core(w) for w in words]
+    length = np.fromiter(map(len, cores), "int64", len(cores))
+    flat = np.frombuffer("".join(cores).encode("utf-32-le", "surrogatepass"), "uint32").astype("uint64")
+    starts = np.cumsum(length) - length
+    flat = np.concatenate([flat, np.zeros(1, "uint64")])
+    key = np.full(len(cores), 0xCBF29CE484222325, "uint64")
+    fronts = []
+    seen = min(int(length.max(initial=0)), SPELLED)
+    for j in range(max(seen, max(FRONTS))):
+        more = j < length
+        char = flat[np.minimum(starts + j, len(flat) - 1)]
+        key = np.where(more, (key ^ char) * np.uint64(0x100000001B3), key)
+        if j + 1 in FRONTS:
+            fronts.append(key)
+    for n in np.flatnonzero(length > SPELLED).tolist():
+        key[n] ^= np.uint64(zlib.crc32(cores[n].encode("utf-8", "surrogatepass")))
+    end = np.zeros(len(cores), "uint64")
+    for back in (3, 2, 1):
+        has = length >= back
+        end = end * np.uint64(0x110000) + np.where(has, flat[np.where(has, starts + length - back, 0)], 0)
+    forms = [(w.isupper() * 4 + w[:1].isupper() * 2 + w.isalpha()) * 16 for w in words]
+    form = np.array(forms, "uint64") + np.minimum(length, 12).astype("uint64")
+    always = np.zeros(len(cores), "uint64")
+    own = [_bucket(key, 1), *(_bucket(f, 2) for f in fronts), _bucket(end, 3), _bucket(form, 4), _bucket(always, 5)]
+    return np.stack(own, 1), np.stack([_bucket(key, 6), _bucket(key, 7)], 1)
 
 
 def forward_backward(emission: np.ndarray, ends: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,21 +171,19 @@ class Field:
         need = len(self.index) + len(words)
         if need > len(self.parts):
             self.parts = np.concatenate([self.parts, np.zeros((max(need, 2 * len(self.parts)) - len(self.parts), 3))])
-        w = self.weights
-        for word in words:
-            right, left = context_features(word)
-            self.parts[len(self.index)] = w[own_features(word)].sum(), w[right], w[left]
-            self.index[word] = len(self.index)
+        new = list(words)
+        own, context = word_features(new)
+        self.parts[len(self.index) : need, 0] = self.weights[own].sum(1)
+        self.parts[len(self.index) : need, 1:] = self.weights[context]
+        self.index.update(zip(new, range(len(self.index), need)))
 
     def marginals(self, words: list[str], ends: np.ndarray) -> np.ndarray:
         """Probability of each token to be toxic; words of all chains, flattened."""
-        try:
-            code = np.fromiter(map(self.index.__getitem__, words), "int32", len(words))
-        except KeyError:
-            distinct = set(words)
-            new = distinct - self.index.keys()
+        distinct = set(words)
+        new = distinct - self.index.keys()
+        if new:
             self._learn(distinct if len(self.index) + len(new) > TABLE_WORDS else new)
-            code = np.fromiter(map(self.index.__getitem__, words), "int32", len(words))
+        code = np.fromiter(map(self.index.__getitem__, words), "int32", len(words))
         emission = self.parts[code, 0]
         inner = np.ones(len(words), bool)
         inner[np.r_[0, ends[:-1]]] = False  # first tokens have no left neighbour in their chain
@@ -294,8 +312,7 @@ def fit(labelled: list[tuple[list[str], list[bool]]], rounds: int = 60, ridge: f
     ends = np.cumsum([len(chain) for chain, _ in labelled])
     first = np.r_[0, ends[:-1]]
     names = {w: n for n, w in enumerate(dict.fromkeys(words))}
-    own = np.array([own_features(w) for w in names])
-    context = np.array([context_features(w) for w in names])
+    own, context = word_features(list(names))
     code = np.fromiter(map(names.__getitem__, words), "int64", len(words))
     inner = np.ones(len(words), bool)
     inner[first] = False
