@@ -59,6 +59,23 @@ def test_long_runs_take_linear_time(unit):
     pii.candidates(unit * 100_000 + "@")
 
 
+def test_texts_without_digits_have_all_their_candidates():
+    assert [c[:3] for c in pii.candidates("jane (at) example.com")] == [(0, 0, 21)]
+    rng = random.Random(5)
+    pieces = ["a", "jane", " (at) ", " (AT) ", "[at]", " at ", " At ", "(at)", "b.com", ".", " dot ", " DOT ", "(dot)", "(DOT)", "[dot]", "org", " ", "\n", "é"]
+    found = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14)))
+        want, last = [], 0
+        for a, k, b in sorted(pii.wide_spans(text), key=lambda s: (s[0], -s[2], s[1])):
+            if a >= last:
+                want.append((a, k, b, False))
+                last = b
+        assert pii.candidates(text) == want, text
+        found += len(want)
+    assert found > 1_000
+
+
 def test_em_finds_the_unreliable_labeler():
     draw = np.random.default_rng(1)
     right = (0.95, 0.9, 0.8, 0.5, 0.85)
