@@ -5,8 +5,10 @@ further candidates of the same kinds. Labelers vote on every candidate, base spa
 against or not at all: the strict pattern, a validity rule, a gazetteer, the words around, and the
 form. Expectation-maximisation on the counts of vote patterns over all documents estimates how
 reliable each labeler is for each kind, and with that how likely each pattern is personal data. A
-logistic span classifier on votes and form is fitted to these likelihoods; a candidate that it
-gives at least SURE, and that overlaps no base span, is added.
+labeler that does not vote says nothing, so a wide candidate is not held against base spans for the
+strict pattern that it lacks. A logistic span classifier on the other votes and the form is fitted
+to these likelihoods; a candidate that it gives at least SURE, and that overlaps no base span, is
+added.
 
 The text is read once, in time linear in its length whatever it holds; candidates are written, and
 counts of patterns (a fixed number at most) are all that reaches the driver. Null text counts as
@@ -42,6 +44,9 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 #: Wider patterns; each is bounded in length or anchored at a rare mark.
 WIDE_EMAIL = re.compile(r"(?i) ?(?:\(at\)|\[at\]| at ) ?[a-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]| dot |\.) ?[a-z]{2,24}){1,4}(?![a-z0-9])")
+#: Written-out marks inside a wide email.
+DOT = re.compile(r"(?i) ?(?:\(dot\)|\[dot\]| dot |\.) ?")
+MARKED = re.compile(r"(?i)\(at\)|\[at\]|\(dot\)|\[dot\]| dot ")
 WIDE_IP = re.compile(r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])")
 WIDE_CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9]){11,18}(?![0-9])")
 WIDE_PHONE = re.compile(r"(?<![0-9A-Za-z+])\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z])")
@@ -56,6 +61,8 @@ CONTEXT = {
     "card": "card visa credit pay payment mastercard tarjeta carte karte iban".split(),
     "phone": "tel phone call fax mobile cell telefon telefono whatsapp".split(),
 }
+#: A number without `+` that is written as a national one: trunk 0, or area code and exchange set off by more than spaces.
+NATIONAL = re.compile(r"\(?0[0-9]+\)?[ .-]?[0-9]+[ .-][0-9]+|(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[.-][0-9]{4}")
 AGAINST = "version order isbn serial part id ref number token hash doi".split()
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -137,13 +144,18 @@ def candidates(text: str) -> list[tuple[int, int, int, bool]]:
 
 
 def votes(text: str, start: int, place: int, end: int, base: bool) -> tuple[int, ...]:
-    """Votes of the labelers: strict pattern, validity, gazetteer, context, form."""
+    """Votes of the labelers: strict pattern, validity, gazetteer, context, form.
+
+    The strict pattern votes for base spans and does not vote on others. The gazetteer votes against
+    what it does not list, and the form against an email without any written mark and against bare
+    groups of digits as a phone: nothing else tells prose from these.
+    """
     kind, found = KINDS[place], text[start:end]
     digits = _digits(found)
     if kind == "email":
         sound = ".." not in found and not found.startswith(".")
-        listed = found.rpartition(".")[2].lower().strip() in TOP_LEVEL
-        form = "@" in found
+        listed = DOT.split(found)[-1].lower() in TOP_LEVEL
+        form = 1 if "@" in found or MARKED.search(found) else -1
     elif kind == "ip":
         sound = _octets(found)
         listed = not found.startswith(("0.", "255."))
@@ -154,12 +166,15 @@ def votes(text: str, start: int, place: int, end: int, base: bool) -> tuple[int,
         form = len(digits) in (15, 16) and len(set(found) - set("0123456789")) <= 1
     else:
         sound = 9 <= len(digits) <= 15
-        listed = found.startswith("+") and digits.startswith(CALLING)
+        national = NATIONAL.fullmatch(found)
+        listed = digits.startswith(CALLING) if found.startswith("+") else national
         form = found.count("(") == found.count(")") and "555-" not in found
+        if not found.startswith("+") and not national and not set(found) & set("()-"):
+            form = -1
     before = set(WORDS.findall(text[max(0, start - AROUND) : start].lower()))
     near = 1 if before & set(CONTEXT[kind]) else -1 if before & set(AGAINST) else 0
     whole = not text[start - 1 : start].isalnum() and not text[end : end + 1].isalnum()
-    return (1 if base else 0, 1 if sound else -1, 1 if listed else 0, near, (1 if form else 0) if whole else -1)
+    return (1 if base else 0, 1 if sound else -1, 1 if listed else -1, near, int(form) if whole else -1)
 
 
 def form(text: str, start: int, end: int) -> int:
@@ -174,20 +189,22 @@ LABELERS, FORMS = 5, 32
 def reliabilities(counts: dict[tuple[int, ...], int], steps: int = 50) -> dict[tuple[int, ...], float]:
     """Likelihood of each vote pattern (kind, votes) by expectation-maximisation, per kind.
 
-    Labelers are taken as independent given the truth. It starts from the majority of the votes.
+    Labelers are taken as independent given the truth, and one that does not vote as saying nothing.
+    It starts from the majority of the votes cast.
     """
     out: dict[tuple[int, ...], float] = {}
     for kind in sorted({p[0] for p in counts}):
         patterns = sorted(p for p in counts if p[0] == kind)
         seen = np.array([p[1:] for p in patterns]) + 1
         weight = np.array([counts[p] for p in patterns], "float64")
-        chosen = np.eye(3)[seen]  # pattern, labeler, vote
-        likely = np.clip((seen - 1).sum(1) / (2 * LABELERS) + 0.5, 0.05, 0.95)
+        chosen = np.eye(3)[seen][:, :, [0, 2]]  # pattern, labeler, vote cast
+        cast = np.maximum(chosen.sum((1, 2)), 1)
+        likely = np.clip((seen - 1).sum(1) / (2 * cast) + 0.5, 0.05, 0.95)
         for _ in range(steps):
             on, off = weight * likely, weight * (1 - likely)
             share = np.clip(on.sum() / weight.sum(), 0.01, 0.99)
-            given = [(np.einsum("p,plv->lv", w, chosen) + 0.5) / (w.sum() + 1.5) for w in (on, off)]
-            logs = [np.log(g) for g in given]
+            given = [np.einsum("p,plv->lv", w, chosen) + 0.5 for w in (on, off)]
+            logs = [np.log(g / g.sum(1, keepdims=True)) for g in given]
             score = np.einsum("plv,lv->p", chosen, logs[0] - logs[1]) + np.log(share / (1 - share))
             likely = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
         out.update(zip(patterns, likely.tolist()))
@@ -195,9 +212,10 @@ def reliabilities(counts: dict[tuple[int, ...], int], steps: int = 50) -> dict[t
 
 
 def features(kind: int, cast: tuple[int, ...], shape: int) -> list[int]:
-    """Places of the classifier's features that hold for a candidate."""
+    """Places of the classifier's features that hold for a candidate: its kind, the votes cast but for the strict pattern's, its form."""
     per_kind = 1 + 3 * LABELERS + FORMS
-    return [kind * per_kind, *(kind * per_kind + 1 + 3 * n + v + 1 for n, v in enumerate(cast)), kind * per_kind + 1 + 3 * LABELERS + shape]
+    voted = (kind * per_kind + 1 + 3 * n + v + 1 for n, v in enumerate(cast) if n and v)
+    return [kind * per_kind, *voted, kind * per_kind + 1 + 3 * LABELERS + shape]
 
 
 WIDTH = len(KINDS) * (1 + 3 * LABELERS + FORMS)

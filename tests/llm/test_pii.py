@@ -103,6 +103,27 @@ def test_candidates_are_added_beside_the_base(spark):
     assert [(k, text[int(a) : int(b)]) for k, a, b in found] in ([], [("email", "jane5 (at) host5 (dot) com")])
 
 
+def test_planted_spans_beside_prose_are_added(spark):
+    prose = ["stay at home. The rest", "look at rivers. It was late", "met at noon. Then we left", "was at sea. He sang", "and 300 400 5000 of them"]
+    mails = ["jane{} (at) host{} (dot) com", "jane{}[at]host{}.org", "jane{} at host{} dot net", "JANE{} (AT) HOST{} (DOT) COM"]
+    rows = [f"write to user{i}@mail.example.com or call +1 (212) 535-01{i:02d} today" for i in range(60)]
+    rows += [f"so we {prose[i % 5]}" for i in range(500)]
+    rows += ["please email " + mails[i % 4].format(i, i) for i in range(20)]
+    rows += [f"tel. (0{i}1) 5350 1{i:02d}7 today" for i in range(10, 20)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    shown = {i: [rows[i][int(a) : int(b)] for _, a, b in (s.split(":") for s in t.split(",") if s)] for i, t in got.items()}
+    assert not any(shown[i] for i in range(60, 560))
+    assert [shown[560 + i] for i in range(20)] == [[mails[i % 4].format(i, i)] for i in range(20)]
+    assert [shown[580 + i] for i in range(10)] == [[f"(0{i}1) 5350 1{i:02d}7"] for i in range(10, 20)]
+
+
+def test_a_lone_planted_span_is_added():
+    base, lone, prose = (0, 1, 1, 1, 0, 1), (0, 0, 1, 1, 0, 1), (0, 0, 1, -1, 0, -1)
+    likely = pii.reliabilities({base: 60, lone: 1, prose: 500})
+    assert likely[base] > 0.9 and likely[lone] > 0.9 and likely[prose] < 0.1
+
+
 def test_odd_rows_and_no_rows(odd_documents, no_documents):
     rows = pii.find(odd_documents).collect()
     assert len(rows) == odd_documents.count() and {r.spans for r in rows} == {""}
