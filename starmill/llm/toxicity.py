@@ -1,9 +1,10 @@
 """Toxic spans by a linear-chain conditional random field.
 
 Only documents are labelled, so tokens are labelled first: the words and word fronts that tell
-toxic documents from others are chosen greedily, each time the one that explains most toxic
-documents still without one, so words that merely accompany them are not chosen. In toxic documents
-the words so marked are the toxic tokens. A chain is a line's sentence, at most CHAIN tokens of it at a time; its states are
+toxic documents from others, share against share, are chosen greedily, each time the one that explains
+most toxic documents still without one beyond what chance would give, so words that merely accompany
+them are not chosen. In toxic documents the words so marked are the toxic tokens; a toxic document
+without any teaches the field nothing. A chain is a line's sentence, at most CHAIN tokens of it at a time; its states are
 toxic or not. The field has weights for hashed features of a token, of its neighbours, and for the
 transitions, and is fitted by gradient steps on the likelihood of the labelled chains.
 
@@ -38,7 +39,7 @@ from starmill.session import materialise
 CUT = 0.3
 TRAIN_ROWS = 20_000
 #: Words and fronts that may mark a document, at most, by the number of toxic documents they occur in,
-#: and how many times rarer they must be in other documents.
+#: and how many times rarer they must be in other documents, share against share.
 CANDIDATES, RARER = 4_000, 8
 #: Lengths of fronts that a word is seen by.
 FRONTS = range(3, 9)
@@ -237,15 +238,19 @@ def spans(text: str, toxic: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def markers(toxic_docs: dict[int, set[str]]) -> list[str]:
-    """Marks that explain the documents, most explaining first, until none explains two more."""
+def markers(toxic_docs: dict[int, set[str]], cost: dict[str, float] | None = None) -> list[str]:
+    """Marks that explain the documents, most explaining first, until none explains two more.
+
+    From the documents that a mark explains, its cost is taken; a mark must explain more than it costs.
+    """
     left, out = dict(toxic_docs), []
     while left:
         counts = Counter(w for words in left.values() for w in words)
-        if not counts:
+        gains = {w: n - (cost or {}).get(w, 0) for w, n in counts.items() if n > 1}
+        if not gains:
             break
-        word, many = min(counts.items(), key=lambda x: (-x[1], x[0]))
-        if many < 2:
+        word, gain = min(gains.items(), key=lambda x: (-x[1], x[0]))
+        if gain <= 0:
             break
         out.append(word)
         left = {d: words for d, words in left.items() if word not in words}
@@ -266,12 +271,15 @@ def _cover(rows: DataFrame) -> list[str]:
                 yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(many, pa.int64()), pa.array([toxic] * len(words))], ["word", "n", "toxic"])
 
     counts = rows.mapInArrow(count, "word string, n long, toxic boolean")
+    sizes = {r["toxic"]: r["count"] for r in rows.groupBy((F.col("label") > 0).alias("toxic")).count().collect()}
     both = counts.groupBy("word").agg(
         F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0)).alias("toxic"),
         F.sum(F.when(F.col("toxic"), 0).otherwise(F.col("n"))).alias("other"),
     )
-    telling = both.where((F.col("toxic") >= 2) & (F.col("other") * RARER <= F.col("toxic")))
-    words = {r["word"] for r in telling.orderBy(F.desc("toxic"), "word").limit(CANDIDATES).collect()}
+    # toxic documents that would hold it if it were as frequent in them as in others
+    cost = (F.col("other") + 1) * (sizes[True] / (sizes[False] + 1))
+    telling = both.select("word", "toxic", cost.alias("cost")).where((F.col("toxic") >= 2) & (F.col("cost") * RARER <= F.col("toxic")))
+    words = {r["word"]: r["cost"] for r in telling.orderBy(F.desc("toxic"), "word").limit(CANDIDATES).collect()}
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -282,11 +290,14 @@ def _cover(rows: DataFrame) -> list[str]:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(have, pa.list_(pa.string()))], ["doc_id", "words"])
 
     toxic = rows.where("label > 0").mapInArrow(found, "doc_id long, words array<string>")
-    return markers({n: set(r["words"]) for n, r in enumerate(toxic.orderBy("doc_id", "words").collect())})
+    return markers({n: set(r["words"]) for n, r in enumerate(toxic.orderBy("doc_id", "words").collect())}, words)
 
 
 def _labelled_chains(rows: DataFrame, marks: set[str]) -> list[tuple[list[str], list[bool]]]:
-    """Chains of the sample with a label per token; a bounded number per document, chosen by hash."""
+    """Chains of the sample with a label per token; a bounded number per document, chosen by hash.
+
+    A toxic document without any mark gives none: which of its tokens are toxic is not known.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -295,6 +306,8 @@ def _labelled_chains(rows: DataFrame, marks: set[str]) -> list[tuple[list[str],
                 words, ends = chains(text)
                 cut = [words[a:b] for a, b in zip([0, *ends], ends)]
                 tagged = [(c, [label > 0 and not marks.isdisjoint(marks_of(core(w))) for w in c]) for c in cut]
+                if label > 0 and not any(any(tags) for _, tags in tagged):
+                    continue
                 tagged.sort(key=lambda x: (zlib.crc32(" ".join(x[0]).encode("utf-8", "surrogatepass")), x[0]))
                 out += [x for x in tagged if any(x[1])][:TOXIC_CHAINS] + [x for x in tagged if not any(x[1])][:OTHER_CHAINS]
             yield pa.RecordBatch.from_arrays(

@@ -30,6 +30,20 @@ def test_markers_are_the_words_that_explain():
     assert toxicity.markers(docs) == ["bad", "vile"]
 
 
+def test_markers_pay_for_their_other_documents():
+    docs = {n: {"los+", "loser"} for n in range(10)} | {10: {"los+"}, 11: {"the"}, 12: {"the"}}
+    assert toxicity.markers(docs, {"los+": 3, "loser": 0.5, "the": 2}) == ["loser"]
+
+
+def test_marks_are_told_by_shares_and_unmarked_documents_teach_nothing(spark):
+    texts = [("a vile word" if i < 20 else "a kind and odd word", 1) for i in range(24)]
+    texts += [("a vile word" if i < 5 else "a kind and odd word", 0) for i in range(1_000)]
+    rows = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "doc_id long, text string, label int")
+    assert toxicity._cover(rows) == ["vil+"]
+    got = toxicity._labelled_chains(rows, {"vil+"})
+    assert sum(any(tags) for _, tags in got) == 20 and len(got) == 1_020
+
+
 def test_chains_hold_every_word_once():
     words, ends = toxicity.chains("One two. Three!\nfour five\n\n " + "x " * 600 + "end")
     assert words[:5] == ["One", "two.", "Three!", "four", "five"]
