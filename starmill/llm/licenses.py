@@ -2,15 +2,17 @@
 
 A paragraph is a line; its tokens are runs of letters and digits in lower case, digits read as 0.
 Longer paragraphs are seen through overlapping windows of two blocks of BLOCK tokens. A logistic
-regression over hashed word n-grams (one to three words) gives each window a family or `unknown`.
+regression over hashed word n-grams (one to three words) gives each window shares of the families and `unknown`.
 It is trained on the templates, varied by dropping, cutting and surrounding words, against windows
 of a bounded sample of the corpus (at most `sample_rows` documents with the smallest hash of the
-id) and shuffled templates, both as `unknown`. A temperature and the least probability of a known
-family (0.5 to 0.7) are set on a held-out part, so that about one in a hundred unknown windows passes
-at most.
+id) and shuffled templates, both as `unknown`. A temperature, the least probability of one known family
+(0.5 to 0.7) and that of all together (0.5 to 0.9) are set on a held-out part, so that about one in a hundred
+unknown windows reaches each at most; a window passes that reaches either.
 
-A window that passes is compared with its family's templates: it is confirmed if they share at
-least SIMILAR of the smaller set of five-word shingles (of all words, where there are fewer).
+A window that passes is compared with the templates of all families, as it may name several: one is
+confirmed if they share at least SIMILAR of the smaller set of five-word shingles (of all words, where
+there are fewer), and not merely what a likelier confirmed family shares. In 'licensed under A or B'
+the opening counts for B as well.
 
 Training is repeatable. Scoring covers every line of every document. Null text counts as empty; a
 text without tokens has no windows and no licence. Repeated rows give repeated rows, an empty table
@@ -161,12 +163,44 @@ def similarity(words: list[str], family: str) -> float:
     return max((len(own & t) / min(len(own), len(t)) for t in TEMPLATE_SHINGLES[family]), default=0.0) if own else 0.0
 
 
+def repeated(words: list[str]) -> set[tuple[str, ...]]:
+    """Shingles of 'licensed under A', 'licensed under B' in a window that says 'licensed under A or B'."""
+    at = next((i for i, w in enumerate(words[1:], 1) if w == "under" and words[i - 1] in ("licensed", "released")), None)
+    parts: list[list[str]] = [[]]
+    for w in words[at + 1 :] if at else ():
+        if w in ("or", "and"):
+            parts.append([])
+        elif parts[-1] or w not in ("either", "both", "the"):
+            parts[-1].append(w)
+    out: set[tuple[str, ...]] = set()
+    for part in parts if len(parts) > 1 else ():
+        named = part if "license" in part else [*part, "license"]
+        out |= shingles(words[at - 1 : at + 1] + named) | shingles([*words[at - 1 : at + 1], "the", *named])
+    return out
+
+
+def confirmed(words: list[str], families: list[str]) -> list[tuple[str, float]]:
+    """Those of the families, likeliest first, that a window confirms, with their similarity."""
+    own = shingles(words)
+    more = own | repeated(words)
+    out: list[tuple[str, float]] = []
+    seen: set[tuple[str, ...]] = set()
+    for family in families:
+        shared = {max(len(own & t) / min(len(own), len(t)), len(more & t) / min(len(more), len(t))): more & t for t in TEMPLATE_SHINGLES[family]} if own else {}
+        like = max(shared, default=0.0)
+        if like >= SIMILAR and not shared[like] <= seen:
+            out.append((family, like))
+            seen |= shared[like]
+    return out
+
+
 @dataclass
 class Classifier:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
     least: float = 0.5
+    together: float = 0.5
     codes: dict[str, int] = field(default_factory=lambda: {"\n": 0})
 
     def __getstate__(self) -> dict:
@@ -194,7 +228,10 @@ class Classifier:
         return total / self.temperature, first, last, block
 
     def matches(self, texts: list[str]) -> list[list[dict]]:
-        """Per text its windows that pass: `family`, `probability`, `similarity`, `confirmed`, `paragraph`."""
+        """Per text its windows that pass: `family`, `probability`, `similarity`, `confirmed`, `paragraph`.
+
+        A window has an entry for each family it confirms, or one, not confirmed, for the likeliest.
+        """
         words: list[str] = []
         ends = []
         for text in texts:
@@ -208,8 +245,7 @@ class Classifier:
             return out
         shares = np.exp(scores - scores.max(1, keepdims=True))
         shares /= shares.sum(1, keepdims=True)
-        best = shares.argmax(1)
-        passed = np.flatnonzero((best > 0) & (shares[np.arange(len(best)), best] >= self.least))
+        passed = np.flatnonzero((shares[:, 1:].max(1) >= self.least) | (1 - shares[:, 0] >= self.together))
         stop = codes == 0
         starts = np.zeros(int(block[-1]) + 2, "int64")
         place = np.flatnonzero(~stop)
@@ -219,12 +255,12 @@ class Classifier:
             own = words[a : a + 2 * BLOCK]
             own = own[: own.index("\n")] if "\n" in own else own
             text = int(np.searchsorted(ends, a, side="right"))
-            family = FAMILIES[best[w]]
-            like = similarity(own, family)
+            likely = [FAMILIES[k] for k in np.argsort(-shares[w, 1:], kind="stable") + 1]
+            sure = confirmed(own, likely)
             line = int(stop[(ends[text - 1] if text else 0) : a].sum())
-            out[text].append(
-                {"family": family, "probability": float(shares[w, best[w]]), "similarity": like, "confirmed": like >= SIMILAR, "paragraph": line}
-            )
+            for family, like in sure or [(likely[0], similarity(own, likely[0]))]:
+                share = float(shares[w, FAMILIES.index(family)])
+                out[text].append({"family": family, "probability": share, "similarity": like, "confirmed": bool(sure), "paragraph": line})
         return out
 
 
@@ -288,10 +324,11 @@ def train(negative: list[list[str]], copies: int = 30, rounds: int = 60, seed: i
     raw = scores()[held]
     heat = min(np.geomspace(0.5, 2, 17), key=lambda t: -np.log(share(raw / t)[np.arange(held.sum()), truth[held]] + 1e-12).mean())
     shown = share(raw / heat)
-    unknown = np.r_[0.0, shown[corpus[held]][:, 1:].max(1)]
+    unknown = shown[corpus[held]]
+    one, all_ = np.r_[0.0, unknown[:, 1:].max(1)], np.r_[0.0, 1 - unknown[:, 0]]
     full = np.zeros((1 << BUCKET_BITS, kinds), "float32")
     full[known] = weights
-    return Classifier(full, bias, float(heat), float(np.clip(np.quantile(unknown, 0.99), 0.5, 0.7)))
+    return Classifier(full, bias, float(heat), float(np.clip(np.quantile(one, 0.99), 0.5, 0.7)), float(np.clip(np.quantile(all_, 0.99), 0.5, 0.9)))
 
 
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, doc_id: str = "doc_id", text: str = "text") -> Classifier:

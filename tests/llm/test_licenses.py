@@ -53,6 +53,25 @@ def test_planted_notices_and_look_alikes(spark, documents):
     assert [sorted({m["family"] for m in ms if m["confirmed"]}) for ms in got] == [[f] if f else [] for f in texts]
 
 
+def test_windows_that_name_several_licences(spark, documents):
+    classifier = licenses.learn(documents)
+    texts = {
+        "Licensed under the MIT License or the Apache License, Version 2.0": ["apache", "mit"],
+        "Licensed under either the Apache License, Version 2.0 or the MIT License": ["apache", "mit"],
+        "Licensed under the MIT or BSD 3-Clause License": ["bsd", "mit"],
+        "Released under the MIT License. Licensed under the BSD 3-Clause License": ["bsd", "mit"],
+        "Licensed under the GNU General Public License. Licensed under CC BY 4.0": ["cc-by", "gpl"],
+        "Licensed under the Mozilla Public License 2.0; this library is free software; you can redistribute it and/or modify it "
+        "under the terms of the GNU Lesser General Public License": ["lgpl", "mpl"],
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": ["cc-by-sa"],
+        "Licensed under CC BY-NC 4.0": ["cc-by-nc"],
+    }
+    got = classifier.matches(list(texts))
+    assert [sorted(m["family"] for m in ms if m["confirmed"]) for ms in got] == list(texts.values())
+    only = {t: f for f, ts in licenses.TEMPLATES.items() for t in ts}
+    assert {t: [f for f, _ in licenses.confirmed(licenses.tokens(t), [f, *(set(licenses.TEMPLATES) - {f})])] for t, f in only.items()} == {t: [f] for t, f in only.items()}
+
+
 def test_odd_rows_and_no_rows(odd_documents, no_documents):
     classifier = licenses.learn(odd_documents)
     rows = licenses.scan(odd_documents, classifier).collect()
