@@ -7,8 +7,9 @@ copies is a few rows by then), held against the index by a sort-merge anti-join
 batch alone, and what is new is appended. The text itself is never shuffled.
 
 Of equal texts in a batch the row with the largest doc_id stays; a null doc_id is smaller than any
-other. Texts the index knows from an earlier batch are dropped from later ones. Null text counts
-as empty. Of rows that repeat both doc_id and text one stays in `keep`, and all carry the same
+other. Texts the index knows from an earlier batch are dropped from later ones. A batch takes the
+number after the largest stored one unless it is given another; one that is stored is refused. Null
+text counts as empty. Of rows that repeat both doc_id and text one stays in `keep`, and all carry the same
 values in `decide`. An empty batch changes nothing. Columns of the input cannot clash: rows
 travel in one struct.
 """
@@ -54,17 +55,28 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)
 
-    def add(self, groups: DataFrame, batch: int = 0) -> None:
-        """Append the groups of a batch (`digest`, `keep_id`, `group_size`) whose digest is new.
+    def number(self, batch: int | None = None) -> int:
+        """The number of a new batch: the one given, unless it is stored, or the next."""
+        if batch is None:
+            last = self.entries().agg(F.max("batch")).first()[0]
+            return 0 if last is None else last + 1
+        if not self.entries().where(F.col("batch") == batch).isEmpty():
+            raise ValueError(f"batch {batch} is in the index already")
+        return batch
+
+    def add(self, groups: DataFrame, batch: int | None = None) -> int:
+        """Append the groups of a batch (`digest`, `keep_id`, `group_size`) whose digest is new; its number.
 
         The batch is dealt out as the index is, so the anti-join moves neither side again and each
         task appends to one bucket.
         """
+        batch = self.number(batch)
         new = groups.repartition(self.buckets, "digest").join(self.entries().hint("merge"), "digest", "left_anti")
         rows = new.select("digest", "keep_id", "group_size", F.lit(batch).cast("long").alias("batch"))
         rows.write.format("parquet").option("path", self.path).bucketBy(self.buckets, "digest").sortBy("digest").mode(
             "append"
         ).saveAsTable(self.table)
+        return batch
 
 
 def groups_of(digests: DataFrame) -> DataFrame:
@@ -87,7 +99,7 @@ def _with_entry(digests: DataFrame, groups: DataFrame, entries: DataFrame, total
     return mine.unionByName(rest)
 
 
-def decide(docs: DataFrame, index: DigestIndex, batch: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def decide(docs: DataFrame, index: DigestIndex, batch: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: `doc_id`, `digest`, `keep_id`, `group_size`, `kept`; the index grows.
 
     The texts are read once, for their digests; those are written, and all else reads them.
@@ -95,14 +107,14 @@ def decide(docs: DataFrame, index: DigestIndex, batch: int = 0, doc_id: str = "d
     rows = pick(docs, doc_id, text).select("doc_id", digest_of().alias("digest"))
     digests = materialise(rows, "digests")
     groups = materialise(groups_of(digests), "digest-groups")
-    index.add(groups, batch)
+    batch = index.add(groups, batch)
     total = digests.count()
     found = _with_entry(digests, groups, index.entries().withColumnRenamed("batch", "seen"), total)
     mine = F.col("seen") == F.lit(batch).cast("long")
     return found.select("doc_id", "digest", "keep_id", "group_size", (mine & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"))
 
 
-def keep(docs: DataFrame, index: DigestIndex, batch: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep(docs: DataFrame, index: DigestIndex, batch: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns.
 
     What is dropped is far less than what stays in most corpora, but neither is bounded, so rows

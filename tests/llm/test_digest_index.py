@@ -3,6 +3,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from starmill.llm import digest_index, queries
@@ -53,6 +54,17 @@ def test_later_batches_meet_what_earlier_ones_left(spark):
     assert digest_index.keep(first, again, 2).count() == 0 and again.entries().count() == 4
 
 
+def test_batches_without_a_number_are_different_ones(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+    more = spark.createDataFrame([(1, "a"), (3, "c")], "doc_id long, text string")
+    index = digest_index.new_index(spark)
+    assert [sorted(r.doc_id for r in digest_index.keep(d, index).collect()) for d in (docs, docs, more)] == [[1, 2], [], [3]]
+    assert sorted(r.batch for r in index.entries().collect()) == [0, 0, 1]
+    with pytest.raises(ValueError):
+        digest_index.decide(more, index, 1)
+    assert index.entries().count() == 3
+
+
 def test_the_index_is_not_moved_for_the_anti_join(spark):
     index = digest_index.DigestIndex(spark, scratch_path(spark, "index"), buckets=4)
     groups = spark.range(10).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
