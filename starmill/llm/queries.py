@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import digest_index, fingerprints, language, licenses, mixing, pieces, pii, quality, simhash, toxicity
+from starmill.llm import alignment, digest_index, fingerprints, language, licenses, mixing, pieces, pii, quality, simhash, toxicity
 from starmill.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,15 +28,19 @@ def _predicted(scored: DataFrame, modulus: int, remainder: int, cut: float, *mor
     return scored.select("doc_id", out, "score", (F.col("score") >= cut).cast("int").alias("predicted"), *more)
 
 
-def piece_model(path: str | None = None) -> bytes:
-    """Content of a model file; by default that of the installed public tokenizers."""
+def model_file(name: str, path: str | None = None) -> bytes:
+    """Content of a model file; by default that of this name among the installed public tokenizers."""
     if path is None:
         import public_tokenizers
 
-        path = public_tokenizers.path("piece_bpe_32k.model")
+        path = public_tokenizers.path(name)
     return Path(path).read_bytes()
 
 
+def piece_model(path: str | None = None) -> bytes:
+    return model_file("piece_bpe_32k.model", path)
+
+
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(documents(spark, sf_dir), piece_model())
 
@@ -107,6 +111,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.scored(documents(spark, sf_dir), model_file("byte_bpe_50k.json"), piece_model())
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_fingerprints": op2_fingerprints,
@@ -118,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
+    "op11_alignment": op11_alignment,
 }
 
 ORACLE: dict[str, str] = {
