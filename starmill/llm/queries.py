@@ -8,7 +8,20 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import alignment, digest_index, fingerprints, language, licenses, mixing, pieces, pii, quality, simhash, toxicity
+from starmill.llm import (
+    alignment,
+    digest_index,
+    fingerprints,
+    language,
+    licenses,
+    mixing,
+    pieces,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+)
 from starmill.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +128,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.scored(documents(spark, sf_dir), model_file("byte_bpe_50k.json"), piece_model())
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards of near equal bytes; by this law one more shard would move every cut."""
+    rows = sharding.shard(documents(spark, sf_dir), 24)
+    crc = F.crc32(F.coalesce(F.col("row.text"), F.lit(""))).alias("text_crc32")
+    law = F.lit("bytes").alias("law")
+    return rows.select("row.doc_id", "size", crc, law, "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_fingerprints": op2_fingerprints,
@@ -127,6 +148,7 @@ QUERIES: dict[str, Query] = {
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
     "op11_alignment": op11_alignment,
+    "op12_sharding": op12_sharding,
 }
 
 ORACLE: dict[str, str] = {
