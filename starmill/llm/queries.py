@@ -21,6 +21,7 @@ from starmill.llm import (
     sharding,
     simhash,
     toxicity,
+    whitening,
 )
 from starmill.llm.common import held_out
 
@@ -136,6 +137,15 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", "size", crc, law, "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per vector and component. A deviation beyond 64 bits, as of some ten million vectors, is null."""
+    found = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "of")
+    long = found.select("vec_id", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"), "identity_error", each)
+    component = (F.col("place") + 1).alias("component")
+    return long.select("vec_id", component, "n", "deviation", "of.whitened", "of.explained", "identity_error")
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_fingerprints": op2_fingerprints,
@@ -149,6 +159,7 @@ QUERIES: dict[str, Query] = {
     "op10_language": op10_language,
     "op11_alignment": op11_alignment,
     "op12_sharding": op12_sharding,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
