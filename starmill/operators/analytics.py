@@ -123,53 +123,142 @@ def top_n(df: DataFrame, measure: str, n: int, tie_break: Sequence[str]) -> Data
 def percentiles(
     df: DataFrame, by: Sequence[str], measure: str, outputs: Mapping[str, float], largest: str | None = None
 ) -> DataFrame:
-    """Exact PERCENTILE_CONT (linear interpolation, NULLs ignored) of a whole-number or decimal
-    measure, and its maximum where `largest` names a column for it. A group of NULLs alone gets NULLs.
+    """Exact PERCENTILE_CONT (linear interpolation, NULLs ignored) of any numeric measure, and its
+    maximum where `largest` names a column for it. A group of NULLs alone gets NULLs.
 
     Values are narrowed by histograms: row counts per bucket tell which bucket holds each wanted
     rank, and the next pass splits only those buckets. A task holds at most BUCKETS counts of a
-    group, however many rows the group has. The number of passes follows from the measure's type:
-    one per 16 bits. A group's result depends on its own values only.
+    group, however many rows the group has. A value is one or two 64-bit words whose order is the
+    value's, see `with_words`; a pass narrows by 16 bits, and leading bits that the least and the
+    largest value of the column share cost no pass. How many passes there are changes no result.
+    Floating values: -0.0 is 0.0, NaN is larger than any other value.
     """
     kind = df.schema[measure].dataType
-    bits, scale = _whole_bits(kind, measure)
-    value = F.col(measure)
-    if scale:
-        value = (value * F.lit(Decimal(10) ** scale)).cast("decimal(38,0)")
-    rows = df.select(*by, (value.cast("bigint") if bits == 64 else value).alias("_value"))
-
+    rows, words = with_words(df, by, measure)
     shares = [*outputs.values(), *([1.0] if largest else [])]
-    shift = (bits - 1) // _BUCKET_BITS * _BUCKET_BITS
-    found = _first_buckets(rows, by, shares, shift)
-    while shift:
-        shift -= _BUCKET_BITS
-        found = _next_buckets(rows, materialise(found, "buckets"), by, shift)
+    shift = _first_shift(rows, words[0])
+    if shift or len(words) > 1:
+        rows = materialise(rows, "measures")
+    found = _first_buckets(rows.withColumn("_value", F.col(words[0])), by, shares, shift)
+    known = list(by)
+    for place, word in enumerate(words):
+        values = rows.withColumn("_value", F.col(word))
+        if place:
+            known.append(words[place - 1])
+            found, shift = found.withColumnRenamed("_bucket", known[-1]).withColumn("_bucket", F.lit(0).cast("bigint")), 64
+        while shift:
+            shift -= _BUCKET_BITS
+            found = _next_buckets(values, materialise(found, "buckets"), known, shift)
+
+    found = found.withColumn("_at", of_words([*(F.col(w) for w in words[:-1]), F.col("_bucket")], kind))
 
     def at(i: int, side: str) -> Column:
-        return F.max(F.when((F.col("w.i") == i) & (F.col("w.side") == side), F.col("_bucket")))
+        return F.max(F.when((F.col("w.i") == i) & (F.col("w.side") == side), F.col("_at")))
 
-    unit = F.lit(float(10**scale))
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
     picked = []
     for i, out in enumerate(outputs):
         below, above = at(i, "low").cast("double"), at(i, "high").cast("double")
         weight = F.max(F.when(F.col("w.i") == i, F.col("w.weight")))
-        between = below + weight * (above - below)
-        picked.append((between / unit if scale else between).alias(out))
+        # no difference is taken where none is needed: that of two infinities is no number
+        between = F.when((weight == 0) | (below == above), below).otherwise(below + weight * (above - below))
+        picked.append((between / F.lit(float(10**scale)) if scale else between).alias(out))
     if largest:
         top = at(len(outputs), "high")
-        exact = top.cast("decimal(38,0)") / F.lit(Decimal(10) ** scale) if scale else top
-        picked.append(exact.cast(kind).alias(largest))
+        picked.append((_pointed(top, scale) if scale else top).cast(kind).alias(largest))
     return found.groupBy(*by).agg(*picked)
 
 
-def _whole_bits(kind: T.DataType, measure: str) -> tuple[int, int]:
-    """Bits that hold every value of the type as a whole number, and the digits behind its point."""
-    sizes = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
-    if type(kind) in sizes:
-        return sizes[type(kind)], 0
-    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
-        return 64, kind.scale
-    raise TypeError(f"percentiles needs a whole-number measure or a decimal of up to 18 digits, {measure} is {kind.simpleString()}")
+_DOUBLE_INFINITY, _DOUBLE_NAN = 0x7FF << 52, 0xFFF << 51
+_TWO_64 = Decimal(1 << 64)
+
+
+def with_words(df: DataFrame, by: Sequence[str], measure: str) -> tuple[DataFrame, list[str]]:
+    """`by` and the measure as columns of 64-bit words in the value's order, and their names.
+
+    Whole numbers and decimals of up to 18 digits (without their point) are one word; wider decimals
+    are two, the second shifted so that its order is that of signed numbers. A floating value is its
+    exponent and fraction side by side, as stored, negated if the value is negative.
+    """
+    kind, value = df.schema[measure].dataType, F.col(f"`{measure}`")
+    keys = [F.col(f"`{c}`") for c in by]
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return df.select(*keys, value.cast("bigint").alias("_word0")), ["_word0"]
+    if isinstance(kind, T.DecimalType):
+        if kind.precision <= 18:
+            return df.select(*keys, (value * F.lit(Decimal(10) ** kind.scale)).cast("bigint").alias("_word0")), ["_word0"]
+        # a product with a power of ten would need more than 38 digits
+        digits = F.regexp_replace(F.format_number(value, kind.scale), "[,.]", "")
+        whole = df.select(*keys, digits.cast("decimal(38,0)").alias("_whole"))
+        parts = whole.withColumn("_rest", F.expr(f"CAST(_whole % {1 << 64}BD AS DECIMAL(38,0))"))
+        below = F.when(F.col("_rest") < 0, 1).otherwise(0)
+        high = F.expr(f"_whole div {1 << 64}BD") - below
+        low = (F.col("_rest") + below * F.lit(_TWO_64) - F.lit(Decimal(1 << 63))).cast("bigint")
+        return parts.select(*keys, high.alias("_word0"), low.alias("_word1")), ["_word0", "_word1"]
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return _float_words(df.select(*keys, value.cast("double").alias("_x"))).select(*keys, "_word0"), ["_word0"]
+    raise TypeError(f"percentiles needs a number, {measure} is {kind.simpleString()}")
+
+
+def _float_words(rows: DataFrame) -> DataFrame:
+    """`_word0` for the double `_x`, by exact arithmetic: scaling by a power of two changes no digit."""
+    size = F.abs("_x")
+    tiny, large = size < 2.0**-1022, size == float("inf")
+    usual = F.when(F.isnan("_x") | tiny | large, 1.0).otherwise(size)
+    # a logarithm may be off by one next to a power of two
+    guessed = rows.withColumn("_size", usual).withColumn("_guess", F.floor(F.log2("_size")).cast("int"))
+    power = F.pow(F.lit(2.0), "_guess")
+    off = F.when(F.col("_size") < power, -1).when(F.col("_size") >= power * 2, 1).otherwise(0)
+    placed = guessed.withColumn("_exponent", F.col("_guess") + off)
+    fraction = ((F.col("_size") / F.pow(F.lit(2.0), "_exponent") - 1) * 2.0**52).cast("bigint")
+    bits = (
+        F.when(F.isnan("_x"), F.lit(_DOUBLE_NAN))
+        .when(large, F.lit(_DOUBLE_INFINITY))
+        .when(tiny, (size * 2.0**537 * 2.0**537).cast("bigint"))
+        .otherwise((F.col("_exponent") + 1023).cast("bigint") * (1 << 52) + fraction)
+    )
+    return placed.withColumn("_bits", bits).withColumn(
+        "_word0", F.when(F.col("_x") < 0, -F.col("_bits")).otherwise(F.col("_bits"))
+    )
+
+
+def of_words(words: Sequence[Column], kind: T.DataType) -> Column:
+    """The value that words stand for; a decimal without its point."""
+    if len(words) == 2:
+        # towards zero first: the largest values leave no digit to spare
+        up = F.when(words[0] < 0, 1).otherwise(0)
+        low = words[1].cast("decimal(38,0)") + F.lit(Decimal(1 << 63)) - up * F.lit(_TWO_64)
+        return ((words[0] + up).cast("decimal(38,0)") * F.lit(_TWO_64) + low).cast("decimal(38,0)")
+    if isinstance(kind, T.DecimalType):
+        return words[0].cast("decimal(38,0)")
+    if not isinstance(kind, (T.FloatType, T.DoubleType)):
+        return words[0]
+    bits = F.abs(words[0])
+    exponent, fraction = F.shiftright(bits, 52), bits.bitwiseAND(F.lit((1 << 52) - 1))
+    size = (
+        F.when(bits > _DOUBLE_INFINITY, float("nan"))
+        .when(bits == _DOUBLE_INFINITY, float("inf"))
+        .when(exponent == 0, fraction * 2.0**-1074)
+        .otherwise((fraction / 2.0**52 + 1) * F.pow(F.lit(2.0), exponent - 1023))
+    )
+    return F.when(words[0] < 0, -size).otherwise(size)
+
+
+def _pointed(whole: Column, scale: int) -> Column:
+    """A whole number as text with its point `scale` digits from the right; no division, which rounds."""
+    digits = F.abs(whole).cast("string")
+    filled = F.lpad(digits, F.greatest(F.length(digits), F.lit(scale + 1)), F.lit("0"))
+    before = F.length(filled) - scale
+    sign = F.when(whole < 0, "-").otherwise("")
+    return F.concat(sign, filled.substr(F.lit(1), before), F.lit("."), filled.substr(before + 1, F.lit(scale)))
+
+
+def _first_shift(rows: DataFrame, word: str) -> int:
+    """The finest first pass that splits the range of `word` into at most BUCKETS buckets."""
+    low, high = rows.agg(F.min(word), F.max(word)).first()
+    if low is None:
+        return 0
+    return next(s for s in range(0, 64, _BUCKET_BITS) if (high >> s) - (low >> s) < BUCKETS)
 
 
 def percentiles_approx(
@@ -220,7 +309,9 @@ def _next_buckets(rows: DataFrame, found: DataFrame, by: Sequence[str], shift: i
     empty = found.where("w IS NULL")
     found = found.where("w IS NOT NULL")
     found = found.groupBy(*by, F.col("_bucket").alias("_parent")).agg(F.collect_list("w").alias("_wanted"))
-    finer = rows.withColumn("_parent", F.shiftright("_value", shift + _BUCKET_BITS))
+    up = shift + _BUCKET_BITS
+    parent = F.shiftright("_value", up) if up < 64 else F.when(F.col("_value").isNotNull(), F.lit(0).cast("bigint"))
+    finer = rows.withColumn("_parent", parent)
     if few:
         inside = _join_groups(finer, F.broadcast(found.drop("_wanted")), keys).withColumn("_n", F.lit(1))
     else:

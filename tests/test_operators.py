@@ -1,7 +1,10 @@
 """The operators' distributed forms against plain ones, with ties, NULLs and hot groups."""
 
+import math
 import random
-from decimal import Decimal
+import struct
+import sys
+from decimal import Context, Decimal
 
 import numpy as np
 import pytest
@@ -9,10 +12,19 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmill.functions.scalars import percent
 from starmill.operators import analytics
-from starmill.operators.analytics import percentiles, percentiles_approx, rank_within, share_where, top_n
+from starmill.operators.analytics import (
+    of_words,
+    percentiles,
+    percentiles_approx,
+    rank_within,
+    share_where,
+    top_n,
+    with_words,
+)
 from starmill.operators.keys import Lookup, dense_key, resolve_keys
 from starmill.operators.reshape import keep_listed, rollup_long, rollup_wide, unpivot_periods
 
@@ -84,9 +96,65 @@ def test_percentiles_keep_a_null_group_and_no_group(spark):
     assert {r.g: r.mid for r in percentiles(df, ["g"], "v", {"mid": 0.5}).collect()} == {None: 2.0, "a": 9.0}
 
 
-def test_percentiles_refuse_fractions(spark):
-    with pytest.raises(TypeError, match="whole-number"):
-        percentiles(spark.range(1).select(F.lit("a").alias("g"), F.lit(0.5).alias("v")), ["g"], "v", {"mid": 0.5})
+def test_percentiles_refuse_text(spark):
+    with pytest.raises(TypeError):
+        percentiles(spark.range(1).select(F.lit("a").alias("g"), F.lit("x").alias("v")), ["g"], "v", {"mid": 0.5})
+
+
+INF, NAN = float("inf"), float("nan")
+DOUBLES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, math.nextafter(1, 0), math.nextafter(1, 2)]
+DOUBLES += [-1.5, 1e300, -1e300, sys.float_info.max, -sys.float_info.max, INF, -INF, 0.1, 1 / 3, 8.0, math.nextafter(8, 0), 2.0**52 + 0.5]
+
+
+def test_words_of_doubles_keep_value_and_order(spark):
+    rng = random.Random(7)
+    bits = [struct.unpack("<d", struct.pack("<q", rng.getrandbits(64) - (1 << 63)))[0] for _ in range(3000)]
+    values = DOUBLES + [b for b in bits if b == b]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    words, names = with_words(df.select("v", F.col("v").alias("m")), ["v"], "m")
+    rows = words.select("v", names[0], of_words([F.col(names[0])], T.DoubleType()).alias("back")).collect()
+    assert all(r.back == r.v for r in rows)
+    ordered = sorted(rows, key=lambda r: r._word0)
+    assert [r.v for r in ordered] == sorted(r.v for r in rows)
+    assert len({r._word0 for r in rows}) == len({r.v for r in rows})
+
+
+def test_percentiles_of_doubles(spark):
+    values = sorted(v for v in DOUBLES if abs(v) < 1e200)
+    rows = [("a", v) for v in values] + [("nan", NAN), ("nan", 1.0), ("nan", -3.0), ("inf", INF), ("inf", INF), ("null", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    found = {r.g: r for r in percentiles(df, ["g"], "v", {"low": 0.0, "mid": 0.5, "p90": 0.9}, largest="top").collect()}
+    at = 0.9 * (len(values) - 1)
+    lower, upper = values[math.floor(at)], values[math.ceil(at)]
+    assert found["a"].low == values[0] and found["a"].mid == values[len(values) // 2] and found["a"].top == values[-1]
+    assert found["a"].p90 == lower + (at - math.floor(at)) * (upper - lower)
+    assert found["nan"].mid == 1.0 and math.isnan(found["nan"].top) and math.isnan(found["nan"].p90)
+    assert found["inf"][1:] == (INF, INF, INF, INF)
+    assert found["null"][1:] == (None, None, None, None)
+
+
+def test_percentiles_of_floats(spark):
+    df = spark.createDataFrame([("a", float(i) / 3) for i in range(101)], "g string, v float")
+    row = percentiles(df, ["g"], "v", {"mid": 0.5}, largest="top").first()
+    wide = df.select(F.col("v").cast("double").alias("v"))
+    assert row.mid == wide.orderBy("v").collect()[50].v and row.top == df.agg(F.max("v")).first()[0]
+
+
+@pytest.mark.parametrize("kind", ["decimal(38,0)", "decimal(38,10)", "decimal(30,5)", "decimal(38,38)", "decimal(19,2)"])
+def test_percentiles_of_wide_decimals(spark, kind):
+    rng = random.Random(3)
+    digits, scale = (int(x) for x in kind[8:-1].split(","))
+    whole = [rng.randrange(-(10**digits) + 1, 10**digits) for _ in range(301)]
+    whole += [10**digits - 1, -(10**digits) + 1, 0, -1, 1, 1 << 64, -(1 << 64), (1 << 64) - 1, -(1 << 63)]
+    whole = [w for w in whole if abs(w) < 10**digits]
+    values = sorted(Decimal(w).scaleb(-scale, Context(prec=60)) for w in whole)
+    df = spark.createDataFrame([("a", v) for v in values], f"g string, v {kind}")
+    row = percentiles(df, ["g"], "v", {"low": 0.0, "mid": 0.5}, largest="top").first()
+    middle = (len(values) - 1) / 2
+    expected = (float(values[math.floor(middle)]) + float(values[math.ceil(middle)])) / 2
+    assert row.top == values[-1]
+    assert math.isclose(row.low, float(values[0]), rel_tol=1e-15)
+    assert math.isclose(row.mid, expected, rel_tol=1e-12)
 
 
 def test_approximate_percentiles_stay_in_their_bound(spark):

@@ -89,6 +89,23 @@ def percentile_of_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, MEDIAN_P90)
 
 
+def percentile_of_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of a floating measure with values below zero, zeros of both signs and values that are no number."""
+    margin = F.col("l_extendedprice") * (F.col("l_discount") - 0.05)
+    kept = F.when(F.col("l_orderkey") % 97 == 0, float("nan")).when(F.col("l_orderkey") % 7 == 0, -0.0).otherwise(margin)
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", kept.alias("margen"))
+    found = percentiles(rows, ["l_returnflag", "l_linestatus"], "margen", {"p10": 0.1, **MEDIAN_P90}, largest="maximo")
+    shown = found.withColumn("sin_numero", F.isnan("maximo")).drop("maximo")
+    return rounded(shown, ["p10", *MEDIAN_P90])
+
+
+def percentile_of_wide_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of a decimal beyond 64 bits: prices in 10^-20 of a unit, some of them negative."""
+    price = (F.col("l_extendedprice") * F.when(F.col("l_linenumber") % 2 == 0, 1).otherwise(-1)).cast("decimal(15,2)")
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", price.cast("decimal(36,20)").alias("precio"))
+    return rounded(percentiles(rows, ["l_returnflag"], "precio", MEDIAN_P90, largest="maximo"), MEDIAN_P90)
+
+
 def monthly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned quantity month by month."""
     returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")

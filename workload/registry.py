@@ -167,6 +167,8 @@ REGISTRY: dict[str, Query] = {
     "percentile_raw": raw.percentile_of_price,
     "percentile_small_values_raw": raw.percentile_of_quantity,
     "percentile_decimal_raw": on_tables(raw.percentile_of_decimal),
+    "percentile_double_raw": raw.percentile_of_double,
+    "percentile_wide_decimal_raw": on_tables(raw.percentile_of_wide_decimal),
     "monthly_series_raw": raw.monthly_series,
     "grain_rollup_raw": raw.grain_rollup,
     "grain_rollup_unpivot_first_raw": raw.grain_rollup_unpivot_first,
