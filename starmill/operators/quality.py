@@ -11,9 +11,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmill.operators.keys import Lookup
 from starmill.operators.skew import join_hot
+from starmill.session import materialise
 
 OK, MISMATCH = "OK", "MISMATCH"
 
@@ -85,29 +87,65 @@ def missing_keys(fact: DataFrame, lookup: Lookup) -> DataFrame:
 
 
 def orphans(fact: DataFrame, lookups: Sequence[Lookup], name: str = "orphans") -> DataFrame:
-    """Fact rows that miss at least one dimension, each counted once: all rows less those that match
-    everywhere. Hot keys are split off, see `join_hot`."""
-    rows = fact.select(*(next(iter(lookup.on)) for lookup in lookups))
-    kept = rows
-    for lookup in sorted(lookups, key=lambda x: x.bounded):
-        (mine, theirs) = next(iter(lookup.on.items()))
-        known = lookup.table.select(F.col(theirs).alias("_known")).distinct()
-        if lookup.bounded:
-            kept = kept.join(F.broadcast(known), F.col(mine) == F.col("_known"), "left_semi")
-        else:
-            kept = join_hot(kept, known, {mine: "_known"}, "left_semi")
-    matching = kept.agg(F.count("*").alias("_kept")).scalar()
-    return _one(name, rows.agg((F.count("*") - F.first(matching)).alias("violations")))
+    """Fact rows that miss at least one dimension, each counted once."""
+    return _one(name, _missing(fact, lookups).select(F.col("any").alias("violations")))
 
 
 def orphans_by_key(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Fact rows without a match, one row per dimension."""
-    return union(
-        [
-            _one(next(iter(lookup.on)), missing_keys(fact, lookup).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")))
-            for lookup in lookups
-        ]
-    )
+    keys = [next(iter(lookup.on)) for lookup in lookups]
+    rows = [F.struct(F.lit(key).alias("check"), F.col(f"n{i}").alias("violations")) for i, key in enumerate(keys)]
+    long = _missing(fact, lookups).select(F.inline(F.array(*rows)))
+    return long.withColumn("status", F.when(F.col("violations") == 0, OK).otherwise(MISMATCH))
+
+
+#: Most rows of an id bitmap, each 64 ids wide, that are broadcast: some 64 MB.
+BITMAP_WORDS = 1 << 20
+_WORD_BITS = 6
+
+
+def id_bitmap(table: DataFrame, key: str) -> DataFrame:
+    """Which whole numbers a column holds: `word` (number / 64) and `bits`. It merges: partial ones are OR-ed."""
+    value = F.col(f"`{key}`").cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(value, F.lit(1 << _WORD_BITS)).cast("int"))
+    numbers = table.where(value.isNotNull()).select(F.shiftright(value, _WORD_BITS).alias("word"), bit.alias("bit"))
+    return numbers.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def _missing(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    """One row: fact rows that miss any dimension (`any`), and those that miss the i-th (`n0`, `n1`, ...).
+
+    The fact is read once. Each of its ids is looked up in a bitmap of the dimension's, which has a
+    row per 64 dense ids and is broadcast while it has at most BITMAP_WORDS; the fact's rows then stay
+    where they are, however often a key occurs. A dimension beyond that, or one whose keys are no
+    whole numbers, is joined by its keys, hot ones apart (`join_hot`), on rows that carry one number each.
+    A NULL id is missing.
+    """
+    rows = fact.select(*(F.col(f"`{next(iter(lookup.on))}`").alias(f"k{i}") for i, lookup in enumerate(lookups)))
+    for i, lookup in enumerate(lookups):
+        theirs = next(iter(lookup.on.values()))
+        whole = all(isinstance(t, T.IntegralType) for t in (rows.schema[f"k{i}"].dataType, lookup.table.schema[theirs].dataType))
+        bitmap = id_bitmap(lookup.table, theirs) if whole else None
+        if whole and (lookup.bounded or bitmap.count() <= BITMAP_WORDS):
+            named = bitmap.select(F.col("word").alias(f"w{i}"), F.col("bits").alias(f"b{i}"))
+            id = F.col(f"k{i}").cast("bigint")
+            rows = rows.join(F.broadcast(named), F.shiftright(id, _WORD_BITS) == F.col(f"w{i}"), "left").drop(f"w{i}")
+            at = F.pmod(id, F.lit(1 << _WORD_BITS)).cast("int")
+            rows = rows.withColumn(f"m{i}", F.coalesce(F.getbit(F.col(f"b{i}"), at) == 0, F.lit(True))).drop(f"b{i}")
+        else:
+            rows = _tested_by_join(rows, f"k{i}", lookup.table.select(F.col(f"`{theirs}`").alias("_known")), f"m{i}")
+    flags = [F.col(f"m{i}") for i in range(len(lookups))]
+    counts = [F.count_if(reduce(lambda a, b: a | b, flags)).alias("any")]
+    return rows.agg(*counts, *(F.count_if(flag).alias(f"n{i}") for i, flag in enumerate(flags)))
+
+
+def _tested_by_join(rows: DataFrame, key: str, known: DataFrame, out: str) -> DataFrame:
+    """`rows`, written, with whether `known` lacks their `key`."""
+    rows = materialise(rows, "tested")
+    hits = join_hot(rows, known.distinct(), {key: "_known"}).drop("_known").withColumn(out, F.lit(False))
+    absent = materialise(missing_keys(rows, Lookup(known, "", {key: "_known"})).select(F.col("key").alias("_absent")), "absent")
+    lost = join_hot(rows, absent, {key: "_absent"}, "left_semi").unionByName(rows.where(F.col(key).isNull()))
+    return hits.unionByName(lost.withColumn(out, F.lit(True)))
 
 
 def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wide_rows import CONFIG, frame, full, row
 
 from starmill.operators import quality
+from starmill.operators.keys import Lookup
 from starmill.plans import validate
 from starmill.plans.build import build_grain, build_star
 from starmill.plans.star import CATEGORY, ENTITY, FACT, TIME, without
@@ -46,6 +47,29 @@ def test_null_foreign_keys_are_orphans(star):
     assert failed(validate.not_null(broken)) == {"fact_victimas.id_delito": 8}
 
 
+def test_orphans_read_the_fact_once(star, spark, tmp_path):
+    star.fact_victimas.write.parquet(f"{tmp_path}/fact")
+    stored = replace(star, fact_victimas=spark.read.parquet(f"{tmp_path}/fact"))
+    for report in (validate.orphans(stored), validate.orphans_by_key(stored)):
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f"{tmp_path}/fact") == 1 and "bit_or" in plan
+
+
+def test_orphans_of_dimensions_beyond_a_bitmap(star, monkeypatch):
+    """Keys of any type and number: sparse, negative, text, and too many to broadcast."""
+    spark = star.fact_victimas.sparkSession
+    keys = [-(1 << 40), -65, -64, -1, 0, 63, 64, 1 << 50]
+    rows = [(k, str(k), k) for k in keys for _ in range(3)] + [(7, "7", 0)] * 5 + [(None, None, None), (0, "x", None)]
+    fact = spark.createDataFrame(rows, "a long, b string, c long")
+    numbers = spark.createDataFrame([(k, str(k)) for k in keys], "n long, t string")
+    lookups = [Lookup(numbers, "n", {"a": "n"}), Lookup(numbers, "t", {"b": "t"}), Lookup(numbers, "n", {"c": "n"})]
+    for words in (quality.BITMAP_WORDS, -1):
+        monkeypatch.setattr(quality, "BITMAP_WORDS", words)
+        assert failed(quality.orphans(fact, lookups)) == {"orphans": 7}
+        assert failed(quality.orphans_by_key(fact, lookups)) == {"a": 6, "b": 7, "c": 2}
+    assert failed(quality.orphans(fact.limit(0), lookups)) == {}
+
+
 def test_repeated_keys(star):
     broken = changed(star, ENTITY, id_entidad=F.lit(1), clave_entidad=F.lit(5).cast("smallint"))
     assert failed(validate.unique_keys(broken)) == {"dim_entidad.id_entidad": 1, "dim_entidad.clave_entidad": 1}
