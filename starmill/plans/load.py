@@ -6,40 +6,37 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill.plans import versions
 from starmill.plans.star import FACT, TABLES, Star
 from starmill.session import materialise
 
-_LOG = "_published"
-#: Of two refreshes that take the same number, the one published later is current.
-_LOG_SCHEMA = "version int, path string, published timestamp"
-
 
 def load_star(star: Star, base: str, check: Callable[[Star], object] | None = None) -> Star:
     """Replace the star stored under `base` and return it as read back.
 
     The four tables go to a new directory, dimensions first, and `check` sees them as written;
-    only then does one row in the publication log make that directory current. Readers see
-    the old star or the new one, and a load that fails or is refused changes nothing.
+    only then is a version published that names that directory. Readers see the old star or the
+    new one, and a load that fails or is refused changes nothing. A load that was published since
+    this one began is not overwritten: that raises `PublishConflict`.
     """
     spark = star.fact_victimas.sparkSession
-    log = f"{base}/{_LOG}"
-    number = (_current(spark, base) or (0, ""))[0] + 1
-    target = f"{base}/v{number}-{uuid.uuid4().hex[:8]}"
+    number = versions.next_number(spark, base)
+    target = new_part(base, number)
     append_star(star, target)
     loaded = read_tables(spark, target)
     if check:
         check(loaded)
-    entry = spark.range(1).select(
-        F.lit(number).alias("version"), F.lit(target).alias("path"), F.current_timestamp().alias("published")
-    )
-    entry.write.mode("append").parquet(log)
+    versions.publish(spark, base, number, (target,))
     return loaded
 
 
+def new_part(base: str, number: int) -> str:
+    return f"{base}/v{number}-{uuid.uuid4().hex[:8]}"
+
+
 def append_star(star: Star, path: str) -> None:
     """Append every table under `path`, dimensions first.
 
@@ -48,15 +45,16 @@ def append_star(star: Star, path: str) -> None:
     sampled and the fact is evaluated once.
     """
     parts = int(star.fact_victimas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fact = in_period_order(star.fact_victimas, max(1, star.dim_tiempo.count()), parts)
+    first, periods = star.dim_tiempo.agg(F.min("id_tiempo"), F.count(F.lit(1))).first()
+    fact = in_period_order(star.fact_victimas, max(1, periods), parts, first or 1)
     for name, table in replace(star, fact_victimas=fact).tables().items():
         table.write.mode("append").parquet(f"{path}/{name}")
 
 
-def in_period_order(fact: DataFrame, periods: int, parts: int) -> DataFrame:
-    """About `parts` partitions of neighbouring periods; a period larger than one is several, by hash."""
+def in_period_order(fact: DataFrame, periods: int, parts: int, first: int = 1) -> DataFrame:
+    """About `parts` partitions of neighbouring periods, counted from id `first`; a period larger than one is several, by hash."""
     slices = max(1, parts // periods)
-    period = F.col("id_tiempo").cast("bigint") - 1
+    period = F.col("id_tiempo").cast("bigint") - first
     if slices > 1:
         place, parts = period * slices + F.pmod(F.xxhash64("id_hecho"), F.lit(slices)), periods * slices
     else:
@@ -83,20 +81,31 @@ def append_jdbc(
 
 def read_star(spark: SparkSession, base: str) -> Star:
     """The current star under `base`."""
-    return read_tables(spark, _published(spark, base))
+    return read_tables(spark, *published(spark, base).parts)
 
 
-def read_tables(spark: SparkSession, path: str) -> Star:
-    return Star(**{name: spark.read.parquet(f"{path}/{name}") for name in TABLES})
+def read_tables(spark: SparkSession, *parts: str) -> Star:
+    """A star whose tables lie in one folder or several."""
+    return Star(**{name: spark.read.parquet(*(f"{part}/{name}" for part in parts)) for name in TABLES})
 
 
 def register_tables(spark: SparkSession, base: str, database: str) -> None:
-    """Make the current star under `base` addressable as `database`.table in SQL text."""
-    current = _published(spark, base)
+    """Make the current star under `base` addressable as `database`.table in SQL text.
+
+    A star of one folder becomes tables, one with appended folders becomes views over them.
+    """
+    parts = published(spark, base).parts
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.catalog.createTable(f"{database}.{name}", f"{current}/{name}", "parquet")
+        full = f"{database}.{name}"
+        if spark.catalog.tableExists(full):
+            kind = "VIEW" if spark.catalog.getTable(full).tableType == "VIEW" else "TABLE"
+            spark.sql(f"DROP {kind} {full}")
+        if len(parts) == 1:
+            spark.catalog.createTable(full, f"{parts[0]}/{name}", "parquet")
+        else:
+            union = " UNION ALL ".join(f"SELECT * FROM parquet.`{part}/{name}`" for part in parts)
+            spark.sql(f"CREATE VIEW {full} AS {union}")
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -132,30 +141,15 @@ def _replace(spark: SparkSession, fresh: str, path: str) -> None:
 
 
 def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
-    """Remove all but the newest `keep` published versions under `base`, once no reader needs them."""
-    log = spark.read.schema(_LOG_SCHEMA).parquet(f"{base}/{_LOG}")
-    entries = log.orderBy(F.desc("version"), F.desc("published")).collect()
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    dropped = [row["path"] for row in entries[max(1, keep) :]]
-    for path in dropped:
-        old = hadoop.Path(path)
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
-    return dropped
+    """Remove all but the newest `keep` published versions under `base`, once no reader needs them.
+
+    Folders that a kept version names stay, as those of the loads that it was appended to.
+    """
+    return versions.forget(spark, base, keep)
 
 
-def _published(spark: SparkSession, base: str) -> str:
-    current = _current(spark, base)
+def published(spark: SparkSession, base: str) -> versions.Version:
+    current = versions.current(spark, base)
     if current is None:
         raise FileNotFoundError(f"no star has been published under {base}")
-    return current[1]
-
-
-def _current(spark: SparkSession, base: str) -> tuple[int, str] | None:
-    try:
-        log = spark.read.schema(_LOG_SCHEMA).parquet(f"{base}/{_LOG}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    newest = log.orderBy(F.desc("version"), F.desc("published")).limit(1).collect()
-    return (newest[0]["version"], newest[0]["path"]) if newest else None
+    return current

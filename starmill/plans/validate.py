@@ -9,7 +9,7 @@ from starmill.config import StarConfig
 from starmill.operators import quality
 from starmill.operators.keys import Lookup
 from starmill.plans.build import keep_categories
-from starmill.plans.star import DIMENSIONS, ENTITY, FACT, IDS, MEASURE, TABLES, Star, declared
+from starmill.plans.star import CATEGORY, DIMENSIONS, ENTITY, FACT, IDS, MEASURE, TABLES, Star, declared
 
 GRAIN = ("id_tiempo", "id_entidad", "id_delito")
 
@@ -60,6 +60,17 @@ def max_length(star: Star) -> DataFrame:
     return quality.union([quality.max_length(table, limits(name), name) for name, table in star.tables().items()])
 
 
+def coverage(star: Star, config: StarConfig) -> DataFrame:
+    """Entities that the region catalogue lacks, and leaves that the category catalogue lacks."""
+    regions = config.regions if isinstance(config.regions, DataFrame) else list(config.regions)
+    return quality.union(
+        [
+            quality.coverage(star.dim_entidad, "nombre_entidad", regions, f"{ENTITY}.nombre_entidad in catalogue"),
+            quality.coverage(star.dim_delito, "subtipo_delito", config.categories, f"{CATEGORY}.subtipo_delito in catalogue"),
+        ]
+    )
+
+
 def source_total(wide: DataFrame, star: Star, config: StarConfig) -> DataFrame:
     """The catalogue's rows of the raw source against the fact."""
     return quality.sum_reconcile(

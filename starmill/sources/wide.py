@@ -42,6 +42,47 @@ def read_wide_csv(spark: SparkSession, path: str, config: StarConfig, encoding:
     )
 
 
+#: Marks of a row: what is wrong with it (empty: nothing), and its text.
+FAULTS, TEXT = "_faults", "_text"
+MALFORMED = "malformed row"
+
+
+def read_wide_csv_marked(spark: SparkSession, path: str, config: StarConfig, encoding: str = "ISO-8859-1") -> DataFrame:
+    """`read_wide_csv` that fails on no row: cells that are not of their type become NULL.
+
+    FAULTS names them, or says that the row has too few or too many cells; TEXT is the row as read. A blank
+    cell is no fault. Rows without faults are those that `read_wide_csv` would return.
+    """
+    names = read_wide_csv(spark, path, config, encoding).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, "_line")])
+    text = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("encoding", encoding)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_line")
+        # else a row's cells are counted only as far as a query reads them
+        .option("columnPruning", False)
+        .csv(path)
+    )
+    types = {field.name: field.dataType for field in wide_schema(config) if field.dataType != T.StringType()}
+    cells = {c: F.col(f"`{c}`").try_cast(types[c]) if c in types else F.col(f"`{c}`") for c in names}
+    faults = [F.when(F.col("_line").isNotNull(), MALFORMED)]
+    faults += [F.when(F.col(f"`{c}`").isNotNull() & cells[c].isNull(), c) for c in names if c in types]
+    line = F.coalesce("_line", F.to_csv(F.struct(*(F.col(f"`{c}`") for c in names))))
+    return text.select(
+        *(cell.alias(c) for c, cell in cells.items()), F.array_compact(F.array(*faults)).alias(FAULTS), line.alias(TEXT)
+    )
+
+
+def write_rejects(marked: DataFrame, path: str) -> int:
+    """Write the rows with faults (`file`, FAULTS, TEXT) to `path`; how many they are."""
+    rejects = marked.where(F.size(FAULTS) > 0).select(F.input_file_name().alias("file"), FAULTS, TEXT)
+    rejects.write.parquet(path)
+    return marked.sparkSession.read.schema(rejects.schema).parquet(path).count()
+
+
 def write_wide_csv(df: DataFrame, path: str, config: StarConfig, encoding: str = "ISO-8859-1") -> None:
     """Write a wide table in the form `read_wide_csv` expects."""
     columns = wide_schema(config).fieldNames()

@@ -7,19 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill.operators.quality import row_total
 from starmill.operators.reshape import unpivot_periods
 from starmill.plans import build, derived, queries
+from starmill.plans.append import append_years
 from starmill.plans.load import export_csv, load_star, read_star
 from starmill.plans.star import CATEGORY, DIMENSIONS, FACT, MEASURE, Star
 from starmill.presets import MONTHS
 from starmill.session import scratch_path
-from starmill.sources.wide import profile, read_wide_csv, write_wide_csv
+from starmill.sources.wide import FAULTS, profile, read_wide_csv, read_wide_csv_marked, write_rejects, write_wide_csv
 from workload import checks, raw
 from workload.wide import LEAF, built, config, wide_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SLICE = ("1996-03", "1999-10")
+APPENDED = 2000
 
 
 def on_star(query: Callable[..., DataFrame], *args) -> Query:
@@ -83,6 +86,30 @@ def load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_star(spark, base).tables()[FACT].drop("fecha_carga")
 
 
+def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first years loaded, the later ones appended: the fact as one full load would number it."""
+    conf, wide = config(spark, sf_dir), wide_source(spark, sf_dir)
+    year, base = F.col(f"`{conf.year}`"), scratch_path(spark, "warehouse")
+    load_star(build.build_star(build.build_grain(wide.where(year < APPENDED), conf), conf), base)
+    append_years(wide.where(year >= APPENDED), base, conf)
+    return read_star(spark, base).tables()[FACT].drop("fecha_carga")
+
+
+def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source with cells that are no numbers: rows and measure of what is loaded, rows set apart by their fault."""
+    conf, path = config(spark, sf_dir), scratch_path(spark, "wide")
+    first = F.col(f"`{MONTHS[0]}`")
+    spoilt = F.when((F.col(f"`{conf.entity_key}`") % 10 == 3) & first.isNotNull(), "n/a").otherwise(first.cast("string"))
+    write_wide_csv(wide_source(spark, sf_dir).withColumn(MONTHS[0], spoilt), path, conf)
+    marked = read_wide_csv_marked(spark, path, conf)
+    rejects = scratch_path(spark, "rejects")
+    write_rejects(marked, rejects)
+    loaded = marked.where(F.size(FAULTS) == 0).agg(F.count(F.lit(1)).alias("filas"), F.sum(row_total(MONTHS)).alias("total"))
+    fault = F.array_join(FAULTS, ",").alias("fallo")
+    apart = spark.read.parquet(rejects).groupBy(fault).agg(F.count(F.lit(1)).alias("filas"))
+    return loaded.withColumn("fallo", F.lit("")).unionByName(apart.withColumn("total", F.lit(None).cast("bigint")))
+
+
 def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The year-on-year result exported as CSV and read back, empty fields as NULL."""
     result = queries.yoy_change(built(spark, sf_dir).star)
@@ -153,6 +180,8 @@ REGISTRY: dict[str, Query] = {
     "dq_catalog_coverage": checks.catalog_coverage,
     "dq_validated_load": checks.validated_load,
     "load_roundtrip": load_roundtrip,
+    "append_roundtrip": append_roundtrip,
+    "src_quarantine": quarantined,
     "export_roundtrip": export_roundtrip,
     "growth_vs_total": on_star(derived.growth_vs_total),
     "outlier_rows": on_star(derived.outlier_rows),
