@@ -1,17 +1,19 @@
 """Exact deduplication against a persistent index of digests.
 
-The index is a table bucketed by digest, its files sorted by digest: `digest`, `keep_id` (the
-largest doc_id seen with that text), `group_size` (rows seen) and the `batch` that brought the
-entry. A new batch is reduced to one row per digest (combined before the shuffle, so a group of
-copies is a few rows by then), held against the index by a sort-merge anti-join that shuffles the
-batch alone, and what is new is appended. The text itself is never shuffled.
+The index is a table bucketed by digest, its files sorted by digest: `digest`, `keep_id` (the doc_id
+of the row that stays, the largest in its batch), `group_size` (rows of its batch) and the `batch`
+that brought the entry; later batches leave an entry as it is, since its row has been kept. A new
+batch is reduced to one row per digest (combined before the shuffle, so a group of copies is a few
+rows by then), held against the index by a sort-merge anti-join that shuffles the batch alone, and
+what is new is appended. The text itself is never shuffled.
 
 Of equal texts in a batch the row with the largest doc_id stays; a null doc_id is smaller than any
-other. Texts the index knows from an earlier batch are dropped from later ones. A batch takes the
-number after the largest stored one unless it is given another; one that is stored is refused. Null
-text counts as empty. Of rows that repeat both doc_id and text one stays in `keep`, and all carry the same
-values in `decide`. An empty batch changes nothing. Columns of the input cannot clash: rows
-travel in one struct.
+other. Texts the index knows from another batch are dropped. A batch may be repeated under its
+number until its output is safe: only its own missing entries are appended, so the same rows stay as in
+the first run, wherever that failed. Without a number a batch is a new one, numbered after the largest
+stored. Different batches need different numbers. Null text counts as empty. Of rows that repeat both doc_id and
+text one stays in `keep`, and all carry the same values in `decide`. An empty batch changes nothing.
+Columns of the input cannot clash: rows travel in one struct.
 """
 
 from __future__ import annotations
@@ -56,19 +58,18 @@ class DigestIndex:
         return self.spark.table(self.table)
 
     def number(self, batch: int | None = None) -> int:
-        """The number of a new batch: the one given, unless it is stored, or the next."""
-        if batch is None:
-            last = self.entries().agg(F.max("batch")).first()[0]
-            return 0 if last is None else last + 1
-        if not self.entries().where(F.col("batch") == batch).isEmpty():
-            raise ValueError(f"batch {batch} is in the index already")
-        return batch
+        """The number of a batch: the one given, or the next."""
+        if batch is not None:
+            return batch
+        last = self.entries().agg(F.max("batch")).first()[0]
+        return 0 if last is None else last + 1
 
     def add(self, groups: DataFrame, batch: int | None = None) -> int:
         """Append the groups of a batch (`digest`, `keep_id`, `group_size`) whose digest is new; its number.
 
         The batch is dealt out as the index is, so the anti-join moves neither side again and each
-        task appends to one bucket.
+        task appends to one bucket. Entries that an earlier, failed run of the batch appended are
+        known by now, so a repeated run appends the others.
         """
         batch = self.number(batch)
         new = groups.repartition(self.buckets, "digest").join(self.entries().hint("merge"), "digest", "left_anti")
@@ -79,6 +80,21 @@ class DigestIndex:
         return batch
 
 
+    def compacted(self, path: str) -> DigestIndex:
+        """The same index in the new folder `path`, one sorted file per bucket.
+
+        Every batch adds files to the buckets; a join then sorts each bucket anew. With one file per bucket,
+        and `spark.sql.legacy.bucketedTableScan.outputOrdering` set, it reads them in their order.
+        """
+        other = DigestIndex(self.spark, path, self.buckets)
+        # read as plain files: a scan by buckets would stand in for the exchange, and then be given up
+        rows = self.spark.read.schema(SCHEMA).parquet(self.path).repartition(self.buckets, "digest")
+        rows.write.format("parquet").option("path", path).bucketBy(self.buckets, "digest").sortBy("digest").mode("append").saveAsTable(
+            other.table
+        )
+        return other
+
+
 def groups_of(digests: DataFrame) -> DataFrame:
     """One row per digest; counted and reduced before the shuffle."""
     return digests.groupBy("digest").agg(
@@ -102,7 +118,8 @@ def _with_entry(digests: DataFrame, groups: DataFrame, entries: DataFrame, total
 def decide(docs: DataFrame, index: DigestIndex, batch: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: `doc_id`, `digest`, `keep_id`, `group_size`, `kept`; the index grows.
 
-    The texts are read once, for their digests; those are written, and all else reads them.
+    The texts are read once, for their digests; those are written, and all else reads them. Give `batch` a
+    number to be able to repeat a batch whose output was lost.
     """
     rows = pick(docs, doc_id, text).select("doc_id", digest_of().alias("digest"))
     digests = materialise(rows, "digests")

@@ -3,7 +3,6 @@
 import hashlib
 from collections import defaultdict
 
-import pytest
 from pyspark.sql import functions as F
 
 from starmill.llm import digest_index, queries
@@ -60,9 +59,50 @@ def test_batches_without_a_number_are_different_ones(spark):
     index = digest_index.new_index(spark)
     assert [sorted(r.doc_id for r in digest_index.keep(d, index).collect()) for d in (docs, docs, more)] == [[1, 2], [], [3]]
     assert sorted(r.batch for r in index.entries().collect()) == [0, 0, 1]
-    with pytest.raises(ValueError):
-        digest_index.decide(more, index, 1)
-    assert index.entries().count() == 3
+
+
+def kept(docs, index, batch):
+    return sorted(r.doc_id for r in digest_index.keep(docs, index, batch).collect())
+
+
+def test_a_repeated_batch_keeps_the_same_rows(spark):
+    """However far a run came before it failed, before or within or after the append."""
+    earlier = spark.createDataFrame([(1, "a"), (2, "z")], "doc_id long, text string")
+    rows = [(10 + i, f"text {i // 2}") for i in range(40)] + [(90, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = [11 + 2 * i for i in range(20)]
+
+    index = digest_index.new_index(spark)
+    digest_index.keep(earlier, index, 0)
+    digest_index.decide(docs, index, 1)  # appended, and its output lost
+    assert kept(docs, index, 1) == expected and kept(docs, index, 1) == expected
+    assert kept(docs, index, 2) == []
+
+    index = digest_index.new_index(spark)
+    digest_index.keep(earlier, index, 0)
+    groups = digest_index.groups_of(digest_index.pick(docs).select("doc_id", digest_index.digest_of().alias("digest")))
+    index.add(groups.where("keep_id % 4 = 1"), 1)  # some of the buckets' tasks came through
+    assert kept(docs, index, 1) == expected
+    assert index.entries().count() == 22 and index.entries().select("digest").distinct().count() == 22
+
+
+def test_a_compacted_index_is_read_in_its_order(spark):
+    index = digest_index.DigestIndex(spark, scratch_path(spark, "index"), buckets=3)
+    batches = [spark.createDataFrame([(100 * b + i, f"{b} {i}") for i in range(30)], "doc_id long, text string") for b in range(3)]
+    for docs in batches:
+        digest_index.keep(docs, index)
+    small = index.compacted(scratch_path(spark, "index"))
+    assert sorted(map(tuple, small.entries().collect())) == sorted(map(tuple, index.entries().collect()))
+    assert len(small.entries().inputFiles()) == 3 < len(index.entries().inputFiles())
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+    try:
+        new = batches[0].select(F.unhex(F.sha2("text", 256)).alias("digest")).repartition(3, "digest")
+        joined = new.join(small.entries().hint("merge"), "digest", "left_anti")
+        assert joined.count() == 0
+        assert joined._jdf.queryExecution().executedPlan().toString().count("Sort [digest") == 1
+    finally:
+        spark.conf.unset("spark.sql.legacy.bucketedTableScan.outputOrdering")
+    assert kept(batches[1], small, 7) == []
 
 
 def test_the_index_is_not_moved_for_the_anti_join(spark):
