@@ -3,9 +3,12 @@
 Text is folded to lower case with every character that is no letter as a space; n-grams of one to
 `ORDERS` characters, word ends included, are hashed to buckets. Bucket counts per language come
 from at most `train_rows` documents (those with the smallest hash of the id; a parameter), counted
-in the tasks and summed by Spark. The matrix of log probabilities is broadcast; its size is fixed
-by the number of buckets and the bound on languages. A slice of texts is scored as a sparse matrix
-in compressed rows times that matrix: bucket rows are gathered and summed per document.
+in the tasks and summed by Spark. The matrix of log probabilities is broadcast. A slice of texts is
+scored as a sparse matrix in compressed rows times that matrix: bucket rows are gathered and summed
+per document. Up to `DENSE_LANGUAGES` the matrix is dense, its size fixed by the number of buckets.
+With more languages only buckets that a language was seen with are stored, as what they add to the
+language's value for unseen ones; their number is bounded by the n-grams of the sample, and a slice
+is scored in blocks of bounded size. Both give the same result; no number of languages is refused.
 
 `lang_pred` is the likeliest learned language (of equal ones the first by code point) and `score`
 its posterior probability. A null text, or one without a letter, is `und` with score 0, and so is
@@ -28,8 +31,10 @@ from starmill.llm.common import slices, text_of
 BUCKET_BITS = 15
 ORDERS = 3
 TRAIN_ROWS = 50_000
-#: More learned languages than this are refused; the matrix is broadcast.
-MOST_LANGUAGES = 128
+#: Most languages whose log probabilities are one dense matrix.
+DENSE_LANGUAGES = 128
+#: Stored probabilities that are summed at once where the matrix is sparse.
+BLOCK = 1 << 21
 #: n-grams summed at once, whatever a text's length.
 CHUNK = 1 << 19
 UNKNOWN = "und"
@@ -78,25 +83,33 @@ def grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield text[chosen], _buckets(part, order)[chosen]
 
 
-def _counts(rows: DataFrame) -> pa.Table:
-    """`lang`, `bucket`, `n`: counted in each task and then summed; at most buckets times languages rows."""
+def _counts(rows: DataFrame, place: dict[str, int]) -> pa.Table:
+    """`lang` (its place), `bucket`, `n`: counted in each task and then summed; at most buckets times languages rows."""
     size = 1 << BUCKET_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+        sums: dict[int, np.ndarray] = {}
         for batch in slices(batches):
-            by: dict[str, list[str]] = {}
+            by: dict[int, list[str]] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by.setdefault(lang, []).append(text)
+                by.setdefault(place[lang], []).append(text)
             for lang, texts in by.items():
                 have = sums.setdefault(lang, np.zeros(size, "int64"))
                 for _, buckets in grams(texts):
                     have += np.bincount(buckets, minlength=size)
+            # no task holds the sums of very many languages
+            if len(sums) > DENSE_LANGUAGES:
+                yield from emitted(sums)
+                sums = {}
+        yield from emitted(sums)
+
+    def emitted(sums: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for lang, have in sums.items():
             used = np.flatnonzero(have)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used.astype("int32")), pa.array(have[used])], ["lang", "bucket", "n"])
+            columns = [np.full(len(used), lang, "int32"), used.astype("int32"), have[used]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["lang", "bucket", "n"])
 
-    counted = rows.select("text", "lang").mapInArrow(run, "lang string, bucket int, n long")
+    counted = rows.select("text", "lang").mapInArrow(run, "lang int, bucket int, n long")
     return counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
 
 
@@ -105,22 +118,28 @@ class Model:
 
     def __init__(self, counts: pa.Table, documents: dict[str, int], smooth: float = 0.5):
         self.languages = sorted(documents)
-        place = {lang: i for i, lang in enumerate(self.languages)}
-        n = np.full((1 << BUCKET_BITS, len(place)), smooth)
-        langs = [place[x] for x in counts.column("lang").to_pylist()]
-        n[counts.column("bucket").to_numpy(), langs] += counts.column("n").to_numpy()
-        self.buckets = np.log(n / n.sum(0)).astype("float32")
+        lang, bucket, n = (counts.column(c).to_numpy() for c in ("lang", "bucket", "n"))
         many = np.array([documents[x] for x in self.languages], "float64")
         self.prior = np.log(many / many.sum())
+        self._store(lang, bucket, n, smooth)
+
+    def _store(self, lang: np.ndarray, bucket: np.ndarray, n: np.ndarray, smooth: float) -> None:
+        cells = np.full((1 << BUCKET_BITS, len(self.languages)), smooth)
+        cells[bucket, lang] += n
+        self.buckets = np.log(cells / cells.sum(0)).astype("float32")
+
+    def _add(self, total: np.ndarray, text: np.ndarray, buckets: np.ndarray) -> None:
+        """Add the log probabilities of n-grams, in order of `text`, to its rows."""
+        first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+        total[text[first]] += np.add.reduceat(self.buckets[buckets], first, axis=0, dtype="float64")
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         total = np.zeros((len(texts), len(self.languages)))
         seen = np.zeros(len(texts), bool)
         for text, buckets in grams(texts):
             if len(text):
-                first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
-                total[text[first]] += np.add.reduceat(self.buckets[buckets], first, axis=0, dtype="float64")
-                seen[text[first]] = True
+                self._add(total, text, buckets)
+                seen[text] = True
         total += self.prior
         best = total.argmax(1)
         share = np.exp(total - total.max(1, keepdims=True))
@@ -128,6 +147,33 @@ class Model:
         return [self.languages[b] if s else UNKNOWN for b, s in zip(best.tolist(), seen.tolist())], score
 
 
+class SparseModel(Model):
+    """The same for many languages: `unseen` per language, and what seen buckets add, by bucket."""
+
+    def _store(self, lang: np.ndarray, bucket: np.ndarray, n: np.ndarray, smooth: float) -> None:
+        sums = np.bincount(lang, n, minlength=len(self.languages)) + smooth * (1 << BUCKET_BITS)
+        self.unseen = np.log(smooth / sums)
+        order = np.argsort(bucket, kind="stable")
+        self.lang, self.more = lang[order].astype("int32"), np.log1p(n[order] / smooth).astype("float32")
+        self.start = np.r_[0, np.cumsum(np.bincount(bucket, minlength=1 << BUCKET_BITS))]
+
+    def _add(self, total: np.ndarray, text: np.ndarray, buckets: np.ndarray) -> None:
+        total += np.bincount(text, minlength=len(total))[:, None] * self.unseen
+        cells, times = np.unique(text.astype("int64") << BUCKET_BITS | buckets, return_counts=True)
+        text, buckets = cells >> BUCKET_BITS, cells & (1 << BUCKET_BITS) - 1
+        reach = self.start[buckets + 1] - self.start[buckets]
+        cuts = np.flatnonzero(np.diff(np.cumsum(reach) // BLOCK)) + 1
+        for part in np.split(np.arange(len(cells)), cuts):
+            wide = reach[part]
+            within = np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
+            at = np.repeat(self.start[buckets[part]], wide) + within
+            place = np.repeat(text[part], wide) * total.shape[1] + self.lang[at]
+            first = int(text[part][0]) if len(part) else 0
+            last = int(text[part][-1]) + 1 if len(part) else 0
+            sums = np.bincount(place - first * total.shape[1], np.repeat(times[part], wide) * self.more[at], (last - first) * total.shape[1])
+            total[first:last] += sums.reshape(last - first, -1)
+
+
 def learn(
     docs: DataFrame,
     train: Column,
@@ -147,10 +193,10 @@ def learn(
     if bound is None:
         return None
     chosen = rows.where(mark <= bound)
-    documents = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(documents) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return Model(_counts(chosen), documents)
+    # at most one row per document of the sample
+    documents = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = _counts(chosen, {lang: i for i, lang in enumerate(sorted(documents))})
+    return (Model if len(documents) <= DENSE_LANGUAGES else SparseModel)(counts, documents)
 
 
 def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:

@@ -56,6 +56,55 @@ def test_long_texts_are_summed_in_chunks(monkeypatch):
     assert Counter((int(t), int(b)) for ts, bs in language.grams(texts) for t, b in zip(ts, bs)) == whole
 
 
+def many_languages():
+    """Languages that differ in their alphabet's middle, two texts each."""
+    rows = []
+    for i in range(200):
+        own = "".join(chr(0x4E00 + 7 * i + k) for k in range(5))
+        rows += [(f"l{i:03}", f"ab {own} {own[::-1]} common"), (f"l{i:03}", f"{own} {own} 12 x{i}")]
+    return rows
+
+
+def test_two_hundred_languages_equal_a_plain_scorer(spark, monkeypatch):
+    monkeypatch.setattr(language, "BLOCK", 300)
+    rows = many_languages()
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.learn(docs, F.lit(True))
+    assert isinstance(model, language.SparseModel) and len(model.languages) == 200
+
+    def buckets(text):
+        return [int(b) for _, part in language.grams([text]) for b in part]
+
+    counts = {}
+    for lang, text in rows:
+        counts.setdefault(lang, Counter()).update(buckets(text))
+    size = 1 << language.BUCKET_BITS
+    asked = ["ab common", rows[77][1], "", "12", rows[300][1] * 40, "x9 x10"]
+    found, scores = model.predict(asked)
+    for text, got, score in zip(asked, found, scores, strict=True):
+        raw = {
+            lang: math.log(2 / 400) + sum(math.log((have[b] + 0.5) / (sum(have.values()) + 0.5 * size)) for b in buckets(text))
+            for lang, have in counts.items()
+        }
+        if not any(c.isalpha() for c in text):
+            assert (got, score) == ("und", 0)
+            continue
+        assert raw[got] >= max(raw.values()) - 1e-3
+        assert abs(score - 1 / sum(math.exp(v - max(raw.values())) for v in raw.values())) < 1e-3
+
+
+def test_both_forms_of_the_matrix_agree(spark, documents):
+    texts = [r.text or "" for r in documents.limit(60).collect()]
+    dense = language.learn(documents, F.lit(True))
+    place = {lang: i for i, lang in enumerate(dense.languages)}
+    rows = documents.where("lang is not null").select("text", "lang")
+    number = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    sparse = language.SparseModel(language._counts(rows, place), number)
+    (a, x), (b, y) = dense.predict(texts), sparse.predict(texts)
+    assert a == b
+    np.testing.assert_allclose(x, y, atol=1e-3)
+
+
 def test_odd_rows_and_no_rows(odd_documents, no_documents):
     model = language.learn(odd_documents, F.lit(True))
     rows = language.predict(odd_documents, model, keep=("doc_id", "text")).collect()
@@ -66,4 +115,4 @@ def test_odd_rows_and_no_rows(odd_documents, no_documents):
     assert language.predict(no_documents, model).count() == 0
     assert language.learn(no_documents, F.lit(True)) is None
     assert {r.lang_pred for r in language.predict(odd_documents, None).collect()} == {"und"}
-    assert isinstance(language._counts(odd_documents.where("lang = 'en'")), pa.Table)
+    assert isinstance(language._counts(odd_documents.where("lang = 'en'"), {"en": 0}), pa.Table)
