@@ -2,7 +2,9 @@
 
 Side A is a byte-level BPE of the `tokenizers` library, side B a sentencepiece model that puts a
 space before the text; A is given that space, so both cut the same bytes. Each batch lays the
-tokens of its documents out by byte offset. Two `merge_asof` joins, keyed by document, give every
+tokens of its documents out by byte offset. Tokens are looked up by segment: where both models let
+no token reach over a single space between two other characters, a text is cut there, and a worker
+encodes each distinct segment once with both libraries, keeping a bounded table. Two `merge_asof` joins, keyed by document, give every
 token's start the other side's token that covers it; both directions together are the overlapping
 pairs. A pair with equal ends closes a group: the least run of whole tokens that both sides share.
 Links are all pairs of an A and a B token of one group.
@@ -20,8 +22,12 @@ table gives an empty result. Only the named columns are read, so no other can cl
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
@@ -33,11 +39,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import pick, slices
+from starmill.llm.pieces import Codec
 from starmill.operators.skew import join_counted
 from starmill.session import materialise
 
 #: A link's two ids and the document's place in its batch share 64 bits.
 ID_BITS = 21
+#: Where texts are cut, if the models allow it.
+CUT = re.compile(r" (?<=\S )(?=\S)")
+#: A worker's table of segments is emptied when it holds so many, and a segment of more characters leaves it at once.
+TABLE_ENTRIES, KEPT_CHARS = 300_000, 64
+#: Rows and bytes of text that are laid out at once: an encoding takes some hundred times its text.
+BATCH_ROWS, BATCH_BYTES = 512, 1 << 18
 #: Groups with more links than this are reduced to distinct ids before their links are formed.
 WIDE = 4096
 #: Pairs that hold more than one in so many rows are met by broadcast; there are fewer than so many.
@@ -61,17 +74,18 @@ def byte_alphabet() -> dict[str, int]:
 class Side:
     """One tokenizer in a task: ids of texts, and the bytes and digits of every id."""
 
-    encode: object
-    spelled: np.ndarray
+    encode: Callable[[list[str]], list[list[int]]]
+    spelled: list[bytes]
     length: np.ndarray
 
     @staticmethod
-    def of(encode, entries: list[bytes]) -> Side:
+    def of(encode: Callable[[list[str]], list[list[int]]], entries: list[bytes]) -> Side:
         if len(entries) > 1 << ID_BITS:
             raise ValueError(f"vocabularies have up to {1 << ID_BITS} ids")
-        spelled = np.empty(len(entries), object)
-        spelled[:] = entries
-        return Side(encode, spelled, np.array([len(e) for e in entries], "int64"))
+        return Side(encode, entries, np.array([len(e) for e in entries], "int64"))
+
+    def bytes_of(self, ids: list[int]) -> bytes:
+        return b"".join([self.spelled[i] for i in ids])
 
 
 @lru_cache(maxsize=2)
@@ -118,48 +132,123 @@ class Tokens:
     doc: np.ndarray
 
 
-def _laid_out(side: Side, ids: list[list[int]]) -> Tokens:
-    flat = np.fromiter(chain.from_iterable(ids), "int64", sum(map(len, ids)))
+def _laid_out(side: Side, packed: list[bytes], doc: np.ndarray) -> Tokens:
+    """Tokens of segments one after another; `doc` is the place of each segment's document."""
+    flat = np.frombuffer(b"".join(packed), "int32").astype("int64")
     end = np.cumsum(side.length[flat])
-    doc = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-    return Tokens(flat, end - side.length[flat], end, doc)
-
-
-def _spells(side: Side, ids: list[int], text: bytes) -> bool:
-    return b"".join(side.spelled[ids]) == text
+    sizes = np.fromiter(map(len, packed), "int64", len(packed)) >> 2
+    return Tokens(flat, end - side.length[flat], end, np.repeat(doc, sizes))
 
 
-def encoded(texts: list[str], a: Side, b: Side) -> tuple[list[list[int]], list[list[int]]]:
-    """Ids of both sides; none where a text is empty or either side does not spell it."""
-    full = [i for i, text in enumerate(texts) if text]
-    a_ids, b_ids = [[] for _ in texts], [[] for _ in texts]
-    some = [texts[i] for i in full]
-    for i, left, right in zip(full, a.encode(some), b.encode(some), strict=True):
-        text = f" {texts[i]}".encode()
-        if _spells(a, left, text) and _spells(b, right, text):
-            a_ids[i], b_ids[i] = left, right
-    return a_ids, b_ids
+def may_cut(byte_model: bytes, piece_model: bytes) -> bool:
+    """Whether both models encode the two sides of a place where CUT matches independently.
 
-
-def overlaps(a: Tokens, b: Tokens) -> pd.DataFrame:
-    """Overlapping tokens `a`, `b` (places in the batch) with `doc` and the byte `at` where their overlap starts, by `at`."""
+    The byte-level pattern starts a word at such a space and ends the one before it. The piece model
+    must leave texts as they are, put a space before them, and have no piece with a space mark after another character.
+    """
+    made = json.loads(byte_model)
+    split = made["pre_tokenizer"] or {}
+    by_words = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not made["normalizer"]
+    if not by_words or not all(token["special"] for token in made["added_tokens"]):
+        return False
+    try:
+        codec = Codec(piece_model)
+    except ValueError:
+        return False
+    return codec.spaced and codec.prefix
+
+
+_may_cut = lru_cache(maxsize=2)(may_cut)
+#: Per pair of models the packed ids of segments on either side, as a worker keeps them over its tasks.
+_TABLES: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+
+
+def _shared_out(side: Side, segments: list[str], ends: np.ndarray) -> list[bytes] | None:
+    """Packed ids of each segment from those of all as one text; None if its tokens do not spell it."""
+    text = " ".join(segments)
+    ids = side.encode([text])[0]
+    if side.bytes_of(ids) != f" {text}".encode():
+        return None
+    reached = np.cumsum(side.length[ids])
+    last = np.searchsorted(reached, ends)
+    if not np.array_equal(reached[last], ends):
+        return None
+    packed, cuts = array("i", ids).tobytes(), (4 * (last + 1)).tolist()
+    return [packed[i:j] for i, j in zip([0, *cuts], cuts)]
+
+
+class Encoder:
+    """Tokens of both sides for batches of texts."""
+
+    def __init__(self, byte_model: bytes, piece_model: bytes, cut: bool | None = None):
+        self.a, self.b = byte_side(byte_model), piece_side(piece_model)
+        self.cut = _may_cut(byte_model, piece_model) if cut is None else cut
+        self.table = _TABLES.setdefault(hashlib.sha256(byte_model + piece_model).hexdigest(), ({}, {}))
+
+    def _learn(self, new: list[str]) -> set[str]:
+        """Put the packed ids of segments into the table; those that a side does not spell have none and are returned.
+
+        Segments that may stand side by side go through the libraries as one text, whose tokens end where they do.
+        """
+        plain = [s for s in new if self.cut and "▁" not in s and not s[0].isspace() and not s[-1].isspace()]
+        sizes = np.fromiter((len(s.encode()) + 1 for s in plain), "int64", len(plain))
+        sides = [_shared_out(side, plain, np.cumsum(sizes)) for side in (self.a, self.b)] if plain else []
+        if plain and None not in sides:
+            for table, packed in zip(self.table, sides, strict=True):
+                table.update(zip(plain, packed, strict=True))
+            new = [s for s in new if s not in self.table[0]]
+        spoilt = set()
+        for segment, x, y in zip(new, self.a.encode(new), self.b.encode(new), strict=True):
+            text = f" {segment}".encode()
+            if self.a.bytes_of(x) != text or self.b.bytes_of(y) != text:
+                spoilt.add(segment)
+                x = y = []
+            self.table[0][segment], self.table[1][segment] = array("i", x).tobytes(), array("i", y).tobytes()
+        return spoilt
+
+    def tokens(self, texts: list[str]) -> tuple[Tokens, Tokens]:
+        """Of both sides; none where a text is empty or a side does not spell it."""
+        parts = [(CUT.split(text) if self.cut else [text]) if text else [] for text in texts]
+        flat = list(chain.from_iterable(parts))
+        distinct = set(flat)
+        new = [s for s in distinct if s not in self.table[0]]
+        spoilt = self._learn(new)
+        if spoilt:
+            parts = [[] if spoilt.intersection(part) else part for part in parts]
+            flat = list(chain.from_iterable(parts))
+        doc = np.repeat(np.arange(len(texts)), [len(part) for part in parts])
+        sides = tuple(
+            _laid_out(side, [table[s] for s in flat], doc) for side, table in zip((self.a, self.b), self.table, strict=True)
+        )
+        for table in self.table:
+            # what is not spelled, or long, is found out anew each time
+            for s in [s for s in new if len(s) > KEPT_CHARS or s in spoilt]:
+                del table[s]
+            if len(table) > TABLE_ENTRIES:
+                table.clear()
+        return sides
+
+
+def overlaps(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Overlapping tokens of A and B as places in the batch, in order of the byte where their overlap starts."""
     left = pd.DataFrame({"at": a.start, "doc": a.doc, "a": np.arange(len(a.ids))})
     right = pd.DataFrame({"at": b.start, "doc": b.doc, "b": np.arange(len(b.ids))})
-    of_a = pd.merge_asof(left, right, on="at", by="doc")
-    of_b = pd.merge_asof(right, left, on="at", by="doc")
+    of_a = pd.merge_asof(left, right, on="at", by="doc")["b"].to_numpy()
+    of_b = pd.merge_asof(right, left, on="at", by="doc")["a"].to_numpy()
     # a pair whose tokens start together is found from both directions
-    of_b = of_b[a.start[of_b["a"].to_numpy()] != of_b["at"].to_numpy()]
-    return pd.concat([of_a, of_b]).sort_values("at", kind="stable", ignore_index=True)
+    late = np.flatnonzero(a.start[of_b] != b.start)
+    order = np.argsort(np.r_[a.start, b.start[late]], kind="stable")
+    return np.r_[left["a"].to_numpy(), of_b[late]][order], np.r_[of_a, late][order]
 
 
-def grouped(a: Tokens, b: Tokens, pairs: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def grouped(a: Tokens, b: Tokens, pairs: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The group of every A and every B token, and the document of every group."""
-    left, right = pairs["a"].to_numpy(), pairs["b"].to_numpy()
+    left, right = pairs
     closing = a.end[left] == b.end[right]
     group = np.cumsum(closing) - closing
     a_group, b_group = np.empty(len(a.ids), "int64"), np.empty(len(b.ids), "int64")
     a_group[left], b_group[right] = group, group
-    return a_group, b_group, pairs["doc"].to_numpy()[closing]
+    return a_group, b_group, a.doc[left[closing]]
 
 
 def _expanded(a_ids: np.ndarray, b_ids: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -213,10 +302,9 @@ def shown(a: Tokens, b: Tokens, a_group: np.ndarray, b_group: np.ndarray, docs:
     return ["".join(words[i:j])[:-1] for i, j in zip(np.r_[0, ends[:-1]], ends, strict=True)]
 
 
-def align_batch(texts: list[str], a: Side, b: Side) -> list[pa.Array]:
+def align_batch(texts: list[str], encoder: Encoder) -> list[pa.Array]:
     """The columns of SCHEMA for a batch of texts."""
-    a_ids, b_ids = encoded(texts, a, b)
-    left, right = _laid_out(a, a_ids), _laid_out(b, b_ids)
+    left, right = encoder.tokens(texts)
     pairs = overlaps(left, right)
     a_group, b_group, group_doc = grouped(left, right, pairs)
     keys, times = links(left, right, a_group, b_group, group_doc)
@@ -233,9 +321,9 @@ def align_batch(texts: list[str], a: Side, b: Side) -> list[pa.Array]:
         pa.array(per_doc(left.doc)),
         pa.array(per_doc(right.doc)),
         pa.array(per_doc(group_doc)),
-        pa.array(per_doc(pairs["doc"].to_numpy())),
+        pa.array(per_doc(left.doc[pairs[0]])),
         pa.array(per_doc(link_doc, times)),
-        pa.array(shown(left, right, a_group, b_group, docs, max(len(a.length), len(b.length))), pa.string()),
+        pa.array(shown(left, right, a_group, b_group, docs, max(len(encoder.a.length), len(encoder.b.length))), pa.string()),
         pa.ListArray.from_arrays(pa.array(offsets.astype("int32")), linked),
     ]
 
@@ -249,9 +337,9 @@ def align(docs: DataFrame, byte_model: bytes, piece_model: bytes, doc_id: str =
     names = ["doc_id", *(part.split()[0] for part in SCHEMA.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = byte_side(byte_model), piece_side(piece_model)
-        for batch in slices(batches):
-            columns = align_batch(batch.column(1).to_pylist(), a, b)
+        encoder = Encoder(byte_model, piece_model)
+        for batch in slices(batches, BATCH_ROWS, BATCH_BYTES):
+            columns = align_batch(batch.column(1).to_pylist(), encoder)
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
     rows = pick(docs, doc_id, text)

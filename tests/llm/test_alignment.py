@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -93,18 +94,29 @@ def test_texts_that_a_side_does_not_spell_have_no_tokens(spark):
 
 
 def test_wide_groups_count_the_same_links(monkeypatch):
-    sides = alignment.byte_side(MODELS[0]), alignment.piece_side(MODELS[1])
+    sides = (alignment.Encoder(*MODELS),)
     texts = ["internationalisation of antidisestablishmentarianism " * 3, "", "ÄÖÜäöü ßẞ œuvre 日本語日本語 x"]
     whole = alignment.align_batch(texts, *sides)
     monkeypatch.setattr(alignment, "WIDE", 1)
     assert [c.to_pylist() for c in alignment.align_batch(texts, *sides)] == [c.to_pylist() for c in whole]
 
 
+def test_cutting_a_text_changes_no_token(documents):
+    assert alignment.may_cut(*MODELS)
+    spaces = [" ", "  ", "\t", "\n ", " \n", "\u00a0", "\u3000", "\x1c", "\x85", "\u200b", " \u0301", " '", "' ", " 's ", "'s 't"]
+    words = ["a", "Über", "12", "...", "'s", "😀", "日本", "x" * 90, "é", "<s>", "<0x41>", "<|endoftext|>", "_", "\x00", "1a", "ﬁ"]
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(words) + rng.choice(spaces) for _ in range(rng.randrange(1, 30))) for _ in range(2000)]
+    texts += ["a▁b next", "before a▁ after", *(r.text or "" for r in documents.limit(150).collect())]
+    cut, whole = (alignment.Encoder(*MODELS, cut=c).tokens(texts + texts[:50]) for c in (True, False))
+    for x, y in zip(cut, whole, strict=True):
+        assert np.array_equal(x.ids, y.ids) and np.array_equal(x.doc, y.doc) and np.array_equal(x.end, y.end)
+
+
 def test_overlaps_are_all_pairs_that_share_a_byte():
-    sides = alignment.byte_side(MODELS[0]), alignment.piece_side(MODELS[1])
     texts = ["Straßenverkehrsordnung naïve coöperate", "", "x", "日本語 text"]
-    a, b = (alignment._laid_out(s, ids) for s, ids in zip(sides, alignment.encoded(texts, *sides), strict=True))
-    found = {(int(r.a), int(r.b)) for r in alignment.overlaps(a, b).itertuples()}
+    a, b = alignment.Encoder(*MODELS).tokens(texts)
+    found = set(zip(*(side.tolist() for side in alignment.overlaps(a, b)), strict=True))
     expected = {
         (i, j) for i in range(len(a.ids)) for j in range(len(b.ids)) if a.start[i] < b.end[j] and b.start[j] < a.end[i]
     }
