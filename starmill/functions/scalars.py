@@ -42,3 +42,9 @@ def describe(*levels: Column) -> Column:
 
 def all_not_null(columns: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in columns])
+
+
+def collated(column: Column | str, collation: str | None) -> Column:
+    """A text as a key that sorts and compares by the collation's rules, such as `UNICODE` or `es`; as it is without one."""
+    text = F.col(column) if isinstance(column, str) else column
+    return F.collate(text, collation) if collation else text

@@ -39,6 +39,7 @@ def rank_within(
     max_group: int | None = None,
 ) -> DataFrame:
     """RANK() of `measure` as BIGINT, largest first, inside each `by` group; ties share a rank, then a gap.
+    A collated text (`scalars.collated`) is ranked, and tied, by its collation.
 
     `df` has one row per (by, keys). With a proven bound on the rows of a group this is one
     window. Otherwise a group, however large, is spread over range partitions and ranked inside
@@ -66,7 +67,8 @@ def rank_within(
     carries = (
         ranges.withColumn("_ahead", F.coalesce(F.sum("_rows").over(in_order.rowsBetween(*_EARLIER)), F.lit(0)))
         .withColumn("_held", F.sum("_last_rows").over(tied.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_same", F.lag("_last").over(in_order).eqNullSafe(F.col("_first")))
+        .withColumn("_earlier", F.lag("_last").over(in_order))
+        .withColumn("_same", F.col("_earlier").eqNullSafe(F.col("_first")))
         .withColumn("_before", F.coalesce(F.lag("_held").over(in_order), F.lit(0)))
         .select(*here, "_ahead", F.when(F.col("_same"), F.col("_before")).otherwise(0).alias("_tied"))
     )
@@ -115,8 +117,8 @@ def share_where(
     )
 
 
-def top_n(df: DataFrame, measure: str, n: int, tie_break: Sequence[str]) -> DataFrame:
-    """The `n` largest rows, ties decided by `tie_break`."""
+def top_n(df: DataFrame, measure: str, n: int, tie_break: Sequence[str | Column]) -> DataFrame:
+    """The `n` largest rows, ties decided by `tie_break`, which may be collated keys."""
     return df.orderBy(F.col(measure).desc_nulls_first(), *tie_break).limit(n)
 
 

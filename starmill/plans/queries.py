@@ -1,6 +1,7 @@
 """The named questions over a star, as thin uses of the operators.
 
-Each returns a DataFrame in the order the question asks for.
+Each returns a DataFrame in the order the question asks for. Where names decide it, `collation` names
+the rules they are compared by, such as `es`; without one they are compared by code point.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmill.functions.scalars import collated
 from starmill.operators.analytics import (
     change_from_previous,
     percentiles,
@@ -33,14 +35,14 @@ def table_counts(star: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def rank_by_period(star: Star, leaf: str, total: str = "total_feminicidios") -> DataFrame:
+def rank_by_period(star: Star, leaf: str, total: str = "total_feminicidios", collation: str | None = None) -> DataFrame:
     """Entities ranked by one leaf category, year by year."""
     sums = star.per_entity(TIME, CATEGORY, by=["anio"], where=F.col("subtipo_delito") == leaf)
     yearly = totals(sums, ["nombre_entidad", "anio"], MEASURE, total)
     # A year ranks each entity once; the dimension's row count comes from file footers.
     entities = star.dim_entidad.count()
     ranked = rank_within(yearly, ["anio"], ["nombre_entidad"], total, "ranking_anual", entities)
-    return ranked.orderBy("anio", "ranking_anual", "nombre_entidad")
+    return ranked.orderBy("anio", "ranking_anual", collated("nombre_entidad", collation))
 
 
 def flagged_by_year(star: Star) -> DataFrame:
@@ -49,7 +51,7 @@ def flagged_by_year(star: Star) -> DataFrame:
     return totals(sums, ["nombre_entidad", "anio"], MEASURE, "total")
 
 
-def yoy_change(star: Star, consecutive: bool = False) -> DataFrame:
+def yoy_change(star: Star, consecutive: bool = False, collation: str | None = None) -> DataFrame:
     """Change of the flagged categories from year to year, per entity."""
     changed = change_from_previous(
         flagged_by_year(star),
@@ -61,10 +63,10 @@ def yoy_change(star: Star, consecutive: bool = False) -> DataFrame:
         "pct_cambio",
         consecutive,
     )
-    return changed.orderBy(F.desc_nulls_last("pct_cambio"), "nombre_entidad", "anio")
+    return changed.orderBy(F.desc_nulls_last("pct_cambio"), collated("nombre_entidad", collation), "anio")
 
 
-def lethal_share(star: Star) -> DataFrame:
+def lethal_share(star: Star, collation: str | None = None) -> DataFrame:
     """Share of the flagged categories in each entity's total."""
     shares = share_where(
         star.per_entity(CATEGORY, by=["es_letal"]),
@@ -75,7 +77,7 @@ def lethal_share(star: Star) -> DataFrame:
         "delitos_letales",
         "pct_letal",
     )
-    return shares.orderBy(F.desc_nulls_first("pct_letal"), "nombre_entidad")
+    return shares.orderBy(F.desc_nulls_first("pct_letal"), collated("nombre_entidad", collation))
 
 
 def percentile_by_group(star: Star) -> DataFrame:
@@ -92,16 +94,16 @@ def percentile_approx_by_group(star: Star, accuracy: int = 10_000) -> DataFrame:
     return spread.orderBy(F.desc_nulls_first("p90_mensual"), "subtipo_delito")
 
 
-def map_totals(star: Star, total: str = "total_victimas") -> DataFrame:
+def map_totals(star: Star, total: str = "total_victimas", collation: str | None = None) -> DataFrame:
     """Total per entity with its region."""
     by_entity = totals(star.per_entity(), ["nombre_entidad", "region"], MEASURE, total)
-    return by_entity.orderBy(F.desc_nulls_first(total), "nombre_entidad")
+    return by_entity.orderBy(F.desc_nulls_first(total), collated("nombre_entidad", collation))
 
 
-def top_n_total(star: Star, n: int = 10) -> DataFrame:
+def top_n_total(star: Star, n: int = 10, collation: str | None = None) -> DataFrame:
     """The entities with the largest totals."""
     by_entity = totals(star.per_entity(), ["nombre_entidad", "region"], MEASURE, "total_acumulado")
-    return top_n(by_entity, "total_acumulado", n, ["nombre_entidad"])
+    return top_n(by_entity, "total_acumulado", n, [collated("nombre_entidad", collation)])
 
 
 def by_month(star: Star, leaf: str) -> DataFrame:
@@ -118,6 +120,6 @@ def monthly_series(star: Star, leaf: str) -> DataFrame:
     return by_month(star, leaf).orderBy("anio", "mes")
 
 
-def yearly_by_category(star: Star) -> DataFrame:
+def yearly_by_category(star: Star, collation: str | None = None) -> DataFrame:
     """Total per year and leaf category."""
-    return by_year_and_category(star).orderBy("anio", "subtipo_delito")
+    return by_year_and_category(star).orderBy("anio", collated("subtipo_delito", collation))

@@ -1,7 +1,12 @@
 """The order each question asks for, with ties and NULLs."""
 
+from dataclasses import replace
+
 import pytest
+from pyspark.sql import functions as F
 
+from starmill.functions.scalars import collated
+from starmill.operators import analytics
 from starmill.plans import queries
 from starmill.plans.star import Star
 
@@ -70,3 +75,26 @@ def test_series_run_through_time(star):
     assert column(queries.monthly_series(star, "lethal"), "anio", "mes") == [(2019, 1), (2020, 1), (2020, 2)]
     found = column(queries.yearly_by_category(star), "anio", "subtipo_delito")
     assert found == [(2019, "harm"), (2019, "late"), (2019, "lethal"), (2020, "harm"), (2020, "lethal")]
+
+
+def test_names_compare_by_a_collation(spark, star):
+    names = {"Bare": "violeta", "East": "Ávila", "North": "Zeta", "South": "ñandú", "West": "nube"}
+    renamed = star.dim_entidad.replace(names, subset=["nombre_entidad"])
+    flat = star.fact_victimas.withColumn("num_victimas", F.lit(1))
+    one_each = flat.dropDuplicates(["id_entidad"]).withColumn("id_delito", F.lit(1)).withColumn("id_tiempo", F.lit(1))
+    tied = replace(star, dim_entidad=renamed, fact_victimas=one_each)
+    spanish = ["Ávila", "nube", "ñandú", "violeta", "Zeta"]
+    for ask in (queries.map_totals, queries.top_n_total, queries.lethal_share, queries.yoy_change):
+        assert [n for (n,) in column(ask(tied, collation="es"), "nombre_entidad")] == spanish
+        assert [n for (n,) in column(ask(tied), "nombre_entidad")] == sorted(spanish)
+    found = queries.rank_by_period(tied, "lethal", collation="es")
+    assert [n for (n,) in column(found, "nombre_entidad")] == spanish
+
+
+@pytest.mark.parametrize("rows_in_one_task", [0, 1_000_000])
+def test_texts_rank_by_a_collation(spark, monkeypatch, rows_in_one_task):
+    monkeypatch.setattr(analytics, "ONE_TASK_ROWS", rows_in_one_task)
+    words = ["violeta", "Ávila", "avila", "AVILA", "ñandú", "nube", "Zeta", None]
+    df = spark.createDataFrame([("g", w) for w in words], "g string, w string").withColumn("k", collated("w", "UNICODE_CI"))
+    found = {r.w: r.r for r in analytics.rank_within(df, ["g"], ["w"], "k", "r", 8).collect()}
+    assert found == {None: 1, "Zeta": 2, "violeta": 3, "nube": 4, "ñandú": 5, "Ávila": 6, "avila": 7, "AVILA": 7}

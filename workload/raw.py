@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.functions.scalars import lookup
+from starmill.functions.scalars import collated, lookup
 from starmill.operators.analytics import (
     change_from_previous,
     percentiles,
@@ -138,6 +138,14 @@ def filter_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_listed(lines, "l_partkey", catalogue)
 
 
+def collated_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First words of documents ranked per language by the rules of Spanish, last ones first."""
+    word = F.regexp_extract("text", r"^\p{L}+", 0)
+    words = table(spark, sf_dir, "documents").select("lang", word.alias("palabra")).where("lang IS NOT NULL AND palabra <> ''").distinct()
+    keyed = words.withColumn("clave", collated("palabra", "es"))
+    return rank_within(keyed, ["lang"], ["palabra"], "clave", "lugar").drop("clave")
+
+
 def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders numbered 1..n by customer and order."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")

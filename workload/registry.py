@@ -198,6 +198,7 @@ REGISTRY: dict[str, Query] = {
     "percentile_decimal_raw": on_tables(raw.percentile_of_decimal),
     "percentile_double_raw": raw.percentile_of_double,
     "percentile_wide_decimal_raw": on_tables(raw.percentile_of_wide_decimal),
+    "collated_rank_raw": raw.collated_rank,
     "monthly_series_raw": raw.monthly_series,
     "grain_rollup_raw": raw.grain_rollup,
     "grain_rollup_unpivot_first_raw": raw.grain_rollup_unpivot_first,
