@@ -260,7 +260,8 @@ def taken(mix: Plan) -> DataFrame:
 
 
 def mixed(docs: DataFrame, mix: Plan, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """The rows of the mix: every column of `docs`, and `shard`; a row appears once per draw.
+    """The rows of the mix: every column of `docs`, and `shard` unless `docs` has a column of that name,
+    in upper or lower case; a row appears once per draw.
 
     Rows meet their blocks by broadcast and are moved once, to their shards; within a shard they
     stand in the order of a hash.
@@ -278,4 +279,4 @@ def mixed(docs: DataFrame, mix: Plan, doc_id: str = "doc_id", source: str = "sou
     order = F.xxhash64(F.lit(mix.seed), F.col("d.epoch"), F.col("key"))
     dealt = found.select("row", F.col("d.shard").alias("shard"), order.alias("order"))
     dealt = dealt.repartitionById(mix.shards, "shard").sortWithinPartitions("shard", "order")
-    return dealt.select("row.*", *([] if "shard" in docs.columns else ["shard"]))
+    return dealt.select("row.*", *([] if "shard" in map(str.lower, docs.columns) else ["shard"]))

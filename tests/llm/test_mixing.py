@@ -104,3 +104,10 @@ def test_shards_are_spread_and_shuffled(documents):
 def test_no_rows(no_documents):
     mix = mixing.plan(no_documents)
     assert mixing.taken(mix).count() == 0 and mixing.mixed(no_documents, mix).count() == 0
+
+
+def test_a_column_that_differs_from_shard_in_case_only(odd_documents):
+    docs = odd_documents.drop("shard", "size").withColumns({"Shard": F.lit("mine"), "SIZE": F.lit("mine")})
+    rows = mixing.mixed(docs, mixing.plan(docs))
+    assert rows.columns == docs.columns
+    assert {(r["Shard"], r["SIZE"]) for r in rows.select("Shard", "SIZE").collect()} <= {("mine", "mine")}
