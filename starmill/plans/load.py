@@ -14,6 +14,10 @@ from starmill.plans.star import FACT, TABLES, Star
 from starmill.session import materialise
 
 
+#: Between a result's path and a unique ending, while a new result takes its place.
+_ASIDE = ".aside-"
+
+
 def load_star(star: Star, base: str, check: Callable[[Star], object] | None = None) -> Star:
     """Replace the star stored under `base` and return it as read back.
 
@@ -114,7 +118,8 @@ def export_csv(df: DataFrame, path: str) -> None:
     For results a dashboard reads: a report-sized one is one file. The file is complete before it
     takes the place of an earlier one, which a failed export leaves as it was.
     """
-    spark = df.sparkSession
+    spark, path = df.sparkSession, path.rstrip("/")
+    _restore(spark, path)
     line = F.to_csv(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"nullValue": ""})
     lines = materialise(df.select(F.monotonically_increasing_id().alias("at"), line.alias("value")), "export")
     header = F.lit(",".join('"' + c.replace('"', '""') + '"' for c in df.columns))
@@ -124,20 +129,48 @@ def export_csv(df: DataFrame, path: str) -> None:
     else:
         headed = F.when(F.col("at") == first, F.array(header, "value")).otherwise(F.array("value"))
         text = lines.orderBy("at").select(F.explode(headed).alias("value"))
-    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    fresh = f"{path}.{uuid.uuid4().hex}"
     text.write.text(fresh, lineSep="\r\n")
     _replace(spark, fresh, path)
 
 
+def _move(system, source, target) -> None:
+    if not system.rename(source, target):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _restore(spark: SparkSession, path: str) -> None:
+    """Bring back a result that an export had set aside when its process ended."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        left = system.globStatus(hadoop.Path(f"{path}{_ASIDE}*"))
+        if left:
+            _move(system, left[0].getPath(), place)
+
+
 def _replace(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the folder `fresh` in the place of `path`."""
+    """Put the folder `fresh` in the place of `path`: the earlier one is set aside, and deleted last.
+
+    If the second step fails the first is undone; if the process ends between them the next export undoes it.
+    """
     hadoop = spark._jvm.org.apache.hadoop.fs
-    new, old = hadoop.Path(fresh), hadoop.Path(path)
+    new, old, aside = hadoop.Path(fresh), hadoop.Path(path), hadoop.Path(f"{path}{_ASIDE}{uuid.uuid4().hex}")
     system = new.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.delete(old, True)
-    system.mkdirs(old.getParent())
-    if not system.rename(new, old):
-        raise OSError(f"cannot move {fresh} to {path}")
+    had = system.exists(old)
+    if had:
+        _move(system, old, aside)
+    else:
+        system.mkdirs(old.getParent())
+    try:
+        _move(system, new, old)
+    except BaseException:
+        if had:
+            _move(system, aside, old)
+        raise
+    if had:
+        system.delete(aside, True)
 
 
 def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:

@@ -8,7 +8,7 @@ from wide_rows import CONFIG, frame, full, row
 
 from starmill import job
 from starmill.operators import quality
-from starmill.plans import queries, validate
+from starmill.plans import load, queries, validate
 from starmill.plans.build import build_grain, build_star, rolled_up
 from starmill.plans.load import (
     append_star,
@@ -166,6 +166,33 @@ def test_a_failed_export_leaves_the_earlier_one(spark, tmp_path):
     assert next((tmp_path / "kept").glob("part-*")).read_bytes() == b'"x","y"\r\n"a,b",\r\n'
 
 
+def test_a_swap_that_fails_halfway_is_undone(spark, tmp_path, monkeypatch):
+    path, first = tmp_path / "kept", b'"x"\r\n1\r\n'
+    one, two = (spark.createDataFrame([(i,)], "x int") for i in (1, 2))
+    export_csv(one, str(path))
+    moves, move = [], load._move
+
+    def fails_second(*args):
+        moves.append(args)
+        if len(moves) == 2:
+            raise OSError("planted")
+        move(*args)
+
+    monkeypatch.setattr(load, "_move", fails_second)
+    with pytest.raises(OSError, match="planted"):
+        export_csv(two, str(path))
+    assert len(moves) == 3 and next(path.glob("part-*")).read_bytes() == first
+    monkeypatch.setattr(load, "_move", move)
+
+    path.rename(tmp_path / "kept.aside-x")  # as if the process had ended there
+    with pytest.raises(Exception, match="broken"):
+        export_csv(spark.range(1).select(F.raise_error(F.lit("broken")).alias("x")), str(path))
+    assert next(path.glob("part-*")).read_bytes() == first
+    export_csv(two, str(path))
+    assert next(path.glob("part-*")).read_bytes() == b'"x"\r\n2\r\n'
+    assert not list(tmp_path.glob("kept.aside*"))
+
+
 def test_old_versions_are_dropped_on_request(spark, star, tmp_path):
     base = str(tmp_path / "v")
     for _ in range(3):
