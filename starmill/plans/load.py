@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.plans import versions
-from starmill.plans.star import FACT, TABLES, Star
+from starmill.plans.star import DIMENSIONS, FACT, TABLES, YEAR, Star
 from starmill.session import materialise
 
 
@@ -46,17 +46,26 @@ def append_star(star: Star, path: str) -> None:
 
     The fact goes in period order, so each file and row group covers few periods and a time
     slice skips the others. Time ids are dense, so a row's place follows from its id: nothing is
-    sampled and the fact is evaluated once.
+    sampled and the fact is evaluated once. Its files lie in one folder per year, so a filter on
+    time reads the folders of its years only; a row of an unknown period lies in a folder of its own.
     """
     parts = int(star.fact_victimas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first, periods = star.dim_tiempo.agg(F.min("id_tiempo"), F.count(F.lit(1))).first()
-    fact = in_period_order(star.fact_victimas, max(1, periods), parts, first or 1)
-    for name, table in replace(star, fact_victimas=fact).tables().items():
-        table.write.mode("append").parquet(f"{path}/{name}")
+    for name in DIMENSIONS:
+        star.tables()[name].write.mode("append").parquet(f"{path}/{name}")
+    # a calendar has at most twelve rows for each value of a SMALLINT
+    years = F.broadcast(star.dim_tiempo.select("id_tiempo", F.col("anio").cast("int").alias(YEAR)))
+    fact = star.fact_victimas.drop(YEAR).join(years, "id_tiempo", "left").select(*star.fact_victimas.drop(YEAR).columns, YEAR)
+    writer = in_period_order(fact, max(1, periods), parts, first or 1, YEAR).write.mode("append")
+    # without periods there are no rows and no folders, and a file must say what the columns are
+    (writer.partitionBy(YEAR) if periods else writer).parquet(f"{path}/{FACT}")
 
 
-def in_period_order(fact: DataFrame, periods: int, parts: int, first: int = 1) -> DataFrame:
-    """About `parts` partitions of neighbouring periods, counted from id `first`; a period larger than one is several, by hash."""
+def in_period_order(fact: DataFrame, periods: int, parts: int, first: int = 1, *before: str) -> DataFrame:
+    """About `parts` partitions of neighbouring periods, counted from id `first`; a period larger than one is several, by hash.
+
+    Rows are sorted by the columns `before`, then by period and id.
+    """
     slices = max(1, parts // periods)
     period = F.col("id_tiempo").cast("bigint") - first
     if slices > 1:
@@ -64,7 +73,7 @@ def in_period_order(fact: DataFrame, periods: int, parts: int, first: int = 1) -
     else:
         place, parts = F.floor(period * F.lit(min(parts, periods)) / F.lit(periods)), min(parts, periods)
     dealt = fact.repartitionById(parts, F.pmod(F.coalesce(place, F.lit(0)), F.lit(parts)).cast("int"))
-    return dealt.sortWithinPartitions("id_tiempo", "id_hecho")
+    return dealt.sortWithinPartitions(*before, "id_tiempo", "id_hecho")
 
 
 def append_jdbc(
@@ -77,7 +86,7 @@ def append_jdbc(
     connections and not the work before them.
     """
     for name, table in star.tables().items():
-        sent = table.drop("id_hecho", "fecha_carga") if name == FACT else table
+        sent = table.drop("id_hecho", "fecha_carga", YEAR) if name == FACT else table
         writer = materialise(sent, name).write.mode("append")
         writer = writer.option("batchsize", batch_rows).option("numPartitions", connections)
         writer.jdbc(url, f"{schema}.{name}", properties=properties)
@@ -89,8 +98,10 @@ def read_star(spark: SparkSession, base: str) -> Star:
 
 
 def read_tables(spark: SparkSession, *parts: str) -> Star:
-    """A star whose tables lie in one folder or several."""
-    return Star(**{name: spark.read.parquet(*(f"{part}/{name}" for part in parts)) for name in TABLES})
+    """A star whose tables lie in one folder or several; each has a fact with years of its own."""
+    tables = {name: spark.read.parquet(*(f"{part}/{name}" for part in parts)) for name in DIMENSIONS}
+    facts = [spark.read.parquet(f"{part}/{FACT}") for part in parts]
+    return Star(**tables, fact_victimas=reduce(DataFrame.unionByName, facts))
 
 
 def register_tables(spark: SparkSession, base: str, database: str) -> None:
@@ -107,6 +118,8 @@ def register_tables(spark: SparkSession, base: str, database: str) -> None:
             spark.sql(f"DROP {kind} {full}")
         if len(parts) == 1:
             spark.catalog.createTable(full, f"{parts[0]}/{name}", "parquet")
+            if name == FACT and spark.read.parquet(f"{parts[0]}/{name}").inputFiles():
+                spark.catalog.recoverPartitions(full)
         else:
             union = " UNION ALL ".join(f"SELECT * FROM parquet.`{part}/{name}`" for part in parts)
             spark.sql(f"CREATE VIEW {full} AS {union}")

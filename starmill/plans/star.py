@@ -20,6 +20,9 @@ IDS = {TIME: "id_tiempo", ENTITY: "id_entidad", CATEGORY: "id_delito", FACT: "id
 
 MEASURE = "num_victimas"
 
+# A stored fact lies in one folder per year, which reading shows as this column.
+YEAR = "anio_hecho"
+
 # A SMALLINT column (years, months, declared entity keys) has no more distinct values than this.
 SMALLINT_VALUES = 65_536
 
@@ -83,13 +86,20 @@ class Star:
         """The fact inner-joined with the named dimensions.
 
         Entities may be many and one of them may hold much of the fact, so hot entity ids are split
-        off. The other dimensions are bounded by the calendar and the catalogue.
+        off. The other dimensions are bounded by the calendar and the catalogue. A stored fact is
+        joined with time on its year too, so a comparison with any attribute of time leaves out, at run
+        time, the folders of years that it does not keep (Spark expects nothing of a bare flag).
         """
         wide = self.fact_victimas
+        if TIME not in dimensions and YEAR in wide.columns:
+            wide = wide.drop(YEAR)
         if ENTITY in dimensions:
             wide = named_entities(wide, self.dim_entidad)
         for name in dimensions:
-            if name != ENTITY:
+            if name == TIME and YEAR in wide.columns:
+                dated = self.dim_tiempo.withColumn(YEAR, F.col("anio").cast("int"))
+                wide = wide.join(dated, [IDS[TIME], YEAR], "inner").drop(YEAR)
+            elif name != ENTITY:
                 wide = wide.join(getattr(self, name), IDS[name], "inner")
         return wide
 
@@ -112,11 +122,14 @@ class Star:
 
         Time ids are dense in period order, so the slice is a range of ids. The range comes
         from two scalar subqueries over the time dimension and is pushed down to the fact
-        scan, which skips row groups because the fact is written in period order.
+        scan, which skips row groups because the fact is written in period order. The range of
+        years of a stored fact is found alike and names the folders that are read.
         """
         kept = self.dim_tiempo.where(F.col("periodo_label").between(first, last))
-        bounds = [kept.agg(edge("id_tiempo")).scalar() for edge in (F.min, F.max)]
-        fact = self.fact_victimas.where(F.col("id_tiempo").between(*bounds))
+        fact = self.fact_victimas
+        for at, name in (("id_tiempo", "id_tiempo"), ("anio", YEAR)):
+            if name in fact.columns:
+                fact = fact.where(F.col(name).between(*(kept.agg(edge(at)).scalar() for edge in (F.min, F.max))))
         return replace(self, dim_tiempo=kept, fact_victimas=fact)
 
     def create_views(self, prefix: str = "") -> None:

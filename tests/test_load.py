@@ -1,5 +1,6 @@
 """Scan, full refresh, export and the whole job."""
 
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -20,6 +21,7 @@ from starmill.plans.load import (
     read_tables,
     register_tables,
 )
+from starmill.plans.star import TIME
 from starmill.presets import CATEGORIES, REGIONS, STATE_INCIDENCE
 from starmill.session import materialise, shared_dir
 from starmill.sources.wide import profile, read_wide_csv, wide_schema, write_wide_csv
@@ -282,3 +284,47 @@ def test_written_intermediates_go_to_the_named_folder(spark):
     folder = shared_dir(spark)
     stored = materialise(spark.range(3), "t")
     assert all(folder.removeprefix("file:") in f for f in stored.inputFiles())
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _partition_filters(df):
+    scan = next(line for line in _plan(df).split("\n") if "FileScan parquet" in line and "num_victimas" in line)
+    return scan[scan.index("PartitionFilters: [") :].split("]")[0]
+
+
+def test_filters_on_time_choose_the_folders_of_the_fact(spark, star, tmp_path):
+    path = str(tmp_path / "y")
+    append_star(star, path)
+    stored = read_tables(spark, path)
+    by_year = stored.joined(TIME).where("anio = 2020")
+    by_label = stored.joined(TIME).where("periodo_label >= '2020-06'")
+    assert "dynamicpruning" in _partition_filters(by_year) and "dynamicpruning" in _partition_filters(by_label)
+    for kept, condition in ((by_year, "anio = 2020"), (by_label, "periodo_label >= '2020-06'")):
+        plain = star.joined(TIME).where(condition)
+        assert kept.columns == plain.columns
+        assert kept.drop("fecha_carga").exceptAll(plain.drop("fecha_carga")).count() == 0
+        assert kept.count() == plain.count() > 0
+    assert "anio_hecho" in _partition_filters(stored.sliced("2019-03", "2019-05").fact_victimas)
+
+
+def test_folders_of_an_appended_star_are_chosen_too(spark, star, tmp_path):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    append_star(star, one)
+    append_star(star_of(spark, [row(2021, 1, "North", "lethal", **full(5))]), two)
+    both = read_tables(spark, one, two).joined(TIME).where("anio = 2020")
+    scans = [line for line in _plan(both).split("\n") if "FileScan parquet" in line and "num_victimas" in line]
+    assert len(scans) == 2 and all("anio_hecho" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+
+
+def test_facts_of_unknown_periods_and_no_facts_are_stored(spark, star, tmp_path):
+    path, none = str(tmp_path / "u"), str(tmp_path / "n")
+    lost = replace(star, dim_tiempo=star.dim_tiempo.where("anio = 2019"))
+    append_star(lost, path)
+    stored = read_tables(spark, path)
+    assert stored.fact_victimas.count() == 36 and stored.joined(TIME).count() == 12
+    append_star(star_of(spark, []), none)
+    empty = read_tables(spark, none)
+    assert empty.joined(TIME).count() == 0 and empty.sliced("2019-01", "2019-12").fact_victimas.count() == 0

@@ -12,7 +12,7 @@ from starmill.operators.reshape import unpivot_periods
 from starmill.plans import build, derived, queries
 from starmill.plans.append import append_years
 from starmill.plans.load import export_csv, load_star, read_star
-from starmill.plans.star import CATEGORY, DIMENSIONS, FACT, MEASURE, Star
+from starmill.plans.star import CATEGORY, DIMENSIONS, FACT, MEASURE, TIME, YEAR, Star
 from starmill.presets import MONTHS
 from starmill.session import scratch_path
 from starmill.sources.wide import FAULTS, profile, read_wide_csv, read_wide_csv_marked, write_rejects, write_wide_csv
@@ -83,7 +83,15 @@ def load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "warehouse")
     load_star(star, base)
     load_star(star, base)
-    return read_star(spark, base).tables()[FACT].drop("fecha_carga")
+    return read_star(spark, base).tables()[FACT].drop("fecha_carga", YEAR)
+
+
+def stored_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored star under a filter on attributes of time, which chooses the folders that are read."""
+    base = scratch_path(spark, "warehouse")
+    load_star(built(spark, sf_dir).star, base)
+    rows = read_star(spark, base).joined(TIME).where("anio BETWEEN 1996 AND 1997 AND trimestre = 2")
+    return rows.groupBy("periodo_label").agg(F.sum(MEASURE).alias("total"), F.count(F.lit(1)).alias("filas"))
 
 
 def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +100,7 @@ def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     year, base = F.col(f"`{conf.year}`"), scratch_path(spark, "warehouse")
     load_star(build.build_star(build.build_grain(wide.where(year < APPENDED), conf), conf), base)
     append_years(wide.where(year >= APPENDED), base, conf)
-    return read_star(spark, base).tables()[FACT].drop("fecha_carga")
+    return read_star(spark, base).tables()[FACT].drop("fecha_carga", YEAR)
 
 
 def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,6 +188,7 @@ REGISTRY: dict[str, Query] = {
     "dq_catalog_coverage": checks.catalog_coverage,
     "dq_validated_load": checks.validated_load,
     "load_roundtrip": load_roundtrip,
+    "stored_by_time": stored_by_time,
     "append_roundtrip": append_roundtrip,
     "src_quarantine": quarantined,
     "export_roundtrip": export_roundtrip,
