@@ -128,3 +128,48 @@ def test_odd_rows_and_no_rows(odd_documents, no_documents):
     rows = pii.find(odd_documents).collect()
     assert len(rows) == odd_documents.count() and {r.spans for r in rows} == {""}
     assert pii.find(no_documents).count() == 0
+
+
+def shown(spark, rows):
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    return [[t[int(a) : int(b)] for _, a, b in (s.split(":") for s in got[i].split(",") if s)] for i, t in enumerate(rows)]
+
+
+def test_listed_endings_in_prose_are_not_added(spark):
+    real = [f"mail person{i}@site{i % 7}.org now" for i in range(100)]
+    got = shown(spark, ["he was at store.com today"] * 100 + real + ["write to jo (at) site (dot) org soon"] * 5)
+    assert got[:100] == [[]] * 100
+    assert all(len(x) == 1 for x in got[100:200]) and got[200:] == [["jo (at) site (dot) org"]] * 5
+    assert shown(spark, ["he was at store.com today"] * 100) == [[]] * 100
+    assert shown(spark, ["he was at store.com today"] * 100 + real[:1])[:100] == [[]] * 100
+
+
+def test_groups_of_digits_are_no_phones_without_a_word_for_it(spark):
+    prose = ["totals 0312 455 600 units"] * 300
+    assert shown(spark, prose) == [[]] * 300
+    got = shown(spark, prose + [f"call +49 30 123 {i:04d} now" for i in range(100)] + ["phone 0312 455 601 today"] * 10)
+    assert got[:300] == [[]] * 300 and all(len(x) == 1 for x in got[300:400])
+    assert got[400:] == [["0312 455 601"]] * 10
+
+
+def test_a_vote_for_is_never_evidence_against():
+    # the form votes against whatever the others vote for, as it would if its sign were wrong
+    counts = {(0, 0, 1, 1, 1, -1): 500, (0, 0, -1, -1, -1, 1): 500, (0, 0, 1, 1, 1, 1): 5, (0, 0, -1, -1, -1, -1): 5}
+    likely = pii.reliabilities(counts)
+    assert likely[(0, 0, 1, 1, 1, 1)] >= likely[(0, 0, 1, 1, 1, -1)]
+    assert likely[(0, 0, -1, -1, -1, 1)] >= likely[(0, 0, -1, -1, -1, -1)]
+
+
+def test_words_around_decide_between_equal_votes():
+    base, same = (1, 1, 1, 0, 1), (0, 1, 1, 0, 1)
+    rows = [pii.Example(0, base, 3, (1, n % 9, 5), 1) for n in range(200)]
+    rows += [pii.Example(0, (0, 1, -1, 0, -1), 3, (2, n % 9, 6), 1) for n in range(200)]
+    likely = {(0, *base): 1.0, (0, 0, 1, -1, 0, -1): 0.0}
+    made = pii.fit(rows, likely)
+    assert made.likely(0, same, 3, (1, 4, 5)) > made.likely(0, same, 3, (2, 4, 6))
+
+
+def test_no_span_starts_inside_a_longer_run():
+    assert [c[:3] for c in pii.candidates("x" * 64 + " (at) host.org")] == [(0, 0, 78)]
+    assert pii.candidates("x" * 65 + " (at) host.org") == []
