@@ -9,6 +9,9 @@ The quotas of all sources are split among the shards by a binary tree: at each n
 draws its number of blocks from the node's remaining ones without replacement, so the parts of
 every source add up exactly. A shard finds its leaf by walking down from the root with draws seeded
 by the node's place, so each task computes its own shards, and a lost task repeats the same draws.
+A source has at least BLOCKS_PER_SHARD blocks for each shard as far as its documents suffice, so every
+shard gets every such source whatever the size of the mix. Blocks and their sizes stay in tables; the
+block in which a target is reached is found by running sums there.
 A leaf holds a range of each source's permuted blocks, disjoint from all other leaves'; a shard's
 rows are then shuffled locally by a hash.
 
@@ -34,10 +37,14 @@ from starmill.session import materialise
 
 #: More sources than this are refused: targets and quotas of sources travel with the tasks.
 MOST_SOURCES = 100_000
-#: All sources together have at most this many blocks more than one each.
-MOST_BLOCKS = 131_072
-#: A block has at least about so many documents, where the source has.
-DOCS_PER_BLOCK = 16
+#: All sources together have about so many blocks, or so many of each source for each shard if that is more.
+BLOCKS, BLOCKS_PER_SHARD = 131_072, 64
+#: Documents of a block, at least, where the source has them; and blocks of a source, so that products of two fit a long.
+DOCS_PER_BLOCK, LARGEST = 16, (1 << 31) - 1
+#: Up to so many blocks their draws are broadcast; beyond that documents meet them in a shuffled join.
+BROADCAST_BLOCKS = 1 << 18
+#: Ranges of a source's permuted blocks that are summed first.
+RANGES = 4096
 #: Where the caller names no number of shards: words per shard, and the fewest and most shards.
 SHARD_WORDS, SHARDS = 1 << 21, (8, 65_536)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -130,44 +137,80 @@ def _block(key: Column, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("block"), key), blocks)
 
 
-def _sources(sized: DataFrame, weights: Sequence[float], most_repeats: float) -> list[Source]:
+def shards_for(words: float) -> int:
+    """Shards of a mix of so many words, where the caller names no number."""
+    return min(max(int(words) // SHARD_WORDS, SHARDS[0]), SHARDS[1])
+
+
+def blocks_for(docs: Sequence[int], shards: int) -> list[int]:
+    """Blocks per source: of about equal numbers of documents, but enough for every shard to get some of each."""
+    whole, total = max(BLOCKS, BLOCKS_PER_SHARD * shards * len(docs)), max(1, sum(docs))
+    return [max(1, min(n // DOCS_PER_BLOCK, max(whole * n // total, BLOCKS_PER_SHARD * shards), LARGEST)) for n in docs]
+
+
+def _sources(sized: DataFrame, weights: Sequence[float], most_repeats: float, shards: int | None) -> tuple[list[Source], int]:
     totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs"))
     rows = totals.limit(MOST_SOURCES + 1).collect()
     if len(rows) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     rows.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     goal = targets([r["size"] for r in rows], [weights[i % len(weights)] for i in range(len(rows))], most_repeats)
-    docs = sum(r["docs"] for r in rows)
-    blocks = [max(1, min(r["docs"] // DOCS_PER_BLOCK, MOST_BLOCKS * r["docs"] // docs)) for r in rows]
-    return [Source(i, r["source"], r["size"], goal[i], blocks[i]) for i, r in enumerate(rows)]
+    shards = shards_for(sum(goal)) if shards is None else shards
+    blocks = blocks_for([r["docs"] for r in rows], shards)
+    return [Source(i, r["source"], r["size"], goal[i], blocks[i]) for i, r in enumerate(rows)], shards
+
+
+def _reached(words: DataFrame, sources: list[Source], seed: int) -> dict[int, tuple[int, int, int]]:
+    """Per source its block in which the rest of its target after whole epochs is reached: the block's
+    place in the permuted order, its number, and the words before it; a row per source at most.
+
+    `words` has the words of each block. Places come from the inverse permutation; ranges of places are
+    summed first, so no task holds a source's blocks.
+    """
+    rows = []
+    for s in sources:
+        epochs = int(s.target // s.size) if s.size else 0
+        if s.size and s.target > epochs * s.size:
+            factor, offset = _step(s.place, epochs, s.blocks, seed)
+            rows.append((s.place, s.blocks, pow(factor, -1, s.blocks), offset, s.target - epochs * s.size))
+    table = F.broadcast(words.sparkSession.createDataFrame(rows, "place int, blocks long, inverse long, offset long, rest double"))
+    at = F.pmod(F.col("inverse") * F.pmod(F.col("block") - F.col("offset"), F.col("blocks")), F.col("blocks"))
+    placed = words.join(table, "place").withColumn("at", at)
+    placed = placed.withColumn("range", F.floor(F.col("at") * RANGES / F.col("blocks")))
+
+    def crossing(sums: DataFrame, order: str) -> DataFrame:
+        upto = F.sum("words").over(Window.partitionBy("place").orderBy(order)) + F.col("earlier")
+        found = sums.withColumn("before", upto - F.col("words"))
+        return found.where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") >= F.col("rest")))
+
+    ranges = placed.groupBy("place", "rest", "range").agg(F.sum("words").alias("words")).withColumn("earlier", F.lit(0))
+    open_ranges = crossing(ranges, "range").select("place", "range", F.col("before").alias("earlier"))
+    # at most one range per source
+    inside = placed.join(F.broadcast(open_ranges), ["place", "range"])
+    return {r["place"]: (r["at"], r["block"], r["before"]) for r in crossing(inside, "at").select("place", "at", "block", "before").collect()}
 
 
 def _drawn(sized: DataFrame, sources: list[Source], seed: int) -> list[Source]:
     """The sources with their numbers of draws and cuts.
 
-    Block sizes are at most MOST_BLOCKS and a few rows. Only the one block per source in which the
-    target is reached is looked into: its documents' sizes are summed in the order of their keys.
+    Only the one block per source in which the target is reached is looked into: its documents' sizes
+    are summed in the order of their keys.
     """
     spark = sized.sparkSession
     places = F.broadcast(spark.createDataFrame([(s.place, s.name, s.blocks) for s in sources], "place int, name string, blocks long"))
     placed = sized.join(places, sized["source"].eqNullSafe(places["name"])).withColumn("block", _block(F.col("key"), F.col("blocks")))
-    words: dict[tuple[int, int], int] = {
-        (r["place"], r["block"]): r["words"] for r in placed.groupBy("place", "block").agg(F.sum("size").alias("words")).collect()
-    }
+    words = materialise(placed.groupBy("place", "block").agg(F.sum("size").alias("words")), "blocks")
+    reached = _reached(words, sources, seed)
     out, open_blocks = [], []
     for s in sources:
         epochs = int(s.target // s.size) if s.size else 0
-        left, draws = s.target - epochs * s.size if s.size else 0.0, epochs * s.blocks
-        while left > 0:
-            block = permuted(s.place, draws, s.blocks, seed)
-            have = words.get((s.place, block), 0)
-            draws += 1
-            if have > left:
-                open_blocks.append((s.place, block, left))
-                break
-            left -= have
-            if draws >= (epochs + 1) * s.blocks:
-                break
+        rest, draws = s.target - epochs * s.size if s.size else 0.0, epochs * s.blocks
+        if s.place in reached:
+            at, block, before = reached[s.place]
+            draws += at + 1
+            open_blocks.append((s.place, block, rest - before))
+        elif rest > 0:
+            draws += s.blocks
         out.append(Source(s.place, s.name, s.size, s.target, s.blocks, draws))
     if not open_blocks:
         return out
@@ -192,15 +235,19 @@ def _draws(spark: SparkSession, sources: list[Source], shards: int, seed: int) -
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 first, many = leaf(quotas, shards, shard, seed)
-                rows = []
-                for s in sources:
-                    for ordinal in range(int(first[s.place]), int(first[s.place] + many[s.place])):
-                        cut = s.cut if ordinal == s.draws - 1 else None
-                        rows.append((s.place, permuted(s.place, ordinal, s.blocks, seed), shard, ordinal // s.blocks, cut))
-                if rows:
-                    columns = list(zip(*rows))
-                    arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))]
-                    yield pa.RecordBatch.from_arrays(arrays, ["place", "block", "shard", "epoch", "cut"])
+                for n in np.flatnonzero(many).tolist():
+                    s, lo, hi = sources[n], int(first[n]), int(first[n] + many[n])
+                    while lo < hi:
+                        epoch = lo // s.blocks
+                        stop = min(hi, (epoch + 1) * s.blocks)
+                        factor, offset = _step(s.place, epoch, s.blocks, seed)
+                        ordinals = np.arange(lo, stop)
+                        block = (factor * (ordinals % s.blocks) + offset) % s.blocks
+                        cut = pa.array([s.cut] * len(ordinals), pa.int64(), mask=ordinals != s.draws - 1)
+                        same = (pa.array(np.full(len(ordinals), x, "int32")) for x in (s.place, shard, epoch))
+                        place, at, of = same
+                        yield pa.RecordBatch.from_arrays([place, pa.array(block), at, of, cut], ["place", "block", "shard", "epoch", "cut"])
+                        lo = stop
 
     return spark.range(shards).mapInArrow(run, "place int, block long, shard int, epoch int, cut long")
 
@@ -232,17 +279,17 @@ def plan(
 ) -> Plan:
     """Decide the mix. Sources in code-point order, null last, take the weights in turn, repeating."""
     sized = materialise(_sized(docs, source, text, doc_id, seed), "sizes")
-    sources = _drawn(sized, _sources(sized, weights, most_repeats), seed)
-    if shards is None:
-        shards = min(max(int(sum(s.target for s in sources)) // SHARD_WORDS, SHARDS[0]), SHARDS[1])
+    found, shards = _sources(sized, weights, most_repeats, shards)
+    sources = _drawn(sized, found, seed)
     draws = materialise(_draws(docs.sparkSession, sources, shards, seed), "draws")
     return Plan(sized, sources, draws, shards, seed)
 
 
 def _draws_of_blocks(mix: Plan) -> DataFrame:
-    """Per drawn block its draws as an array; at most MOST_BLOCKS rows and one per source, so it may be broadcast."""
+    """Per drawn block its draws as an array, broadcast up to BROADCAST_BLOCKS blocks."""
     draw = F.struct("shard", "epoch", "cut")
-    return F.broadcast(mix.draws.groupBy("place", "block").agg(F.collect_list(draw).alias("draws")))
+    table = mix.draws.groupBy("place", "block").agg(F.sort_array(F.collect_list(draw)).alias("draws"))
+    return F.broadcast(table) if sum(s.blocks for s in mix.sources) <= BROADCAST_BLOCKS else table
 
 
 def _taking(key: Column) -> Column:
@@ -263,8 +310,8 @@ def mixed(docs: DataFrame, mix: Plan, doc_id: str = "doc_id", source: str = "sou
     """The rows of the mix: every column of `docs`, and `shard` unless `docs` has a column of that name,
     in upper or lower case; a row appears once per draw.
 
-    Rows meet their blocks by broadcast and are moved once, to their shards; within a shard they
-    stand in the order of a hash.
+    Rows meet their blocks by broadcast and are moved once, to their shards, or twice where the blocks are
+    too many for that; within a shard they stand in the order of a hash.
     """
     table = F.broadcast(mix.source_table())
     row = F.col("row")

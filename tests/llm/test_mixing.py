@@ -111,3 +111,53 @@ def test_a_column_that_differs_from_shard_in_case_only(odd_documents):
     rows = mixing.mixed(docs, mixing.plan(docs))
     assert rows.columns == docs.columns
     assert {(r["Shard"], r["SIZE"]) for r in rows.select("Shard", "SIZE").collect()} <= {("mine", "mine")}
+
+
+def brute_drawn(sized, sources, seed):
+    """Draws and open blocks, block by block."""
+    have = Counter()
+    by_name = {s.name: s for s in sources}
+    for r in sized.withColumn("block", F.xxhash64(F.lit("block"), "key")).collect():
+        s = by_name[r.source]
+        have[s.place, r.block % s.blocks] += r["size"]
+    out = {}
+    for s in sources:
+        epochs = int(s.target // s.size) if s.size else 0
+        left, draws = s.target - epochs * s.size, epochs * s.blocks
+        while left > 0 and draws < (epochs + 1) * s.blocks:
+            left -= have[s.place, mixing.permuted(s.place, draws, s.blocks, seed)]
+            draws += 1
+        out[s.place] = draws
+    return out
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 4096])
+def test_the_block_where_a_target_is_reached(documents, odd_documents, monkeypatch, ranges):
+    monkeypatch.setattr(mixing, "RANGES", ranges)
+    for docs in (documents, odd_documents):
+        mix = mixing.plan(docs, weights=(5, 2, 1, 0.1), shards=5)
+        assert {s.place: s.draws for s in mix.sources} == brute_drawn(mix.sized, mix.sources, mix.seed)
+
+
+def test_blocks_too_many_to_broadcast(documents, monkeypatch):
+    mix = mixing.plan(documents, shards=5)
+    want = sorted(mixing.taken(mix).collect()), Counter(mixing.mixed(documents, mix).select("doc_id", "shard").collect())
+    monkeypatch.setattr(mixing, "BROADCAST_BLOCKS", 0)
+    assert "BroadcastHashJoin [place" not in mixing.taken(mix)._jdf.queryExecution().optimizedPlan().toString()
+    assert (sorted(mixing.taken(mix).collect()), Counter(mixing.mixed(documents, mix).select("doc_id", "shard").collect())) == want
+
+
+@pytest.mark.parametrize("words", [10**10, 10**11, 10**13, 10**15])
+def test_every_shard_has_every_source_at_any_size(words):
+    share = np.array([0.33, 0.3, 0.2, 0.1, 0.05, 0.0195, 0.0005])
+    sizes = [int(words * s) for s in share]
+    goal = mixing.targets(sizes, [(5, 2, 1)[i % 3] for i in range(len(sizes))])
+    shards = mixing.shards_for(sum(goal))
+    blocks = mixing.blocks_for([n // 200 for n in sizes], shards)
+    quotas = np.array([int(b * t / n) for b, t, n in zip(blocks, goal, sizes)])
+    documents = np.array([n // 200 // mixing.DOCS_PER_BLOCK for n in sizes])
+    assert (np.array(blocks) >= np.minimum(documents, mixing.BLOCKS_PER_SHARD * shards)).all()
+    enough = quotas >= 24 * shards
+    assert enough.sum() >= 3
+    for shard in range(0, shards, max(1, shards // 50)):
+        assert (mixing.leaf(quotas, shards, shard, 7)[1][enough] > 0).all()
