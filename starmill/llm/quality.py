@@ -62,7 +62,7 @@ def shares(text: str) -> list[float]:
         1 - len(set(words)) / w,
         1 - len(set(lines)) / max(1, len(lines)),
         sum(map(eq, words, words[1:])) / w,
-        text.count("!") / w if w < text.count("!") else text.count("!") / n,
+        text.count("!") / n,
         text.count("|") / n,
         kinds[3] / n,
         np.log1p(n),
@@ -126,12 +126,16 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = 7, ridg
 def sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, rows: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id`, `text` and `label` of at most `rows` labelled documents for which `train` (of doc_id) holds.
 
-    The ids with the smallest hashes are taken, at most `rows`, so they may be broadcast.
+    The ids with the smallest hashes are taken, at most `rows`, so they may be broadcast. There is one row
+    per id however often it stands in either table: its smallest label, and the text with the smallest hash.
     """
     wanted = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
     wanted = wanted.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & train)
+    wanted = wanted.groupBy("doc_id").agg(F.min("label").alias("label"))
     wanted = wanted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return pick(docs, doc_id, text).join(F.broadcast(wanted), "doc_id")
+    found = pick(docs, doc_id, text).join(F.broadcast(wanted), "doc_id")
+    one = found.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    return one.select("doc_id", F.col("one.text").alias("text"), "label")
 
 
 def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality", train_rows: int = TRAIN_ROWS, pairs: int = PAIRS, **names: str) -> Ranker | None:

@@ -54,3 +54,31 @@ def test_odd_rows_and_no_rows(odd_documents, no_documents):
 def test_features_are_finite(text):
     x = quality.features([text])
     assert np.isfinite(x).all() and x.shape == (1, quality.features([""]).shape[1])
+
+
+def test_weights_are_where_the_loss_is_least():
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(300, 4))
+    good = x @ [1.0, -2, 0.5, 0] + draw.normal(size=300) > 0
+    ridge, pairs, seed = 1e-3, 500, 7
+    ranker = quality.fit(x, good, pairs=pairs, seed=seed, ridge=ridge)
+    again = np.random.default_rng(seed)
+    first, second = again.choice(np.flatnonzero(good), pairs), again.choice(np.flatnonzero(~good), pairs)
+    z = (x - x.mean(0)) / x.std(0)
+
+    def loss(w):
+        return np.mean([np.log1p(np.exp(-(z[a] - z[b]) @ w)) for a, b in zip(first, second)]) + ridge / 2 * w @ w
+
+    least = loss(ranker.weights)
+    for n in range(4):
+        step = np.eye(4)[n] * 1e-3
+        assert abs(loss(ranker.weights + step) - loss(ranker.weights - step)) / 2e-3 < 1e-5
+        assert least < min(loss(ranker.weights + step), loss(ranker.weights - step))
+
+
+def test_a_sample_has_one_row_per_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(3_000)] + [(2, "x"), (2, "x"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (2, 1), (3, 0), (None, 1)], "doc_id long, quality int")
+    rows = {r.doc_id: (r.text, r.label) for r in quality.sample(docs, labels, "quality", F.lit(True), 10).collect()}
+    assert rows.keys() == {1, 2, 3} and rows[2] == ("x", 1) and rows[3] == ("", 0) and rows[1][1] == 0
+    assert quality.sample(docs, labels, "quality", F.lit(True), 2).count() == 2
