@@ -12,11 +12,12 @@ Forward-backward marginals of all tokens of a document give its largest marginal
 their share; a logistic function of these, fitted on the labelled sample, is the score. Tokens
 with a marginal of at least one half, runs of them joined, are the offending spans, in code points.
 
-Learning uses at most `train_rows` labelled documents (those with the smallest hash of the id) and
-a bounded number of chains of each; scoring covers every token of every document. Null text counts
-as empty; a text without words has the score of no marginal at all. Rows with a null label are not
-learned from. If only one label occurs, or none, every score is 0. Repeated rows give repeated
-rows, an empty table an empty result. Only the named columns are read.
+Learning uses at most `train_rows` labelled documents (those with the smallest hash of the id, one row
+of each), a bounded number of chains of each, and about `train_tokens` tokens of these (the chains with
+the smallest hashes); scoring covers every token of every document. Null text counts as empty; a text
+without words has the score of no marginal at all. Rows with a null label are not learned from. If only
+one label occurs, or none, or no word tells the labels apart, every score is 0. Repeated rows give
+repeated rows, an empty table an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from starmill.session import materialise
 
 CUT = 0.3
 TRAIN_ROWS = 20_000
+#: Tokens that the field learns from, about; they are all that the driver holds of the sample.
+TRAIN_TOKENS = 1_000_000
 #: Words and fronts that may mark a document, at most, by the number of toxic documents they occur in,
 #: and how many times rarer they must be in other documents, share against share.
 CANDIDATES, RARER = 4_000, 8
@@ -293,8 +296,9 @@ def _cover(rows: DataFrame) -> list[str]:
     return markers({n: set(r["words"]) for n, r in enumerate(toxic.orderBy("doc_id", "words").collect())}, words)
 
 
-def _labelled_chains(rows: DataFrame, marks: set[str]) -> list[tuple[list[str], list[bool]]]:
-    """Chains of the sample with a label per token; a bounded number per document, chosen by hash.
+def _labelled_chains(rows: DataFrame, marks: set[str], train_tokens: int = TRAIN_TOKENS) -> list[tuple[list[str], list[bool]]]:
+    """Chains of the sample with a label per token; a bounded number per document, chosen by hash, and
+    of these the share that holds about `train_tokens` tokens, by hash too.
 
     A toxic document without any mark gives none: which of its tokens are toxic is not known.
     """
@@ -302,7 +306,8 @@ def _labelled_chains(rows: DataFrame, marks: set[str]) -> list[tuple[list[str],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out: list[tuple[list[str], list[bool]]] = []
-            for text, label in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            ids: list[int | None] = []
+            for doc_id, text, label in zip(*(column.to_pylist() for column in batch.columns)):
                 words, ends = chains(text)
                 cut = [words[a:b] for a, b in zip([0, *ends], ends)]
                 tagged = [(c, [label > 0 and not marks.isdisjoint(marks_of(core(w))) for w in c]) for c in cut]
@@ -310,12 +315,23 @@ def _labelled_chains(rows: DataFrame, marks: set[str]) -> list[tuple[list[str],
                     continue
                 tagged.sort(key=lambda x: (zlib.crc32(" ".join(x[0]).encode("utf-8", "surrogatepass")), x[0]))
                 out += [x for x in tagged if any(x[1])][:TOXIC_CHAINS] + [x for x in tagged if not any(x[1])][:OTHER_CHAINS]
+                ids += [doc_id] * (len(out) - len(ids))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.list_(pa.string())), pa.array([x[1] for x in out], pa.list_(pa.bool_()))], ["words", "toxic"]
+                [pa.array(ids, pa.int64()), pa.array([x[0] for x in out], pa.list_(pa.string())), pa.array([x[1] for x in out], pa.list_(pa.bool_()))],
+                ["doc_id", "words", "toxic"],
             )
 
-    got = rows.mapInArrow(run, "words array<string>, toxic array<boolean>").toArrow()
-    return sorted(zip(got.column("words").to_pylist(), got.column("toxic").to_pylist()))
+    found = rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, words array<string>, toxic array<boolean>")
+    found = materialise(found, "toxic-chains")
+    tokens = found.agg(F.sum(F.size("words"))).first()[0] or 0
+    if tokens > train_tokens:
+        found = found.where(F.pmod(F.xxhash64("doc_id", "words"), F.lit(1 << 30)) < int((1 << 30) * train_tokens / tokens))
+    same: dict[str, str] = {}
+    out = []
+    for batch in found.select("words", "toxic").toArrow().to_batches(max_chunksize=4096):
+        for words, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            out.append(([same.setdefault(w, w) for w in words], toxic))  # a word's text is held once
+    return sorted(out)
 
 
 def fit(labelled: list[tuple[list[str], list[bool]]], rounds: int = 60, ridge: float = 1e-6, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:

@@ -83,3 +83,13 @@ def test_odd_rows_and_no_rows(odd_documents, no_documents, spark):
     assert toxicity.tag(no_documents, field).count() == 0
     assert toxicity.learn(odd_documents, labels.limit(0), F.lit(True)) is None
     assert {r.score for r in toxicity.tag(odd_documents, None).collect()} == {0.0}
+
+
+def test_chains_are_bounded_by_tokens(spark):
+    texts = [("a vile word here" if i % 2 else "a kind and odd word", i % 2) for i in range(2_000)]
+    rows = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "doc_id long, text string, label int")
+    whole = toxicity._labelled_chains(rows, {"vil+"})
+    assert len(whole) == 2_000
+    some = toxicity._labelled_chains(rows, {"vil+"}, 3_000)
+    assert 2_500 < sum(len(words) for words, _ in some) < 3_500
+    assert some == toxicity._labelled_chains(rows.repartition(7), {"vil+"}, 3_000)
