@@ -82,3 +82,47 @@ def test_a_sample_has_one_row_per_id(spark):
     rows = {r.doc_id: (r.text, r.label) for r in quality.sample(docs, labels, "quality", F.lit(True), 10).collect()}
     assert rows.keys() == {1, 2, 3} and rows[2] == ("x", 1) and rows[3] == ("", 0) and rows[1][1] == 0
     assert quality.sample(docs, labels, "quality", F.lit(True), 2).count() == 2
+
+
+def _junk_and_prose(spark, n, bad_every):
+    """`n` texts, every `bad_every`-th of them junk, and their labels."""
+    draw = np.random.default_rng(11)
+    rows = []
+    for i in range(n):
+        words = ["".join(draw.choice(list("abcdefgh"), 5)) for _ in range(int(draw.integers(5, 30)))]
+        rows.append((i, " ".join(words) + ("" if i % bad_every else " !!! |||" * int(draw.integers(1, 4))), int(i % bad_every > 0)))
+    return spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(7)
+
+
+def test_weights_come_from_every_labelled_document(spark, monkeypatch):
+    """One block is all pairs; many blocks hold every document, each with partners of the other kind."""
+    table = _junk_and_prose(spark, 300, 4)
+    ranker = quality.learn(table, table, F.lit(True))
+    rows = table.collect()
+    x, good = quality.features([r.text for r in rows]), np.array([r.quality > 0 for r in rows])
+    assert np.allclose(ranker.mean, x.mean(0)) and np.allclose(ranker.scale, np.where(x.std(0) > 1e-9, x.std(0), 1))
+    z = (x - ranker.mean) / ranker.scale
+    d = (z[good][:, None] - z[~good][None]).reshape(-1, z.shape[1])
+    slope = 1e-3 * ranker.weights - d.T @ (1 / (1 + np.exp(d @ ranker.weights))) / len(d)
+    assert np.abs(slope).max() < 1e-6
+    raw = ranker.raw(x)
+    low, high = np.quantile(raw, np.array([-0.002, 0.002]) + (~good).mean())
+    assert ranker.threshold == pytest.approx((low + high) / 2, abs=1e-5)
+    again = quality.learn(table.repartition(3), table, F.lit(True))
+    assert (again.weights == ranker.weights).all() and again.threshold == ranker.threshold
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 20)
+    found = quality.labelled(table, table, "quality", F.lit(True))
+    blocks = quality.blocked(found, {True: 225, False: 75}, 10).collect()
+    assert len(blocks) == 12
+    kinds = [{g: [tuple(x.base) for x in b.docs if x.good == g] for g in (True, False)} for b in blocks]
+    assert all(k[True] and k[False] for k in kinds)
+    assert {t for k in kinds for g in k for t in k[g]} == {tuple(r.base) for r in found.collect()}
+
+
+def test_more_than_twenty_thousand_labels_are_all_learned_from(spark):
+    """The learning once stopped at 20,000 labelled documents."""
+    docs = spark.range(24_000).selectExpr("id as doc_id", "if(id % 5 = 0, '!!! ||| !!!', concat('plain words in line ', id)) as text", "cast(id % 5 > 0 as int) as quality")
+    ranker = quality.learn(docs, docs, F.lit(True))
+    base = np.array([quality.shares(r.text) for r in docs.select("text").collect()])
+    assert np.allclose(ranker.mean, quality.expanded(base).mean(0), rtol=1e-9, atol=1e-9)
+    assert quality.labelled(docs, docs, "quality", F.lit(True)).count() == 24_000
