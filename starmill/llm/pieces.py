@@ -23,6 +23,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -95,7 +96,7 @@ class Pairs:
 
     def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The slot of each pair, or an empty one."""
-        keys = left << 32 | right
+        keys = left.astype("int64") << 32 | right
         at = self._slot(keys)
         off = np.flatnonzero((self.keys[at] != keys) & (self.keys[at] >= 0))
         while len(off):
@@ -152,10 +153,15 @@ class Codec:
         #: Symbols by number: the pieces, then characters that occur in pieces only.
         self.names = [*self.ids, *sorted({c for p in self.ids for c in p} - set(self.ids))]
         self.numbers = {name: n for n, name in enumerate(self.names)}
+        #: Symbol numbers by code point; one that is in no piece is numbered beyond all names.
+        self.of_point = np.arange(len(self.names), len(self.names) + 0x110000, dtype="int32")
+        for c in filter(lambda name: len(name) == 1, self.names):
+            self.of_point[ord(c)] = self.numbers[c]
         self.piece_ids = np.array(list(self.ids.values()), "int64")
         self.pairs = Pairs(self)
         self.byte_ids = [i for i, k in enumerate(self.kinds) if k == BYTE]
         self.shown = [self._shown(i) for i in range(len(self.pieces))]
+        self.shown_array = pa.array(self.shown, pa.binary())
         self.cut = self._cutter()
 
     def _shown(self, i: int) -> bytes:
@@ -202,14 +208,15 @@ class Codec:
     def merge_many(self, segments: list[str]) -> list[bytes]:
         """Ids of segments, each as 4-byte numbers: short ones side by side, long ones by a heap each."""
         out = [b""] * len(segments)
-        short = sorted((n for n, s in enumerate(segments) if len(s) <= SHORT), key=lambda n: len(segments[n]))
+        length = np.fromiter(map(len, segments), "int64", len(segments))
+        order = np.argsort(length, kind="stable")
+        short, long = np.split(order, [np.searchsorted(length[order], SHORT, "right")])
         for start in range(0, len(short), ROWS_AT_ONCE):
-            part = short[start : start + ROWS_AT_ONCE]
+            part = short[start : start + ROWS_AT_ONCE].tolist()
             for n, packed in zip(part, self._merged_rows([segments[n] for n in part])):
                 out[n] = packed
-        for n, segment in enumerate(segments):
-            if len(segment) > SHORT:
-                out[n] = _pack(self._ids(self._merged_long(segment)))
+        for n in long.tolist():
+            out[n] = _pack(self._ids(self._merged_long(segments[n])))
         return out
 
     def _merged_rows(self, segments: list[str]) -> list[bytes]:
@@ -223,12 +230,10 @@ class Codec:
         width = int(length.max(initial=1))
         row = np.repeat(np.arange(len(segments)), length)
         column = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
-        points, inverse = np.unique(np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "uint32"), return_inverse=True)
-        strange = len(self.names)
-        numbers = np.array([self.numbers.get(chr(c), strange + c) for c in points.tolist()], "int64")
-        symbols = np.full((len(segments), width + 1), -1, "int64")
-        symbols[row, column] = numbers[inverse]
-        agenda = np.full(symbols.shape, none, "int64")
+        points = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "uint32")
+        symbols = np.full((len(segments), width + 1), -1, "int32")
+        symbols[row, column] = self.of_point[points]
+        agenda = np.full(symbols.shape, none, "int32")
         pairs = symbols[:, 1:] >= 0
         agenda[:, :-1][pairs] = self.pairs.place(symbols[:, :-1][pairs], symbols[:, 1:][pairs])
         place, columns = np.arange(len(segments)), np.arange(width + 1)
@@ -244,8 +249,8 @@ class Codec:
                     break
             made = self.pairs.made(symbols[lines, best], symbols[lines, best + 1])
             behind = columns > best[:, None]
-            symbols = np.take_along_axis(symbols, np.minimum(columns + behind, width), 1)
-            agenda = np.take_along_axis(agenda, np.minimum(columns + (columns >= best[:, None]), width), 1)
+            symbols[:, :-1] = np.where(behind[:, :-1], symbols[:, 1:], symbols[:, :-1])
+            agenda[:, :-1] = np.where(columns[:-1] >= best[:, None], agenda[:, 1:], agenda[:, :-1])
             symbols[lines, best] = made
             symbols[:, width], agenda[:, width] = -1, none
             for left in (best - 1, best):
@@ -360,8 +365,13 @@ def _library(model: bytes):
     return sentencepiece.SentencePieceProcessor(model_proto=model)
 
 
+def _key(segment: str) -> str:
+    """A segment's name in the table: a word stands for itself with a space mark before it, any other has one more."""
+    return segment[1:] if segment[0] == SPACE and len(segment) > 1 and segment[1] != SPACE else SPACE + segment
+
+
 class Table:
-    """Packed ids of checked segments, as a worker keeps them over its tasks.
+    """Packed ids of checked segments, by `_key`, as a worker keeps them over its tasks.
 
     Two generations of at most TABLE_ENTRIES each (and what one slice adds): what is looked up moves
     to the younger one; when that is full it becomes the older, whose entries are forgotten.
@@ -372,8 +382,9 @@ class Table:
         self.old: dict[str, bytes] = {}
 
     def known(self, segments: set[str]) -> dict[str, bytes]:
-        found = {s: self.young[s] for s in segments & self.young.keys()}
-        found |= {s: self.old[s] for s in (segments - found.keys()) & self.old.keys()}
+        found = {s: packed for s in segments if (packed := self.young.get(s)) is not None}
+        if len(found) < len(segments):
+            found |= {s: packed for s in segments if s not in found and (packed := self.old.get(s)) is not None}
         return found
 
     def keep(self, found: dict[str, bytes], most: int) -> None:
@@ -393,49 +404,71 @@ class Encoder:
         self.table = _TABLES.setdefault(hashlib.sha256(model).hexdigest(), Table())
         self.lead = _pack(self.codec._ids([SPACE, "\n"]))
 
-    def _learned(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _learned(self, keys: list[str]) -> dict[str, bytes]:
         """Merge segments and hold them against the library, all in one call.
 
         The library puts a space mark before a text. A segment that starts with one is handed over
         without it; any other gets a line feed before it, which no piece reaches over, so the ids
         of the segment are what follows that line feed's.
         """
-        plain = [s[1:] if s[0] == SPACE and len(s) > 1 else "\n" + s for s in new]
-        merged = self.codec.merge_many(new)
-        for segment, text, own, ids in zip(new, plain, merged, self.library.encode(plain, num_threads=1)):
-            led = text[0] == "\n" and len(text) > len(segment)
-            if _pack(ids) != (self.lead + own if led else own):
-                raise ValueError(f"ids differ from the library's for {segment!r}: {np.frombuffer(own, '<i4').tolist()} and {ids}")
-            yield segment, own
-
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        """The ids of distinct texts."""
-        cuts = [self.codec.segments(t) for t in texts]
-        wanted = {s for segments in cuts for s in segments}
-        found = self.table.known(wanted)
-        if len(found) < len(wanted):
-            found |= self._learned(list(wanted - found.keys()))
-        self.table.keep(found, self.most)
-        return [b"".join(map(found.__getitem__, segments)) for segments in cuts]
+        segments = [k[1:] if k[0] == SPACE else SPACE + k for k in keys]
+        plain, merged = keys.copy(), self.codec.merge_many(segments)
+        own = merged.copy()
+        for n in [n for n, k in enumerate(keys) if k[0] == SPACE]:
+            led = segments[n][0] != SPACE or len(segments[n]) == 1
+            plain[n] = "\n" + segments[n] if led else segments[n][1:]
+            own[n] = self.lead + merged[n] if led else merged[n]
+        theirs = self.library.encode(plain, num_threads=1)
+        many = np.fromiter(map(len, theirs), "int64", len(theirs))
+        flat = np.fromiter(chain.from_iterable(theirs), "<i4", int(many.sum()))
+        same = np.array_equal(many * 4, np.fromiter(map(len, own), "int64", len(own)))
+        if not same or flat.tobytes() != b"".join(own):
+            at = next(n for n, (ids, packed) in enumerate(zip(theirs, own)) if _pack(ids) != packed)
+            raise ValueError(f"ids differ from the library's for {segments[at]!r}: {np.frombuffer(merged[at], '<i4').tolist()} and {theirs[at]}")
+        return dict(zip(keys, merged))
 
     def slice(self, texts: list[str], end: bool) -> pa.ListArray:
-        """A word that single spaces set off is encoded apart, once per slice; any other text as a whole."""
+        """A short word that single spaces set off is a segment by itself, looked up once per slice; long
+        words and any other text are cut."""
         plain = self.codec.prefix and self.codec.spaced
         apart = [w if plain and SPACE not in t and "" not in (w := t.split(" ")) else None for t in texts]
-        words = {w for ws in apart if ws for w in ws}
-        words |= {t for t, ws in zip(texts, apart) if ws is None}
-        packed = dict(zip(words, self._packed(list(words))))
+        words = set().union(*(ws for ws in apart if ws))
+        long = [w for w in words if len(w) >= SHORT]
+        cut = {t: [_key(s) for s in self.codec.segments(t)] for t in [*long, *(t for t, ws in zip(texts, apart) if ws is None)]}
+        words.difference_update(long)
+        words.update(*cut.values())
+        found = self.table.known(words)
+        if len(found) < len(words):
+            found |= self._learned([w for w in words if w not in found])
+        self.table.keep(found, self.most)
+        whole = {t: b"".join(map(found.__getitem__, keys)) for t, keys in cut.items()}
+        found |= {w: whole[w] for w in long}
         tail = struct.pack("<i", self.codec.end_id) if end else b""
-        out = [(packed[t] if ws is None else b"".join(map(packed.__getitem__, ws))) + tail for t, ws in zip(texts, apart)]
+        out = [(whole[t] if ws is None else b"".join(map(found.__getitem__, ws))) + tail for t, ws in zip(texts, apart)]
         offsets = np.zeros(len(texts) + 1, "int32")
         np.cumsum([len(p) // 4 for p in out], out=offsets[1:])
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(out), "<i4")))
 
 
 def _decoded(codec: Codec, lists: pa.ListArray) -> pa.Array:
-    flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+    """The texts of lists of ids: what the ids show, laid side by side; odd ones go through `decode`."""
+    flat = lists.flatten()
+    taken = codec.shown_array.take(flat)
+    at = np.frombuffer(taken.buffers()[1], "int32")[taken.offset : taken.offset + len(taken) + 1].tolist()
+    raw = memoryview(taken.buffers()[2] or b"")
+    flat = flat.to_numpy(zero_copy_only=False)
     ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
-    return pa.array([codec.decode(flat[a:b]) for a, b in zip([0, *ends], ends)], pa.string())
+    out = []
+    for a, b in zip([0, *ends], ends):
+        if a < b and codec.kinds[flat[a]] == CONTROL:
+            out.append(codec.decode(flat[a:b].tolist()))
+            continue
+        drop = a < b and codec.prefix and codec.kinds[flat[a]] == NORMAL and codec.pieces[flat[a]].startswith(SPACE)
+        try:
+            out.append(str(raw[at[a] + drop : at[b]], "utf-8"))
+        except UnicodeDecodeError:
+            out.append(codec.decode(flat[a:b].tolist()))
+    return pa.array(out, pa.string())
 
 
 def encode(docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str, ...] = ("doc_id",), end: bool = True) -> DataFrame:

@@ -92,3 +92,21 @@ def test_columns_and_odd_rows(odd_documents, no_documents, model):
     assert texts == sorted((str(r.doc_id), (r.text or "").replace(pieces.SPACE, " ")) for r in odd_documents.collect())
     assert texts == sorted((str(r.doc_id), r.text) for r in both.collect())
     assert pieces.digests(no_documents, model).count() == 0
+
+
+def test_words_between_spaces_are_looked_up_whole(model, library, monkeypatch):
+    """Only long words and texts with other white space are cut; each cut once cost most of the time."""
+    encoder = pieces.Encoder(model)
+    cut, seen = pieces.Codec.segments, []
+    monkeypatch.setattr(pieces.Codec, "segments", lambda self, text: seen.append(text) or cut(self, text))
+    texts = ["plain words, here. \nand (there) é日 " + "x" * 60 + " end", "two  spaces", "mark ▁ in it", ", ,. \n", ""]
+    for _ in range(2):
+        assert encoder.slice(texts, end=False).to_pylist() == library.encode(texts)
+    assert set(seen) == {"x" * 60, *texts[1:]} - {", ,. \n"}
+
+
+def test_names_in_the_table_tell_segments_apart():
+    segments = [",", "▁,", "▁▁,", "▁", "▁▁", "\n", "▁\n", "a", "▁a"]
+    names = [pieces._key(s) for s in segments]
+    assert len(set(names)) == len(names)
+    assert [n[1:] if n[0] == pieces.SPACE else pieces.SPACE + n for n in names] == segments
