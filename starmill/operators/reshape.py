@@ -49,13 +49,30 @@ def unpivot_periods(
     return long.withColumn(number, lookup(F.col(name), positions))
 
 
-def rollup_long(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
-    """Sum to the grain. Rows with a NULL key do not count; a group of NULLs sums to 0."""
-    return (
-        df.where(all_not_null(keys))
-        .groupBy(*[F.col(f"`{c}`") for c in keys])
-        .agg(F.coalesce(F.sum(measure), F.lit(0)).alias(measure))
-    )
+def rollup_long(df: DataFrame, keys: Sequence[str], measure: str, across: tuple[str, Sequence[str]] | None = None) -> DataFrame:
+    """Sum to the grain. Rows with a NULL key do not count; a group of NULLs sums to 0.
+
+    `across` names one of the keys and all values it can have, a few. Rows then meet by the other keys alone,
+    with a sum per value side by side, so what is shuffled carries the other keys once for all values; only
+    values that a group has become rows again. Any other value raises.
+    """
+    rows = df.where(all_not_null(keys))
+    if across is None:
+        return rows.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(F.coalesce(F.sum(measure), F.lit(0)).alias(measure))
+    name, values = across
+    ids = [F.col(f"`{c}`") for c in keys if c != name]
+    # columns of the operator's own, which no key can clash with: they are taken apart by place
+    sums = [F.sum(F.when(F.col(f"`{name}`") == v, F.col(f"`{measure}`"))).alias(f"_sum_{n}") for n, v in enumerate(values)]
+    number = lookup(F.col(f"`{name}`"), {v: n for n, v in enumerate(values)})
+    known = F.coalesce(number, F.raise_error(F.concat(F.lit(f"{name}: no listed value: "), F.col(f"`{name}`").cast("string"))).cast("int"))
+    seen = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), known)).alias("_seen")
+    wide = rows.groupBy(*ids).agg(seen, *sums)
+    cells = [
+        F.struct(F.lit(v).alias(name), F.coalesce(F.col(f"_sum_{n}"), F.lit(0)).alias(measure), (F.shiftright("_seen", n).bitwiseAND(F.lit(1)) == 1).alias("_has"))
+        for n, v in enumerate(values)
+    ]
+    long = wide.select(*ids, F.inline(F.array(*cells))).where("_has")
+    return long.select(*[F.col(f"`{c}`") for c in keys], F.col(f"`{measure}`"))
 
 
 def sum_periods(df: DataFrame, ids: Sequence[str], periods: Sequence[str]) -> DataFrame:

@@ -280,3 +280,28 @@ def test_every_group_has_a_first_rank(spark, values):
     ranked = rank_within(df, ["g"], ["i"], "v", "r").collect()
     assert len(ranked) == len(values)
     assert {r.g for r in ranked if r.r == 1} == {i % 3 for i in range(len(values))}
+
+
+@FEW
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from(["p", "q", "r", None]), CELLS), max_size=30))
+def test_rollup_across_equals_the_plain_one(spark, rows):
+    long = spark.createDataFrame(rows, "k string, name string, v bigint")
+    plain = rollup_long(long, ["k", "name"], "v")
+    across = rollup_long(long, ["k", "name"], "v", across=("name", ["p", "q", "r"]))
+    assert across.schema.simpleString() == plain.schema.simpleString()
+    assert sorted(map(tuple, across.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_rollup_across_raises_for_an_unlisted_value(spark):
+    long = spark.createDataFrame([("a", "p", 1), ("a", "s", 2)], "k string, name string, v bigint")
+    with pytest.raises(Exception, match="no listed value: s"):
+        rollup_long(long, ["k", "name"], "v", across=("name", ["p", "q"])).collect()
+
+
+def test_unpivot_first_shuffles_a_row_per_id_group(spark, sf_dir):
+    """Once twelve rows per id group, each with all keys, went through the shuffle."""
+    from workload import raw
+
+    plan = raw.grain_rollup_unpivot_first(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    top = next(line for line in plan.splitlines() if "Aggregate [" in line)
+    assert "nombre_mes" not in top.split("], [")[0] and "Expand" in plan

@@ -123,10 +123,11 @@ def grain_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def grain_rollup_unpivot_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same grain, unpivot first: twelve rows per line reach the aggregate.
 
-    The month's number follows from its name, so it is looked up on the sums.
+    There they meet with their months side by side, so keys are shuffled once for twelve sums. The month's
+    number follows from its name, so it is looked up on the sums.
     """
     long = unpivot_periods(wide_lines(spark, sf_dir), IDS, MONTHS, "nombre_mes", "num_victimas")
-    sums = rollup_long(long, [*IDS, "nombre_mes"], "num_victimas")
+    sums = rollup_long(long, [*IDS, "nombre_mes"], "num_victimas", across=("nombre_mes", MONTHS))
     return sums.withColumn("mes", lookup(F.col("nombre_mes"), {m: i for i, m in enumerate(MONTHS, 1)}))
 
 
