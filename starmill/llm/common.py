@@ -42,7 +42,10 @@ def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Parts of at most `rows` rows and, unless it is one row, about `size` bytes."""
+    """Parts of at most `rows` rows and, unless it is one row, about `size` bytes.
+
+    In the end what Arrow holds unused goes back to the system: a worker idles through later stages with what it keeps.
+    """
     for batch in batches:
         open_ = [batch.slice(start, rows) for start in range(0, batch.num_rows, rows)][::-1]
         while open_:
@@ -52,3 +55,4 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int
                 open_ += [part.slice(half), part.slice(0, half)]
             else:
                 yield part
+    pa.default_memory_pool().release_unused()

@@ -80,7 +80,7 @@ class Pairs:
         keys = np.array(list(found), "int64")
         values = np.array(list(found.values()), "int64").reshape(-1, 2)
         self.keys = np.full(1 << self.bits, -1, "int64")
-        self.slots = np.zeros((2, 1 << self.bits), "int64")
+        self.slots = np.zeros((2, 1 << self.bits), "int32")
         self.slots[0] = len(codec.place)
         left, at = np.arange(len(keys)), self._slot(keys)
         while len(left):
@@ -154,9 +154,9 @@ class Codec:
         self.names = [*self.ids, *sorted({c for p in self.ids for c in p} - set(self.ids))]
         self.numbers = {name: n for n, name in enumerate(self.names)}
         #: Symbol numbers by code point; one that is in no piece is numbered beyond all names.
-        self.of_point = np.arange(len(self.names), len(self.names) + 0x110000, dtype="int32")
-        for c in filter(lambda name: len(name) == 1, self.names):
-            self.of_point[ord(c)] = self.numbers[c]
+        alone = {ord(name): number for name, number in self.numbers.items() if len(name) == 1}
+        self.of_point = np.arange(max(alone, default=0) + 1, dtype="int32") + len(self.names)
+        self.of_point[list(alone)] = list(alone.values())
         self.piece_ids = np.array(list(self.ids.values()), "int64")
         self.pairs = Pairs(self)
         self.byte_ids = [i for i, k in enumerate(self.kinds) if k == BYTE]
@@ -232,7 +232,8 @@ class Codec:
         column = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
         points = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "uint32")
         symbols = np.full((len(segments), width + 1), -1, "int32")
-        symbols[row, column] = self.of_point[points]
+        known = points < len(self.of_point)
+        symbols[row, column] = np.where(known, self.of_point[points * known], points.astype("int32") + len(self.names))
         agenda = np.full(symbols.shape, none, "int32")
         pairs = symbols[:, 1:] >= 0
         agenda[:, :-1][pairs] = self.pairs.place(symbols[:, :-1][pairs], symbols[:, 1:][pairs])

@@ -93,3 +93,19 @@ def test_quality_stage_learns_from_every_label(spark, tmp_path):
     ranker = queries.quality_ranker(read, queries.labels(spark, str(tmp_path)))
     assert ranker.mean == pytest.approx(quality.features(train).mean(0), abs=1e-9)
     assert ids(corpus_pipeline.good_only(spark, read, str(tmp_path))) == ids(docs.where("quality = 1"))
+
+
+def test_slices_give_back_what_arrow_holds(monkeypatch):
+    """Workers that idled through mixing kept it, which took an executor beyond its memory."""
+    import pyarrow as pa
+
+    from starmill.llm import common
+
+    freed = []
+
+    class Pool:
+        release_unused = staticmethod(lambda: freed.append(True))
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a"] * 1000)], ["text"])
+    assert sum(part.num_rows for part in common.slices(iter([batch, batch]))) == 2000 and freed == [True]
