@@ -95,6 +95,29 @@ def test_quality_stage_learns_from_every_label(spark, tmp_path):
     assert ids(corpus_pipeline.good_only(spark, read, str(tmp_path))) == ids(docs.where("quality = 1"))
 
 
+def test_quality_stage_learns_from_labels_that_op7_holds_out(spark, tmp_path):
+    """The stage once left out every fifth label, which only op7's contract asks for; here these are all the bad ones."""
+    held = queries.held_out("doc_id", 5, 0)
+    docs = spark.range(400).withColumnRenamed("id", "doc_id").withColumn("quality", (~held).cast("int"))
+    docs = docs.selectExpr("doc_id", "if(quality = 0, concat('!!! ||| ', doc_id), concat('plain words in line ', doc_id)) as text", "quality")
+    docs.select("doc_id", "quality").write.parquet(f"{tmp_path}/labels.parquet")
+    assert 0 < docs.where("quality = 0").count() < 200
+    assert ids(corpus_pipeline.good_only(spark, docs.drop("quality"), str(tmp_path))) == ids(docs.where("quality = 1"))
+
+
+def test_quality_stage_judges_by_the_ranker_of_all_labels(spark, sf_dir, documents, monkeypatch):
+    made = []
+    keep = quality.keep_good
+    monkeypatch.setattr(quality, "keep_good", lambda docs, ranker: made.append(ranker) or keep(docs, ranker))
+    corpus_pipeline.good_only(spark, documents, sf_dir)
+    truth = {r.doc_id: r.quality for r in queries.labels(spark, sf_dir).collect() if r.quality is not None}
+    texts = {r.doc_id: r.text or "" for r in documents.collect() if r.doc_id in truth}
+    assert made[0].mean == pytest.approx(quality.features(list(texts.values())).mean(0), abs=1e-9)
+    bad = sum(1 for i in texts if truth[i] == 0) / len(texts)
+    raw = made[0].raw(quality.features(list(texts.values())))
+    assert abs((raw < made[0].threshold).mean() - bad) <= 2 / len(texts)
+
+
 def test_slices_give_back_what_arrow_holds(monkeypatch):
     """Workers that idled through mixing kept it, which took an executor beyond its memory."""
     import pyarrow as pa
